@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
@@ -72,7 +71,3 @@ def pick_prefix(texts: Column, prefix: str) -> Column:
     found = first_where(texts, lambda t: t.startswith(prefix))
     return F.trim(F.replace(found, F.lit(prefix), F.lit("")))
 
-
-def contains_text(literal: str) -> str:
-    """Pattern that matches the literal text."""
-    return re.escape(literal)
