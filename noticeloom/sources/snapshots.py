@@ -15,7 +15,7 @@ from ..schemas import RECORD, UNIFIED_FIELDS
 JSON_LINES = "*.jsonl"
 SPARK_PARTS = "*.json"
 # Line ends beyond CR and LF, at which a text is also cut into lines.
-OTHER_LINE_ENDS = "[\u000b\u000c\u001c\u001d\u001e\u0085  ]"
+OTHER_LINE_ENDS = r"[\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 FIRST_BOARD = "kstartup"
 _END = "__end_of_record__"
 _EDGES = rf"(?U)^{SPACES[4:]}|{SPACES[4:]}$"
