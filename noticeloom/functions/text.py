@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # White space as Unicode sees it, plus the separators U+001C-1F that (?U)\s leaves out.
 SPACES = r"(?U)[\s\x1c-\x1f]+"
@@ -16,14 +16,14 @@ SESSION_ID = r";jsessionid=[^?]*"
 SLUG_LENGTH = 80
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _decode(texts: pa.Array) -> pa.Array:
     return pa.array(
         [None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string()
     )
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def _decode_each(lists: pa.Array) -> pa.Array:
     return pa.array(
         [
