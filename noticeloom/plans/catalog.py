@@ -1,4 +1,4 @@
 """All registered queries: importing the modules fills the register."""
 
-from . import diff_queries  # noqa: F401
+from . import diff_queries, extract_queries, text_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
