@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import Column, functions as F
 
-from .text import clean
+from .text import clean, let
 
 # The printed date forms that are recognised.
 FOUR_DIGIT_YEAR = r"(?U)(\d{4})[.\-/\s\x1c-\x1f]+(\d{1,2})[.\-/\s\x1c-\x1f]+(\d{1,2})"
@@ -26,12 +26,15 @@ def _iso(text: Column, pattern: str, century: str) -> Column:
 
 def norm_date(c: Column) -> Column:
     """First date in the text as YYYY-MM-DD; the cleaned text where there is none."""
-    text = clean(c)
-    return (
-        F.when(text.rlike(FOUR_DIGIT_YEAR), _iso(text, FOUR_DIGIT_YEAR, ""))
-        .when(text.rlike(TWO_DIGIT_YEAR), _iso(text, TWO_DIGIT_YEAR, "20"))
-        .otherwise(text)
-    )
+
+    def first_date(text: Column) -> Column:
+        return (
+            F.when(text.rlike(FOUR_DIGIT_YEAR), _iso(text, FOUR_DIGIT_YEAR, ""))
+            .when(text.rlike(TWO_DIGIT_YEAR), _iso(text, TWO_DIGIT_YEAR, "20"))
+            .otherwise(text)
+        )
+
+    return let(clean(c), first_date)
 
 
 def period_parts(c: Column) -> Column:

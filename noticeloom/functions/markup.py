@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from .text import collapse, strip_tags, unescape_each
+from .text import clean_each, strip_tags
 
-CELL = r"<td[^>]*>([\s\S]*?)</td>"
+CELL = r"<td[^>]*>((?s:.*?))</td>"
 
 
 def cut_region(html: Column, marker: str) -> Column:
@@ -52,7 +52,7 @@ def raw_cells(block: Column) -> Column:
 
 def cells(block: Column) -> Column:
     """Cleaned contents of all table cells."""
-    return F.transform(unescape_each(raw_cells(block)), collapse)
+    return clean_each(raw_cells(block))
 
 
 def cell(texts: Column, index: int, min_len: int | None = None) -> Column:

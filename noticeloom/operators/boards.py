@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import norm_date, split_period
 from ..functions.markup import cell, first_where, pick_prefix
-from ..functions.text import drop_session, join_nonempty, strip_comments, unescape
+from ..functions.text import drop_session, join_nonempty, strip_comments
 from ..schemas import UNIFIED_FIELDS
 from .extract import BoardSpec, Capture, extract_rows
 
 # Markup of the list pages.
-TABLE_ROW = r"<tr>[\s\S]*?</tr>"
+TABLE_ROW = r"<tr>(?s:.*?)</tr>"
 LIST_MARKER = 'id="bizPbancList"'
 LIST_ITEM = '<li class="notice">|<li >|<li>'
 KSTARTUP_ID = r"(?U)go_view\((\d+)\)"
@@ -23,18 +23,18 @@ KSTARTUP_LIST = r'<span class="list"><i[^>]*></i>([^<]+)</span>'
 KSTARTUP_START = "시작일자"
 KSTARTUP_DEADLINE = "마감일자"
 BIZINFO_LINK = (
-    r'(?U)href\s*=\s*"([^"]*pblancId=(PBLN_\d+)[^"]*)"[^>]*>\s*([\s\S]*?)</a>'
+    r'(?U)href\s*=\s*"([^"]*pblancId=(PBLN_\d+)[^"]*)"[^>]*>\s*((?s:.*?))</a>'
 )
-NIPA_LINK = r'(?U)href="(/home/2-2/(\d+))"[^>]*>([\s\S]*?)</a>'
+NIPA_LINK = r'(?U)href="(/home/2-2/(\d+))"[^>]*>((?s:.*?))</a>'
 NIPA_PERIOD = r"(?U)신청기간\s*:\s*([^<]+)"
 NIPA_PROGRAM = r'<span class="box[^"]*">([^<]+)</span>'
 NIPA_REGISTERED = r'(?U)<span class="bco">\s*(\d{4}-\d{2}-\d{2})\s*</span>'
-KOCCA_LINK = r'href="(/kocca/pims/view\.do\?intcNo=([^&"]+)[^"]*)"[^>]*>([\s\S]*?)</a>'
+KOCCA_LINK = r'href="(/kocca/pims/view\.do\?intcNo=([^&"]+)[^"]*)"[^>]*>((?s:.*?))</a>'
 KOCCA_CATEGORY = r'(?U)<span class="category_color\d+">([^<]+)</span>'
 KOCCA_PERIOD = r'(?U)data-label="접수기간">\s*([^<]+)'
 KOCCA_NOTICE = r'(?U)data-label="공고일">\s*([^<]+)'
 SMTECH_LINK = (
-    r'href="(/front/ifg/no/notice02_detail\.do[^"]*ancmId=([^&"]+)[^"]*)"[^>]*>([\s\S]*?)</a>'
+    r'href="(/front/ifg/no/notice02_detail\.do[^"]*ancmId=([^&"]+)[^"]*)"[^>]*>((?s:.*?))</a>'
 )
 ISO_DATE = r"(?U)^\d{4}-\d{2}-\d{2}$"
 
@@ -66,8 +66,8 @@ def _kstartup(t: dict[str, Column]) -> dict[str, Column]:
         "category": t["category"],
         "dday": t["dday"],
         "title": t["title"],
-        "program": unescape(cell(t["lists"], 0)),
-        "org": unescape(cell(t["lists"], 1)),
+        "program": cell(t["decoded_lists"], 0),
+        "org": cell(t["decoded_lists"], 1),
         "start": pick_prefix(t["lists"], KSTARTUP_START),
         "deadline": pick_prefix(t["lists"], KSTARTUP_DEADLINE),
         "agency_type": t["agency_type"],

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field as spec_field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.markup import cut_region, field, has_anchor, match_blocks, raw_cells, split_blocks
-from ..functions.text import collapse, unescape_each
+from ..functions.text import clean_each, collapse, unescape_each
 from ..sources.pages import only_ok
 
 PAGE_COLUMNS = ("run_id", "source", "page_no")
@@ -35,12 +35,14 @@ class BoardSpec:
     source: str
     anchor: str
     captures: dict[str, Capture]
-    # Texts in, record columns out. Keys are the capture names, `cells` and the arrays.
+    # Texts in, record columns out. Keys are the capture names, `cells` for the cleaned table
+    # cells, and for an array its name (as matched) and decoded_<name>.
     record: Callable[[dict[str, Column]], dict[str, Column]]
     block_pattern: str | None = None
     block_delimiter: str | None = None
     region_marker: str | None = None
     with_cells: bool = False
+    # At most one list pattern.
     arrays: dict[str, str] = spec_field(default_factory=dict)
 
 
@@ -63,7 +65,7 @@ def blocks(pages: DataFrame, spec: BoardSpec) -> DataFrame:
 def extract_rows(pages: DataFrame, spec: BoardSpec) -> DataFrame:
     """Records of one board, narrow: `html` and `block` end here, before any shuffle.
 
-    All texts of a block that need decoding go to Python in one array.
+    The texts of a block go to Python together, as one array to clean and one to decode.
     """
     if "status" in pages.columns:
         pages = only_ok(pages)
@@ -72,40 +74,48 @@ def extract_rows(pages: DataFrame, spec: BoardSpec) -> DataFrame:
     kept = [c for c in PAGE_COLUMNS if c in pages.columns and c != "source"]
 
     raw: dict[str, Column] = {}
-    coded: dict[str, Column] = {}
+    cleaned: dict[str, Column] = {}
+    decoded: dict[str, Column] = {}
     for name, capture in spec.captures.items():
         text = field(F.col("block"), capture.pattern, capture.group)
         if capture.before:
             text = capture.before(text)
         if capture.mode in ("collapse", "late"):
             text = collapse(text)
-        (raw if capture.mode in ("raw", "collapse") else coded)[name] = text
-    arrays = {
-        name: F.transform(
-            F.regexp_extract_all("block", F.lit(pattern), F.lit(1)), collapse
-        )
-        for name, pattern in spec.arrays.items()
-    }
-    to_decode = F.array(*coded.values())
+        kind = {"clean": cleaned, "late": decoded, "decode": decoded}.get(capture.mode, raw)
+        kind[name] = text
+    to_clean = F.array(*cleaned.values()).cast("array<string>")
     if spec.with_cells:
-        to_decode = F.concat(to_decode, raw_cells(F.col("block")))
+        to_clean = F.concat(to_clean, raw_cells(F.col("block")))
     taken = blocks(pages, spec).select(
         *kept, "pos",
         *[c.alias(f"raw_{n}") for n, c in raw.items()],
-        *[c.alias(f"all_{n}") for n, c in arrays.items()],
-        to_decode.alias("to_decode"),
+        *[
+            F.transform(F.regexp_extract_all("block", F.lit(p), F.lit(1)), collapse).alias(f"raw_{n}")
+            for n, p in spec.arrays.items()
+        ],
+        to_clean.alias("to_clean"),
+        F.array(*decoded.values()).cast("array<string>").alias("to_decode"),
+    )
+    to_decode = F.col("to_decode")
+    for name in spec.arrays:
+        to_decode = F.concat(to_decode, f"raw_{name}")
+    ready = taken.select(
+        *[c for c in taken.columns if c not in ("to_clean", "to_decode")],
+        *([clean_each(F.col("to_clean")).alias("cleaned")] if cleaned or spec.with_cells else []),
+        *([unescape_each(to_decode).alias("decoded")] if decoded or spec.arrays else []),
     )
-    decoded = taken.withColumn("decoded", unescape_each(F.col("to_decode"))).drop("to_decode")
 
-    texts = {n: F.col(f"raw_{n}") for n in raw}
-    texts.update({n: F.col(f"all_{n}") for n in arrays})
-    for index, name in enumerate(coded):
-        text = F.get("decoded", F.lit(index))
-        texts[name] = collapse(text) if spec.captures[name].mode == "clean" else text
+    texts = {n: F.col(f"raw_{n}") for n in (*raw, *spec.arrays)}
+    texts.update({n: F.get("cleaned", F.lit(i)) for i, n in enumerate(cleaned)})
+    texts.update({n: F.get("decoded", F.lit(i)) for i, n in enumerate(decoded)})
+    # Cells follow the captures in `cleaned`, decoded arrays follow them in `decoded`.
     if spec.with_cells:
-        tail = F.slice("decoded", len(coded) + 1, F.greatest(F.size("decoded"), F.lit(1)))
-        decoded = decoded.withColumn("cells", F.transform(tail, collapse))
-        texts["cells"] = F.col("cells")
-    return decoded.select(
-        *kept, "pos", *[c.alias(n) for n, c in spec.record(texts).items()]
-    )
+        texts["cells"] = _tail("cleaned", len(cleaned))
+    for name in spec.arrays:
+        texts[f"decoded_{name}"] = _tail("decoded", len(decoded))
+    return ready.select(*kept, "pos", *[c.alias(n) for n, c in spec.record(texts).items()])
+
+
+def _tail(array: str, skip: int) -> Column:
+    return F.slice(array, F.lit(skip + 1), F.greatest(F.size(array), F.lit(1)))

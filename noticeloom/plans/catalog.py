@@ -1,4 +1,6 @@
 """All registered queries: importing the modules fills the register."""
 
-from . import diff_queries, extract_queries, text_queries  # noqa: F401
+from . import (  # noqa: F401
+    diff_queries, extract_queries, fold_queries, report_queries, signal_queries, text_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import url_host
 from .registry import table
 
-TITLE = r"<title>([\s\S]*?)</title>"
+TITLE = r"<title>((?s:.*?))</title>"
 
 
 def day(c: str) -> Column:

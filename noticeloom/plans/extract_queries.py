@@ -13,11 +13,13 @@ from ..operators import boards as b
 from ..operators.crawl import kept_rows, page_yield as yields, stop_pages as stops
 from ..operators.dedup import dedup_last
 from ..operators.extract import extract_rows
-from ..plans.survey import collect
+from ..session import fresh_dir
+from ..sources.pages import read_pages
 from .derived import SQL_EVENT_ROWS, SQL_HOST, day, event_rows
 from .registry import query, table
+from .survey import collect
 
-LINK = r'<li><a href="[^"]*">[\s\S]*?</a></li>'
+LINK = r'<li><a href="[^"]*">(?s:.*?)</a></li>'
 PAGE_ROWS = 15
 
 
@@ -251,13 +253,17 @@ def smtech_board(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _board_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List pages of all boards, kept as a page table by source."""
     made = {
         "kstartup": kstartup_pages, "bizinfo": bizinfo_pages, "nipa": nipa_pages,
         "kocca": kocca_pages, "smtech": smtech_pages,
     }
-    return b.union_sources(
+    pages = b.union_sources(
         *[make(spark, sf_dir).withColumn("source", F.lit(name)) for name, make in made.items()]
     )
+    path = fresh_dir(spark, "board_pages")
+    pages.write.partitionBy("source").parquet(path)
+    return read_pages(spark, path)
 
 
 @query("""

@@ -13,6 +13,7 @@ from ..operators.diff import (
     carry_verdicts, confirm_closed, lost_opportunities, recheck_queue, snapshot_diff,
 )
 from ..schemas import KEY
+from ..session import cut_lineage
 from ..sources.pages import PAGE_CAP, page_cap
 
 
@@ -26,7 +27,8 @@ class Crawl:
 def collect(pages: DataFrame, cap: int = PAGE_CAP) -> Crawl:
     """Announcements of one run out of its list pages, and how complete each source is."""
     capped = page_cap(pages, cap)
-    rows = extract_all(capped)
+    # Pages are parsed once: the records are kept as files, the markup is not read again.
+    rows = cut_lineage(extract_all(capped))
     yields = page_yield(rows, capped)
     stops = stop_pages(capped, yields, cap)
     found = dedup_last(kept_rows(rows, stops), KEY, ["page_no", "pos"])
