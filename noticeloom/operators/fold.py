@@ -25,9 +25,23 @@ def title_key(title: Column) -> Column:
 
 
 def grams(title: Column, n: int = GRAM) -> Column:
-    """Distinct n-grams of a text; a shorter text is its own gram."""
+    """Distinct n-grams of a text; a shorter text is its own gram.
+
+    Up to three characters fit into one number, 21 bits each, which is compared much faster than
+    a string. The numbering is one to one.
+    """
+
+    def code(start: Column) -> Column:
+        total = F.lit(0).cast("bigint")
+        for offset in range(n):
+            point = F.ascii(F.substring(title, start + offset, F.lit(1))).cast("bigint")
+            present = start + offset <= F.char_length(title)
+            total = total * (1 << 21) + F.when(present, point + 1).otherwise(0)
+        return total
+
     starts = F.sequence(F.lit(1), F.greatest(F.char_length(title) - (n - 1), F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(title, i, F.lit(n))))
+    gram = code if n <= 3 else (lambda i: F.substring(title, i, F.lit(n)))
+    return F.array_distinct(F.transform(starts, gram))
 
 
 def _nodes(df: DataFrame, title: str, key: str, n: int) -> DataFrame:
@@ -66,21 +80,32 @@ def _entries(nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _verified(
-    left: DataFrame, right: DataFrame, threshold: float, on: tuple[str, ...] = ("gram",)
+    left: DataFrame, right: DataFrame, threshold: float, on: tuple[str, ...] = ("gram",),
+    once: bool = False,
 ) -> DataFrame:
-    """Similar pairs, a before b, of entries equal in `on` that lie on different sources."""
-    a = left.select(*[F.col(c).alias(c if c in on else f"a_{c}") for c in left.columns])
-    b = right.select(*[F.col(c).alias(c if c in on else f"b_{c}") for c in right.columns])
-    size_a, size_b = F.size("a_grams"), F.size("b_grams")
+    """Similar pairs, a before b, of entries equal in `on` that lie on different sources.
+
+    With `once` a pair comes only from its first common prefix gram.
+    """
+    a = left.select(*on, *[F.col(c).alias(f"a_{c}") for c in left.columns if c != "gram"])
+    b = right.select(*on, *[F.col(c).alias(f"b_{c}") for c in right.columns if c != "gram"])
     common = F.size(F.array_intersect("a_grams", "b_grams"))
-    sim = common / (size_a + size_b - common)
+    both = F.col("a_size") + F.col("b_size")
     one_source = (F.col("a_lo") == F.col("a_hi")) & (F.col("b_lo") == F.col("b_hi")) & (
         F.col("a_lo") == F.col("b_lo")
     )
-    near = F.least(size_a, size_b) >= F.greatest(size_a, size_b) * threshold - 1e-9
-    return a.join(b, list(on)).filter(
-        (F.col("a_node") < F.col("b_node")) & near & ~one_source
-    ).withColumn("sim", sim).filter(F.col("sim") >= threshold)
+    near = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * threshold - 1e-9
+    # Bounds the similarity without dividing.
+    close = common * (1 + threshold) >= both * threshold - 1e-9
+    if once:
+        first = F.get(F.array_intersect("a_prefix", "b_prefix"), F.lit(0))
+        close = F.when(first == F.col("gram"), close)
+    # Nested, so that the arrays are only compared where the cheap tests hold.
+    test = F.when((F.col("a_node") < F.col("b_node")) & ~one_source & near, close).otherwise(False)
+    pairs = a.join(b, list(on)).filter(test)
+    return pairs.withColumn("sim", common / (both - common)).filter(
+        F.when(test, F.col("sim") >= threshold)
+    )
 
 
 def similar_titles(
@@ -93,10 +118,9 @@ def similar_titles(
     `fold_titles`, which does not list the pairs of a large cluster.
     """
     nodes = _nodes(df, title, key, n)
-    entries = _entries(nodes, threshold)
-    pairs = _verified(entries, entries, threshold)
-    first = F.get(F.array_intersect("a_prefix", "b_prefix"), F.lit(0))
-    return pairs.filter(first == F.col("gram")).select(
+    entries = cut_lineage(_entries(nodes, threshold))
+    pairs = _verified(entries, entries, threshold, once=True)
+    return pairs.select(
         F.least("a_name", "b_name").alias("a"), F.greatest("a_name", "b_name").alias("b"), "sim"
     )
 
@@ -161,7 +185,9 @@ def fold_titles(
         F.min("lo").alias("_lo"), F.max("hi").alias("_hi"),
     ).filter((F.col("_first") != F.col("_last")) & (F.col("_lo") != F.col("_hi"))).select("gram")
     apart = placed.join(split_grams, "gram", "left_semi")
-    bridges = _verified(apart, apart, threshold).filter(F.col("a_part") != F.col("b_part"))
+    bridges = _verified(apart, apart, threshold, once=True).filter(
+        F.col("a_part") != F.col("b_part")
+    )
     merged = components(
         bridges.select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))
     ).select(F.col("node").alias("part"), F.col("label").alias("whole"))

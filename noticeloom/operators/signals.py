@@ -6,10 +6,13 @@ per rule inside its own task; nothing is joined or shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import let
+
 RULES_VERSION = 1
 UNKNOWN = "unknown"
 
@@ -48,9 +51,10 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 PHONE = r"\b0\d{1,2}-\d{3,4}-\d{4}\b"
 CLOSE_TIME = r"\b((?:[01]?\d|2[0-3]):[0-5]\d)\b"
 DURATION = r"(\d{1,2})\s*개월"
+# A number is taken whole (possessive), so that a text full of digits costs one pass.
 AMOUNT = (
-    r"(?:(\d[\d,]*(?:\.\d+)?)\s*억)?\s*(?:(\d[\d,]*)\s*천\s*만)?\s*(?:(\d[\d,]*)\s*백\s*만)?"
-    r"\s*(?:(\d[\d,]*)\s*만)?\s*(\d[\d,]*)?\s*원"
+    r"(?<![\d,.])(?=\d)(?:(\d[\d,]*+(?:\.\d++)?+)\s*+억)?+\s*+(?:(\d[\d,]*+)\s*+천\s*+만)?+"
+    r"\s*+(?:(\d[\d,]*+)\s*+백\s*+만)?+\s*+(?:(\d[\d,]*+)\s*+만)?+\s*+(\d[\d,]*+)?+\s*+원"
 )
 AMOUNT_UNITS = (100_000_000, 10_000_000, 1_000_000, 10_000, 1)
 ATTACHMENT = r"첨부\s*파일|붙임|HWP|hwp|PDF|pdf"
@@ -60,13 +64,15 @@ SIGNALS = tuple(dict.fromkeys(r.signal for r in SIGNAL_RULES))
 
 def amount(text: Column) -> Column:
     """First sum of money in the text as whole won; null where there is none."""
-    pattern = rf"(?=\d){AMOUNT}"
-    total = F.lit(0).cast("decimal(18,0)")
-    for group, unit in enumerate(AMOUNT_UNITS, start=1):
-        digits = F.replace(F.regexp_extract(text, pattern, group), F.lit(","), F.lit(""))
-        part = F.coalesce(_number(digits), F.lit(0))
-        total = total + (part * unit).cast("decimal(18,0)")
-    return F.when(text.rlike(pattern), total.cast("decimal(18,0)"))
+
+    def total(found: Column) -> Column:
+        won = F.lit(0).cast("decimal(18,0)")
+        for group, unit in enumerate(AMOUNT_UNITS, start=1):
+            digits = F.replace(F.regexp_extract(found, AMOUNT, group), F.lit(","), F.lit(""))
+            won = (won + F.coalesce(_number(digits), F.lit(0)) * unit).cast("decimal(18,0)")
+        return F.when(found != "", won)
+
+    return let(F.regexp_extract(text, AMOUNT, 0), total)
 
 
 def _number(digits: Column) -> Column:
@@ -79,18 +85,33 @@ def evidence(text: Column, pattern: str) -> Column:
     return F.trim(F.coalesce(F.get(inside, F.lit(0)), F.regexp_extract(text, pattern, 0)))
 
 
+def _first_match(
+    signal: str, rules: tuple[SignalRule, ...], text: Column,
+    found: Callable[[SignalRule], Column], missing: Column,
+) -> Column:
+    """`found` for the first rule of a signal that matches, else `missing`."""
+    hit = missing
+    for rule in reversed([r for r in rules if r.signal == signal]):
+        hit = F.when(text.rlike(rule.pattern), found(rule)).otherwise(hit)
+    return hit
+
+
+def _value(signal: str, text: Column, rules: tuple[SignalRule, ...]) -> Column:
+    return _first_match(signal, rules, text, lambda rule: F.lit(rule.value), F.lit(UNKNOWN))
+
+
 def _hit(signal: str, text: Column, rules: tuple[SignalRule, ...]) -> Column:
-    """Struct (signal, value, evidence) of the first matching rule, 'unknown' without one."""
+    """Struct (signal, value, evidence), 'unknown' and '' without a match."""
 
     def found(value: str, proof: Column) -> Column:
         return F.struct(
             F.lit(signal).alias("signal"), F.lit(value).alias("value"), proof.alias("evidence")
         )
 
-    hit = found(UNKNOWN, F.lit(""))
-    for rule in reversed([r for r in rules if r.signal == signal]):
-        hit = F.when(text.rlike(rule.pattern), found(rule.value, evidence(text, rule.pattern))).otherwise(hit)
-    return hit
+    return _first_match(
+        signal, rules, text, lambda rule: found(rule.value, evidence(text, rule.pattern)),
+        found(UNKNOWN, F.lit("")),
+    )
 
 
 def extract_signals(
@@ -113,7 +134,7 @@ def signals_wide(
     months = F.regexp_extract(text, DURATION, 1)
     return details.select(
         "source", "id",
-        *[_hit(s, text, rules)["value"].alias(s) for s in names],
+        *[_value(s, text, rules).alias(s) for s in names],
         amount(text).alias("amount"),
         _number(months).cast("int").alias("months"),
         F.regexp_extract(text, CLOSE_TIME, 1).alias("close_time"),

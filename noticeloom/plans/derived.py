@@ -18,9 +18,9 @@ def day(c: str) -> Column:
 
 
 def sql_unescape(text: str) -> str:
-    """SQL for the references that occur in the page table; `&amp;` last."""
-    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        text = f"replace({text}, '{name}', '{char}')"
+    """SQL for the references that occur in the page table; `&amp;` last, `;` may be cut off."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
     return text
 
 

@@ -1,4 +1,4 @@
-"""Session helpers: shared scratch space and checkpoints."""
+"""Session helpers: shared scratch space and stage tables."""
 
 from __future__ import annotations
 
@@ -29,8 +29,11 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and continue from the files."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write `df` once to the shared folder and continue from the files.
+
+    A table rather than `checkpoint()`: that computes its input twice, once for the action and
+    once for the files, and what is read back cannot be pruned by column.
+    """
+    path = fresh_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
