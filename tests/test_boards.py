@@ -1,7 +1,7 @@
 from noticeloom.operators import boards as b
 from noticeloom.operators.extract import extract_rows
 
-NBSP = " "
+NBSP = "\u00a0"
 ONE = (
     '<div class="carousel"><li><a onclick="go_view(999)"><p class="tit">Featured</p></li></div>'
     '<ul id="bizPbancList"><li class="notice"><a href="javascript:go_view(101)">'

@@ -104,7 +104,7 @@ def test_closed_needs_a_complete_crawl(spark, runs):
 LINES = [
     ('{"pbancSn":1} x', "malformed"), ("{'pbancSn':1}", "malformed"), ('[{"pbancSn":1}]', "unknown"),
     ('"pbancSn"', "unknown"), ("7", "unknown"), ('{"source":"a"}', "unknown"), ("  ", "blank"),
-    (' {"pbancSn":1}　', "board_one"), ('{"source":"a","id":null}', "unified"),
+    ('\u00a0{"pbancSn":1}\u3000', "board_one"), ('{"source":"a","id":null}', "unified"),
     ('{"pbancSn":1,"pbancSn":2}', "board_one"), ('{"pbancSn":1}}', "malformed"), ("{", "malformed"),
     ('{"pbancSn":1},{"pbancSn":2}', "malformed"),
 ]
@@ -117,7 +117,7 @@ def test_shapes(spark, tmp_path):
 
 
 def test_lines_are_cut_like_text_lines(spark, tmp_path):
-    text = '{"pbancSn":1,"title":"a b"}\r\n{"pbancSn":2}\x0b{"pbancSn":3}\r{"pbancSn":4}'
+    text = '{"pbancSn":1,"title":"a\u2028b"}\r\n{"pbancSn":2}\x0b{"pbancSn":3}\r{"pbancSn":4}'
     (tmp_path / "a.jsonl").write_bytes(text.encode())
     lines = sn.read_lines(spark, str(tmp_path)).orderBy("pos")
     assert [r.text for r in lines.collect()] == [line.strip() for line in text.splitlines()]

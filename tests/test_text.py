@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from noticeloom.functions import dates, markup as mk, text as tx
 from noticeloom.sources import pages as pg
 
-NBSP = " "
+NBSP = "\u00a0"
 TITLE_KEY = "title"
 
 
@@ -58,7 +58,7 @@ def test_typed_dates(spark):
 def test_clean_orders(spark):
     assert apply(spark, ["&nbsp;A&amp;B&#8232;&lt", None], tx.clean) == ["A&B <", ""]
     assert apply(spark, ["  Grant&nbsp;one ", None], tx.clean_late) == [f"Grant{NBSP}one", ""]
-    assert apply(spark, [f"a\u001c{NBSP}b　 c"], tx.collapse) == ["a b c"]
+    assert apply(spark, [f"a\u001c{NBSP}b\u3000 c"], tx.collapse) == ["a b c"]
     assert apply(spark, ["&copy=1&copyx"], tx.unescape) == ["©=1©x"]
 
 
@@ -82,13 +82,13 @@ def page_text(page):
 def test_strip_html(spark):
     pages = [
         "<p>a</p>\n\n<p>b &amp; c</p><script>x<y\n</script><style>p{}</style>d",
-        f"<br>\n{NBSP}\n　\n<b>e</b>\n \n", "<SCRIPT>kept</SCRIPT>", "", "a\n\x1f\nb\n\n\n",
+        f"<br>\n{NBSP}\n\u3000\n<b>e</b>\n \n", "<SCRIPT>kept</SCRIPT>", "", "a\n\x1f\nb\n\n\n",
     ]
     assert apply(spark, pages, tx.strip_html) == [page_text(p) for p in pages]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.text(alphabet="a &;<>\n\t 　\x1c\x85#x41amplt가", max_size=30), min_size=20, max_size=40))
+@given(st.lists(st.text(alphabet="a &;<>\n\t\u00a0\u3000\x1c\x85#x41amplt가", max_size=30), min_size=20, max_size=40))
 def test_clean_is_python_clean(spark, values):
     want = [re.sub(r"\s+", " ", html.unescape(v)).strip() for v in values]
     assert apply(spark, values, tx.clean) == want
