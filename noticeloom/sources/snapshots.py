@@ -21,15 +21,16 @@ _END = "__end_of_record__"
 _EDGES = rf"(?U)^{SPACES[4:]}|{SPACES[4:]}$"
 
 
-def read_lines(spark: SparkSession, path: str, pattern: str = JSON_LINES) -> DataFrame:
-    """Lines of all files of one run with their position. Fails when no file matches."""
-    scan = spark.read.text(f"{path.rstrip('/')}/{pattern}").select(
-        "value",
-        F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    return scan.select(
+def place_of_file() -> list[Column]:
+    """File name and split offset of a text scan, read beside each line."""
+    name = F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))
+    return [F.url_decode(name).alias("file"), F.col("_metadata.file_block_start").alias("block")]
+
+
+def number_lines(scan: DataFrame) -> DataFrame:
+    """(value, file, block) straight from a scan to (pos, text)."""
+    numbered = scan.withColumn("line", F.monotonically_increasing_id())
+    return numbered.select(
         "file", "block", "line", F.posexplode(F.split("value", OTHER_LINE_ENDS)).alias("piece", "text")
     ).select(
         F.struct("file", "block", "line", "piece").alias("pos"),
@@ -37,6 +38,12 @@ def read_lines(spark: SparkSession, path: str, pattern: str = JSON_LINES) -> Dat
     )
 
 
+def read_lines(spark: SparkSession, path: str, pattern: str = JSON_LINES) -> DataFrame:
+    """Lines of all files of one run with their position. Fails when no file matches."""
+    scan = spark.read.text(f"{path.rstrip('/')}/{pattern}")
+    return number_lines(scan.select("value", *place_of_file()))
+
+
 def _has(name: str) -> Column:
     return F.array_contains("keys", name)
 
