@@ -79,21 +79,42 @@ def _entries(nodes: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _source_class(prefix: str = "") -> Column:
+    """Name of a node's only source, null for a node that several sources carry."""
+    lo, hi = F.col(f"{prefix}lo"), F.col(f"{prefix}hi")
+    return F.when(lo == hi, F.concat(F.lit("s"), lo))
+
+
+def _mark_main(entries: DataFrame, classes: list[Column]) -> DataFrame:
+    """Mark the entries of a gram that belong to its largest class.
+
+    Two entries of one class need no comparison, so those of the largest class are only compared
+    with the rest. A gram whose entries are all of one class costs nothing.
+    """
+    named = F.array_compact(F.array(*classes))
+    counts = entries.select("gram", F.explode(named).alias("_class")).groupBy("gram", "_class").agg(
+        F.count("*").alias("_n")
+    )
+    main = counts.groupBy("gram").agg(F.max_by("_class", F.struct("_n", "_class")).alias("_main"))
+    marked = entries.join(main, "gram", "left")
+    in_main = F.coalesce(F.array_contains(named, F.col("_main")), F.lit(False))
+    return cut_lineage(marked.withColumn("main", in_main).drop("_main"))
+
+
 def _verified(
-    left: DataFrame, right: DataFrame, threshold: float, on: tuple[str, ...] = ("gram",),
-    once: bool = False,
+    left: DataFrame, right: DataFrame, threshold: float, needed: Column,
+    on: tuple[str, ...] = ("gram",), once: bool = False,
 ) -> DataFrame:
-    """Similar pairs, a before b, of entries equal in `on` that lie on different sources.
+    """Similar pairs of entries that are equal in `on`, lie on different sources and are `needed`.
 
-    With `once` a pair comes only from its first common prefix gram.
+    `needed` is a cheap test on a_ and b_ columns. With `once` a pair comes only from its first
+    common prefix gram.
     """
     a = left.select(*on, *[F.col(c).alias(f"a_{c}") for c in left.columns if c != "gram"])
     b = right.select(*on, *[F.col(c).alias(f"b_{c}") for c in right.columns if c != "gram"])
-    common = F.size(F.array_intersect("a_grams", "b_grams"))
+    one_source = F.coalesce(_source_class("a_") == _source_class("b_"), F.lit(False))
     both = F.col("a_size") + F.col("b_size")
-    one_source = (F.col("a_lo") == F.col("a_hi")) & (F.col("b_lo") == F.col("b_hi")) & (
-        F.col("a_lo") == F.col("b_lo")
-    )
+    common = F.size(F.array_intersect("a_grams", "b_grams"))
     near = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * threshold - 1e-9
     # Bounds the similarity without dividing.
     close = common * (1 + threshold) >= both * threshold - 1e-9
@@ -101,7 +122,7 @@ def _verified(
         first = F.get(F.array_intersect("a_prefix", "b_prefix"), F.lit(0))
         close = F.when(first == F.col("gram"), close)
     # Nested, so that the arrays are only compared where the cheap tests hold.
-    test = F.when((F.col("a_node") < F.col("b_node")) & ~one_source & near, close).otherwise(False)
+    test = F.when(needed & ~one_source & near, close).otherwise(False)
     pairs = a.join(b, list(on)).filter(test)
     return pairs.withColumn("sim", common / (both - common)).filter(
         F.when(test, F.col("sim") >= threshold)
@@ -117,9 +138,9 @@ def similar_titles(
     Each pair comes from its first common prefix gram, so no distinct is needed. For folding use
     `fold_titles`, which does not list the pairs of a large cluster.
     """
-    nodes = _nodes(df, title, key, n)
-    entries = cut_lineage(_entries(nodes, threshold))
-    pairs = _verified(entries, entries, threshold, once=True)
+    entries = _mark_main(_entries(_nodes(df, title, key, n), threshold), [_source_class()])
+    once_each = (F.col("a_node") < F.col("b_node")) | F.col("b_main")
+    pairs = _verified(entries.filter(~F.col("main")), entries, threshold, once_each, once=True)
     return pairs.select(
         F.least("a_name", "b_name").alias("a"), F.greatest("a_name", "b_name").alias("b"), "sim"
     )
@@ -166,8 +187,8 @@ def fold_titles(
     Items are linked when they lie on different sources and their titles are equal or similar;
     groups are transitive. `key` must be unique. Two passes find the links. The first compares
     each title with one centre per prefix gram and title length, which joins large clusters
-    without comparing their members. The second compares what is still apart, and only grams
-    whose titles lie in several parts take part in it.
+    without comparing their members. The second compares what is still apart: per gram, titles
+    outside the largest part or source with all titles.
     """
     nodes = _nodes(df, title, key, n)
     entries = cut_lineage(_entries(nodes, threshold))
@@ -175,18 +196,17 @@ def fold_titles(
     centres = entries.groupBy("gram", "size").agg(
         F.min_by(F.struct(*payload), "node").alias("_centre")
     ).select("gram", "size", "_centre.*")
-    stars = _verified(centres, entries, threshold, ("gram", "size"))
+    stars = _verified(
+        centres, entries, threshold, F.col("a_node") < F.col("b_node"), ("gram", "size")
+    )
     parts = components(stars.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
     placed = entries.join(parts, "node", "left").withColumn(
         "part", F.coalesce("label", "node")
     ).drop("label")
-    split_grams = placed.groupBy("gram").agg(
-        F.min("part").alias("_first"), F.max("part").alias("_last"),
-        F.min("lo").alias("_lo"), F.max("hi").alias("_hi"),
-    ).filter((F.col("_first") != F.col("_last")) & (F.col("_lo") != F.col("_hi"))).select("gram")
-    apart = placed.join(split_grams, "gram", "left_semi")
-    bridges = _verified(apart, apart, threshold, once=True).filter(
-        F.col("a_part") != F.col("b_part")
+    marked = _mark_main(placed, [F.concat(F.lit("p"), "part"), _source_class()])
+    bridges = _verified(
+        marked.filter(~F.col("main")), marked, threshold, F.col("a_part") != F.col("b_part"),
+        once=True,
     )
     merged = components(
         bridges.select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))
