@@ -1,16 +1,15 @@
 """Fold announcements that several boards carry, by similarity of their titles.
 
 Titles are compared as sets of character n-grams (Jaccard). Equal titles become one node first,
-so copies never meet each other. Nodes meet only on their rarest n-grams: two sets with
-similarity t share one of the first |x| - ceil(t|x|) + 1 grams of any common order, so the search
-is exact. Threshold and gram length are our choice; there is no published one.
+so copies never meet each other. Nodes meet only on their rarest n-grams, and the search is exact:
+two sets with similarity t share k of the first |x| - ceil(t|x|) + k grams of any common order. Threshold and gram length are our choice; there is no published one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import clean
+from ..functions.text import clean, let
 from ..session import cut_lineage
 
 GRAM = 3
@@ -18,6 +17,8 @@ THRESHOLD = 0.8
 # The order of grams needs only be common to all titles. Counting them in a fixed number of
 # classes keeps the count table below this many rows, whatever the data.
 CLASSES = 1 << 16
+# Another turn of centres is taken while the last one left at most this share of the parts.
+PROGRESS = 0.9
 
 
 def title_key(title: Column) -> Column:
@@ -58,8 +59,8 @@ def _nodes(df: DataFrame, title: str, key: str, n: int) -> DataFrame:
     )
 
 
-def _entries(nodes: DataFrame, threshold: float) -> DataFrame:
-    """One row per node and prefix gram, with what is needed to compare two nodes."""
+def _ordered(nodes: DataFrame) -> DataFrame:
+    """Nodes with their grams from rare to frequent: node, name, lo, hi, key, grams, size."""
     single = nodes.select("node", F.explode("grams").alias("gram"))
     single = single.withColumn("_class", F.pmod(F.xxhash64("gram"), F.lit(CLASSES)))
     counts = single.groupBy("_class").agg(F.count("*").alias("_n"))
@@ -69,16 +70,45 @@ def _entries(nodes: DataFrame, threshold: float) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("_n", "gram"))).alias("_sorted"))
         .select("node", F.col("_sorted.gram").alias("grams"))
     )
-    size = F.size("grams")
-    prefix = size - F.ceil(size * F.lit(threshold) - F.lit(1e-9)).cast("int") + 1
-    return (
-        nodes.select("node", "name", "lo", "hi").join(ordered, "node")
-        .withColumn("size", size)
-        .withColumn("prefix", F.slice("grams", F.lit(1), prefix))
-        .withColumn("gram", F.explode("prefix"))
+    return cut_lineage(
+        nodes.drop("grams").join(ordered, "node").withColumn("size", F.size("grams"))
     )
 
 
+def _entries(ordered: DataFrame, threshold: float, pairs: bool) -> DataFrame:
+    """One row per node and key: with `pairs` two prefix grams make a key, else one.
+
+    Two sets with similarity t have k grams in common within the first |x| - ceil(t|x|) + k of
+    each, where they share so many at all: sets of one gram have a single key.
+    """
+    needed = F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)).cast("int")
+    prefix = F.slice("grams", F.lit(1), F.col("size") - needed + (2 if pairs else 1))
+    keyed = ordered.withColumn("prefix", prefix)
+    if not pairs:
+        return keyed.withColumn("gram", F.explode("prefix"))
+    two = F.flatten(F.transform(
+        "prefix", lambda g, at: F.transform(
+            F.slice("prefix", at + 2, F.size("prefix")), lambda h: F.xxhash64(g, h)
+        )
+    ))
+    keys = F.when(F.col("size") == 1, F.col("grams").cast("array<string>")).otherwise(
+        F.array_distinct(two).cast("array<string>")
+    )
+    return keyed.withColumn("gram", F.explode(keys))
+
+
+def _first_key(pairs: bool) -> Column:
+    """The key by which two entries meet first."""
+    def first(shared: Column) -> Column:
+        one = F.get(shared, F.lit(0))
+        if not pairs:
+            return one
+        both = F.xxhash64(one, F.get(shared, F.lit(1)))
+        return F.when(F.size(shared) > 1, both.cast("string")).otherwise(one.cast("string"))
+
+    return let(F.array_intersect("a_prefix", "b_prefix"), first)
+
+
 def _source_class(prefix: str = "") -> Column:
     """Name of a node's only source, null for a node that several sources carry."""
     lo, hi = F.col(f"{prefix}lo"), F.col(f"{prefix}hi")
@@ -107,8 +137,8 @@ def _verified(
 ) -> DataFrame:
     """Similar pairs of entries that are equal in `on`, lie on different sources and are `needed`.
 
-    `needed` is a cheap test on a_ and b_ columns. With `once` a pair comes only from its first
-    common prefix gram.
+    `needed` is a cheap test on a_ and b_ columns. With `once`, for entries with pairs as keys, two
+    titles are compared only where they meet first.
     """
     a = left.select(*on, *[F.col(c).alias(f"a_{c}") for c in left.columns if c != "gram"])
     b = right.select(*on, *[F.col(c).alias(f"b_{c}") for c in right.columns if c != "gram"])
@@ -119,8 +149,7 @@ def _verified(
     # Bounds the similarity without dividing.
     close = common * (1 + threshold) >= both * threshold - 1e-9
     if once:
-        first = F.get(F.array_intersect("a_prefix", "b_prefix"), F.lit(0))
-        close = F.when(first == F.col("gram"), close)
+        close = F.when(_first_key(pairs=True) == F.col("gram"), close)
     # Nested, so that the arrays are only compared where the cheap tests hold.
     test = F.when(needed & ~one_source & near, close).otherwise(False)
     pairs = a.join(b, list(on)).filter(test)
@@ -135,10 +164,12 @@ def similar_titles(
 ) -> DataFrame:
     """(a, b, sim): pairs of different titles of different sources, a < b.
 
-    Each pair comes from its first common prefix gram, so no distinct is needed. For folding use
+    Each pair comes from the first key it shares, so no distinct is needed. For folding use
     `fold_titles`, which does not list the pairs of a large cluster.
     """
-    entries = _mark_main(_entries(_nodes(df, title, key, n), threshold), [_source_class()])
+    _check(threshold)
+    ordered = _ordered(_nodes(df, title, key, n))
+    entries = _mark_main(_entries(ordered, threshold, pairs=True), [_source_class()])
     once_each = (F.col("a_node") < F.col("b_node")) | F.col("b_main")
     pairs = _verified(entries.filter(~F.col("main")), entries, threshold, once_each, once=True)
     return pairs.select(
@@ -178,6 +209,42 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _centres(placed: DataFrame, turn: int) -> DataFrame:
+    """Two entries per gram and title length, of different sources where there are any.
+
+    Entries of one source are not linked with each other, so a cluster needs a centre outside it.
+    Another turn takes other centres.
+    """
+    payload = [c for c in placed.columns if c not in ("gram", "size")]
+    chance = F.xxhash64("node", F.lit(turn))
+    rank = F.struct(F.coalesce(_source_class(), F.lit("m")), chance)
+    both = placed.groupBy("gram", "size").agg(
+        F.min_by(F.struct(*payload), rank).alias("low"), F.max_by(F.struct(*payload), rank).alias("high")
+    )
+    each = both.select("gram", "size", F.explode(F.array("low", "high")).alias("centre"))
+    return each.select("gram", "size", "centre.*")
+
+
+def _merge(state: DataFrame, links: DataFrame) -> DataFrame:
+    """Give linked parts one label."""
+    edges = links.select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))
+    merged = components(edges).withColumnRenamed("node", "part")
+    return cut_lineage(
+        state.join(merged, "part", "left")
+        .withColumn("linked", F.col("linked") | F.col("label").isNotNull())
+        .withColumn("part", F.coalesce("label", "part")).drop("label")
+    )
+
+
+def _parts(state: DataFrame) -> int:
+    return state.select("part").distinct().count()
+
+
+def _check(threshold: float) -> None:
+    if not 0.5 < threshold <= 1:
+        raise ValueError("the threshold must lie above 0.5 and not above 1")
+
+
 def fold_titles(
     df: DataFrame, title: str = "title", key: str = "id", n: int = GRAM,
     threshold: float = THRESHOLD,
@@ -185,42 +252,33 @@ def fold_titles(
     """(key, group): the smallest key among the items that are the same across sources.
 
     Items are linked when they lie on different sources and their titles are equal or similar;
-    groups are transitive. `key` must be unique. Two passes find the links. The first compares
-    each title with one centre per prefix gram and title length, which joins large clusters
-    without comparing their members. The second compares what is still apart: per gram, titles
-    outside the largest part or source with all titles.
+    groups are transitive. `key` must be unique. First, turn by turn, each title is compared with
+    two centres per prefix gram and title length, which joins large clusters without comparing
+    their members; this goes on while it joins much. Then what is still apart is compared in
+    full, by pairs of prefix grams: titles outside the largest part or source of a pair with all
+    titles of the pair.
     """
-    nodes = _nodes(df, title, key, n)
-    entries = cut_lineage(_entries(nodes, threshold))
-    payload = [c for c in entries.columns if c not in ("gram", "size")]
-    centres = entries.groupBy("gram", "size").agg(
-        F.min_by(F.struct(*payload), "node").alias("_centre")
-    ).select("gram", "size", "_centre.*")
-    stars = _verified(
-        centres, entries, threshold, F.col("a_node") < F.col("b_node"), ("gram", "size")
-    )
-    parts = components(stars.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")))
-    placed = entries.join(parts, "node", "left").withColumn(
-        "part", F.coalesce("label", "node")
-    ).drop("label")
+    _check(threshold)
+    ordered = _ordered(_nodes(df, title, key, n))
+    apart = F.col("a_part") != F.col("b_part")
+    state = cut_lineage(
+        ordered.select("node", F.col("node").alias("part"), F.lit(False).alias("linked"))
+    )
+    before, now, turn = None, _parts(state), 0
+    while before is None or now < before * PROGRESS:
+        placed = _entries(ordered.join(state, "node"), threshold, pairs=False)
+        links = _verified(_centres(placed, turn), placed, threshold, apart, ("gram", "size"))
+        state = _merge(state, links)
+        before, now, turn = now, _parts(state), turn + 1
+    placed = _entries(ordered.join(state, "node"), threshold, pairs=True)
     marked = _mark_main(placed, [F.concat(F.lit("p"), "part"), _source_class()])
-    bridges = _verified(
-        marked.filter(~F.col("main")), marked, threshold, F.col("a_part") != F.col("b_part"),
-        once=True,
-    )
-    merged = components(
-        bridges.select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))
-    ).select(F.col("node").alias("part"), F.col("label").alias("whole"))
-    grouped = (
-        nodes.join(parts, "node", "left").withColumn("part", F.coalesce("label", "node"))
-        .join(merged, "part", "left")
-        .select(
-            "name", F.col("key").alias("first_key"), F.coalesce("whole", "part").alias("part"),
-            (F.coalesce("label", "whole").isNotNull() | (F.col("lo") != F.col("hi"))).alias("shared"),
-        )
+    rest = _verified(marked.filter(~F.col("main")), marked, threshold, apart, once=True)
+    whole = _merge(state, rest)
+    grouped = ordered.select("node", "name", "lo", "hi", "key").join(whole, "node").filter(
+        F.col("linked") | (F.col("lo") != F.col("hi"))
     )
-    first = grouped.filter("shared").groupBy("part").agg(F.min("first_key").alias("group"))
-    names = grouped.filter("shared").join(first, "part").select("name", "group")
+    first = grouped.groupBy("part").agg(F.min("key").alias("group"))
+    names = grouped.join(first, "part").select("name", "group")
     named = df.select(F.col(key).alias("key"), title_key(F.col(title)).alias("name"))
     return named.join(names, "name", "left").select(
         "key", F.coalesce("group", "key").alias("group")
