@@ -83,7 +83,8 @@ def _entries(ordered: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     """
     needed = F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)).cast("int")
     prefix = F.slice("grams", F.lit(1), F.col("size") - needed + (2 if pairs else 1))
-    keyed = ordered.withColumn("prefix", prefix)
+    # The gram lists stay behind: an entry exists once per key.
+    keyed = ordered.withColumn("prefix", prefix).drop("grams", "name", "key")
     if not pairs:
         return keyed.withColumn("gram", F.explode("prefix"))
     two = F.flatten(F.transform(
@@ -91,7 +92,7 @@ def _entries(ordered: DataFrame, threshold: float, pairs: bool) -> DataFrame:
             F.slice("prefix", at + 2, F.size("prefix")), lambda h: F.xxhash64(g, h)
         )
     ))
-    keys = F.when(F.col("size") == 1, F.col("grams").cast("array<string>")).otherwise(
+    keys = F.when(F.col("size") == 1, F.col("prefix").cast("array<string>")).otherwise(
         F.array_distinct(two).cast("array<string>")
     )
     return keyed.withColumn("gram", F.explode(keys))
@@ -132,29 +133,38 @@ def _mark_main(entries: DataFrame, classes: list[Column]) -> DataFrame:
 
 
 def _verified(
-    left: DataFrame, right: DataFrame, threshold: float, needed: Column,
+    left: DataFrame, right: DataFrame, ordered: DataFrame, threshold: float, needed: Column,
     on: tuple[str, ...] = ("gram",), once: bool = False,
 ) -> DataFrame:
     """Similar pairs of entries that are equal in `on`, lie on different sources and are `needed`.
 
     `needed` is a cheap test on a_ and b_ columns. With `once`, for entries with pairs as keys, two
-    titles are compared only where they meet first.
+    titles are candidates only where they meet first; otherwise repeats are removed. Only then are
+    the gram lists fetched.
     """
     a = left.select(*on, *[F.col(c).alias(f"a_{c}") for c in left.columns if c != "gram"])
     b = right.select(*on, *[F.col(c).alias(f"b_{c}") for c in right.columns if c != "gram"])
     one_source = F.coalesce(_source_class("a_") == _source_class("b_"), F.lit(False))
-    both = F.col("a_size") + F.col("b_size")
-    common = F.size(F.array_intersect("a_grams", "b_grams"))
     near = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * threshold - 1e-9
-    # Bounds the similarity without dividing.
-    close = common * (1 + threshold) >= both * threshold - 1e-9
+    test = needed & ~one_source & near
     if once:
-        close = F.when(_first_key(pairs=True) == F.col("gram"), close)
-    # Nested, so that the arrays are only compared where the cheap tests hold.
-    test = F.when(needed & ~one_source & near, close).otherwise(False)
-    pairs = a.join(b, list(on)).filter(test)
-    return pairs.withColumn("sim", common / (both - common)).filter(
-        F.when(test, F.col("sim") >= threshold)
+        # Nested, so that prefixes are only compared where the cheap tests hold.
+        test = F.when(test, _first_key(pairs=True) == F.col("gram")).otherwise(False)
+    carried = [c for c in ("a_node", "b_node", "a_part", "b_part") if c in (*a.columns, *b.columns)]
+    candidates = a.join(b, list(on)).filter(test).select(*carried)
+    if not once:
+        candidates = candidates.distinct()
+    lists = ordered.select("node", "name", "grams")
+    full = candidates.join(lists.select(*[F.col(c).alias(f"a_{c}") for c in lists.columns]), "a_node").join(
+        lists.select(*[F.col(c).alias(f"b_{c}") for c in lists.columns]), "b_node"
+    )
+
+    def jaccard(common: Column) -> Column:
+        return common / (F.size("a_grams") + F.size("b_grams") - common)
+
+    sim = let(F.size(F.array_intersect("a_grams", "b_grams")), jaccard)
+    return full.select(*carried, "a_name", "b_name", sim.alias("sim")).filter(
+        F.col("sim") >= threshold
     )
 
 
@@ -171,7 +181,9 @@ def similar_titles(
     ordered = _ordered(_nodes(df, title, key, n))
     entries = _mark_main(_entries(ordered, threshold, pairs=True), [_source_class()])
     once_each = (F.col("a_node") < F.col("b_node")) | F.col("b_main")
-    pairs = _verified(entries.filter(~F.col("main")), entries, threshold, once_each, once=True)
+    pairs = _verified(
+        entries.filter(~F.col("main")), entries, ordered, threshold, once_each, once=True
+    )
     return pairs.select(
         F.least("a_name", "b_name").alias("a"), F.greatest("a_name", "b_name").alias("b"), "sim"
     )
@@ -267,12 +279,16 @@ def fold_titles(
     before, now, turn = None, _parts(state), 0
     while before is None or now < before * PROGRESS:
         placed = _entries(ordered.join(state, "node"), threshold, pairs=False)
-        links = _verified(_centres(placed, turn), placed, threshold, apart, ("gram", "size"))
+        links = _verified(
+            _centres(placed, turn), placed, ordered, threshold, apart, ("gram", "size")
+        )
         state = _merge(state, links)
         before, now, turn = now, _parts(state), turn + 1
     placed = _entries(ordered.join(state, "node"), threshold, pairs=True)
     marked = _mark_main(placed, [F.concat(F.lit("p"), "part"), _source_class()])
-    rest = _verified(marked.filter(~F.col("main")), marked, threshold, apart, once=True)
+    rest = _verified(
+        marked.filter(~F.col("main")), marked, ordered, threshold, apart, once=True
+    )
     whole = _merge(state, rest)
     grouped = ordered.select("node", "name", "lo", "hi", "key").join(whole, "node").filter(
         F.col("linked") | (F.col("lo") != F.col("hi"))
