@@ -87,15 +87,22 @@ def _entries(ordered: DataFrame, threshold: float, pairs: bool) -> DataFrame:
     keyed = ordered.withColumn("prefix", prefix).drop("grams", "name", "key")
     if not pairs:
         return keyed.withColumn("gram", F.explode("prefix"))
+    # Of two titles the shorter one needs to show fewer grams: its keys within them are marked.
+    least = F.ceil(F.col("size") * F.lit(2 * threshold / (1 + threshold)) - F.lit(1e-9)).cast("int")
+    shown = F.col("size") - least + 2
+
+    def key(of: Column, last: Column) -> Column:
+        return F.struct(of.cast("string").alias("gram"), (last <= shown).alias("shown"))
+
     two = F.flatten(F.transform(
         "prefix", lambda g, at: F.transform(
-            F.slice("prefix", at + 2, F.size("prefix")), lambda h: F.xxhash64(g, h)
+            F.slice("prefix", at + 2, F.size("prefix")),
+            lambda h, further: key(F.xxhash64(g, h), at + further + 2),
         )
     ))
-    keys = F.when(F.col("size") == 1, F.col("prefix").cast("array<string>")).otherwise(
-        F.array_distinct(two).cast("array<string>")
-    )
-    return keyed.withColumn("gram", F.explode(keys))
+    one = F.transform("prefix", lambda g, at: key(g, at + 1))
+    keys = F.when(F.col("size") == 1, one).otherwise(two)
+    return keyed.withColumn("_key", F.explode(keys)).select("*", "_key.*").drop("_key")
 
 
 def _first_key(pairs: bool) -> Column:
@@ -168,6 +175,22 @@ def _verified(
     )
 
 
+def _compare(
+    marked: DataFrame, ordered: DataFrame, threshold: float, needed: Column | None = None
+) -> DataFrame:
+    """All similar pairs but those inside the largest class of a key: a the longer title."""
+    order = (F.col("b_size") < F.col("a_size")) | (
+        (F.col("b_size") == F.col("a_size")) & (F.col("b_node") < F.col("a_node"))
+    )
+    test = order if needed is None else order & needed
+    main, shown = F.col("main"), F.col("shown")
+    sides = ((marked.filter(~main), marked.filter(shown)), (marked.filter(main), marked.filter(shown & ~main)))
+    first, second = (
+        _verified(left, right, ordered, threshold, test, once=True) for left, right in sides
+    )
+    return first.unionByName(second)
+
+
 def similar_titles(
     df: DataFrame, title: str = "title", key: str = "id", n: int = GRAM,
     threshold: float = THRESHOLD,
@@ -179,12 +202,8 @@ def similar_titles(
     """
     _check(threshold)
     ordered = _ordered(_nodes(df, title, key, n))
-    entries = _mark_main(_entries(ordered, threshold, pairs=True), [_source_class()])
-    once_each = (F.col("a_node") < F.col("b_node")) | F.col("b_main")
-    pairs = _verified(
-        entries.filter(~F.col("main")), entries, ordered, threshold, once_each, once=True
-    )
-    return pairs.select(
+    marked = _mark_main(_entries(ordered, threshold, pairs=True), [_source_class()])
+    return _compare(marked, ordered, threshold).select(
         F.least("a_name", "b_name").alias("a"), F.greatest("a_name", "b_name").alias("b"), "sim"
     )
 
@@ -286,9 +305,7 @@ def fold_titles(
         before, now, turn = now, _parts(state), turn + 1
     placed = _entries(ordered.join(state, "node"), threshold, pairs=True)
     marked = _mark_main(placed, [F.concat(F.lit("p"), "part"), _source_class()])
-    rest = _verified(
-        marked.filter(~F.col("main")), marked, ordered, threshold, apart, once=True
-    )
+    rest = _compare(marked, ordered, threshold, apart)
     whole = _merge(state, rest)
     grouped = ordered.select("node", "name", "lo", "hi", "key").join(whole, "node").filter(
         F.col("linked") | (F.col("lo") != F.col("hi"))
