@@ -12,7 +12,6 @@ from ..session import cut_lineage
 # Words are runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-NUMBER_BUCKETS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,44 +41,40 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def with_copy(df: DataFrame, name: str) -> DataFrame:
-    """Fold repeated rows and number them again, so that each row of the result is unique.
-
-    A row that is repeated any number of times arrives at the shuffle once per task.
-    """
-    columns = df.columns
-    return df.groupBy(*columns).agg(F.count("*").alias("_rows")).select(
-        *columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_rows"))).alias(name)
-    )
-
-
-def number_rows(
-    df: DataFrame, keys: list[str], order: list[str], name: str, buckets: int = NUMBER_BUCKETS
+def accumulate(
+    df: DataFrame, keys: list[str], buckets: list[Column], order: list[Column],
+    totals: dict[str, Column],
 ) -> DataFrame:
-    """0-based row number per key in the order of `order`, whose first column is a hexadecimal hash.
+    """Add, for each name of `totals`, the sum of its column over the rows of the key before the row.
 
-    The leading hash digits cut each key into buckets: the buckets are counted and the counts
-    accumulated, then rows are numbered inside their bucket. A key that owns a third of all rows is
-    spread over all its buckets. `order` must be total.
+    `buckets` cut a key into ordered pieces; `order` sorts inside a piece. The pieces are summed with
+    partial aggregation and accumulated per key, then rows are accumulated inside their piece. So a
+    key that owns a third of all rows is spread over all its pieces. Rows that `order` cannot tell
+    apart get consecutive sums in any order. Null keys are a key of their own.
     """
-    digits = max(1, len(f"{buckets - 1:x}"))
-    cut = df.withColumn("_bucket", F.substring(F.col(order[0]), 1, digits))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = cut.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    shifts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    names = [f"_b{k}" for k in range(len(buckets))]
+    cut = df.withColumns({**dict(zip(names, buckets)), **{f"_v_{n}": c for n, c in totals.items()}})
+    pieces = cut.groupBy(*keys, *names).agg(*[F.sum(f"_v_{n}").alias(f"_p_{n}") for n in totals])
+    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    inside = (
+        Window.partitionBy(*keys, *names).orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    zero = F.lit(0).cast("bigint")
+    shifts = pieces.select(
+        *keys, *names, *[F.coalesce(F.sum(f"_p_{n}").over(before), zero).alias(f"_s_{n}") for n in totals]
+    )
+    left = cut.withColumns({f"_i_{n}": F.coalesce(F.sum(f"_v_{n}").over(inside), zero) for n in totals})
     same = F.lit(True)
-    numbered = cut.withColumn("_seq", F.row_number().over(inside)).alias("l")
-    right = shifts.alias("r")
-    for k in [*keys, "_bucket"]:
+    for k in [*keys, *names]:
         same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    return numbered.join(right, same).select(
+    return left.alias("l").join(shifts.alias("r"), same).select(
         *[F.col(f"l.{c}") for c in df.columns],
-        (F.col("_shift") + F.col("_seq") - 1).cast("bigint").alias(name),
+        *[(F.col(f"l._i_{n}") + F.col(f"r._s_{n}")).cast("bigint").alias(n) for n in totals],
     )
 
 
 __all__ = [
-    "WORD", "SPACE", "table", "whole", "let", "words", "n_words", "ascii_lower", "with_copy",
-    "number_rows", "join_dimension", "cut_lineage",
+    "WORD", "SPACE", "table", "whole", "let", "words", "n_words", "ascii_lower", "accumulate",
+    "join_dimension", "cut_lineage",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chunk_prints, warc
+from . import byte_bpe, chunk_prints, divergence, link_graph, minhash, mixing, reshard, site_lines, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +41,105 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+
+
+@query()
+def op1_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_graph.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query()
+def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return divergence.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('mix-1/' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+      FROM d GROUP BY source),
+l AS (SELECT *, CAST(3 * source_size AS BIGINT) AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total,
+             CAST(sum(3 * source_size) OVER o AS BIGINT) - 3 * source_size AS cap_before,
+             CAST(sum(w) OVER () AS BIGINT) - CAST(sum(w) OVER o AS BIGINT) + w AS w_from
+      FROM s WINDOW o AS (ORDER BY 3 * source_size / w, source NULLS LAST)),
+c AS (SELECT *, CAST(cap AS HUGEINT) * w_from <= CAST(total - cap_before AS HUGEINT) * w AS capped FROM l),
+r AS (SELECT *, total - CAST(sum(CASE WHEN capped THEN cap ELSE 0 END) OVER () AS BIGINT) AS left_over,
+             CAST(sum(CASE WHEN capped THEN 0 ELSE w END) OVER () AS BIGINT) AS w_open FROM c),
+t AS (SELECT source, source_size,
+             CASE WHEN capped THEN CAST(cap AS DOUBLE)
+                  ELSE CAST(w * left_over AS DOUBLE) / CAST(w_open AS DOUBLE) END AS target FROM r),
+q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM t),
+p AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota,
+             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS before
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(CASE WHEN size = 0 THEN 0 ELSE (quota // source_size) * size
+            + least(size, greatest(0, quota % source_size - before)) END AS BIGINT) AS taken
+FROM p
+"""
+
+
+@query(MIX_SQL)
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+@query()
+def op7_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshard.sharded_documents(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+SITE_LINES_SQL = r"""
+WITH l AS (
+  SELECT rowid_ AS row, source, doc_id, line, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS key, place
+  FROM (SELECT row_number() OVER () AS rowid_, source, doc_id, string_split(text, chr(10)) AS lines FROM documents) d,
+       LATERAL (SELECT unnest(d.lines) AS line, generate_subscripts(d.lines, 1) AS place)),
+n AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+f AS (SELECT l.source, l.key, TRUE AS flagged FROM l JOIN n ON l.source IS NOT DISTINCT FROM n.source
+      WHERE l.key <> '' GROUP BY l.source, l.key, n.pages
+      HAVING count(DISTINCT l.row) >= 5 AND count(DISTINCT l.row) * 100 > n.pages * 5),
+k AS (SELECT l.*, coalesce(f.flagged, FALSE) AS flagged FROM l
+      LEFT JOIN f ON l.source IS NOT DISTINCT FROM f.source AND l.key = f.key),
+a AS (SELECT row, any_value(doc_id) AS doc_id, count(*) AS n_lines,
+             CAST(sum(CASE WHEN flagged THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+             sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT flagged), '')) AS kept_sha256
+      FROM k GROUP BY row)
+SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM a
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
+"""
+
+
+@query(SITE_LINES_SQL)
+def op8_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    kept = site_lines.drop_site_lines(docs, counts=("n_lines", "n_dropped"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(c.least, s.doc_id)) AS component_id,
+       s.doc_id <= coalesce(c.least, s.doc_id) AS kept
+FROM s LEFT JOIN c ON c.a = s.doc_id
+"""
+
+
+@query(NEAR_SQL)
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
