@@ -1,12 +1,73 @@
-"""A training corpus from `documents` in stages; each stage works on all its predecessor kept."""
+"""A training corpus from `documents` in stages; each stage works on all its predecessor kept.
+
+language    documents in no known language go; `lang` becomes the identified language
+site lines  boilerplate lines of a source leave the texts
+near dups   one document of each group of near duplicates stays
+mixing      sources are brought to their target weights; documents are dropped, repeated or cut
+tokens      texts become ids, and ids texts again as a check
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from noticeloom.llm import byte_bpe, language, minhash, mixing, site_lines
+from noticeloom.llm.common import cut_lineage
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+# Stages drop documents and cut texts by models and hashes that SQL does not have.
 ORACLE_SQL = None
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that language identification keeps, with the language it found."""
+    found = language.identify(docs.select(*COLUMNS), keep=("text", "source", "n_chars")).filter("kept")
+    return found.withColumnRenamed("language", "lang").select(*COLUMNS)
+
+
+def without_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the boilerplate lines of their source."""
+    return _counted(site_lines.drop_site_lines(docs.select(*COLUMNS), "source", "text"))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; documents without words stay."""
+    return minhash.drop_near_duplicates(docs.select(*COLUMNS))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row per drawn document."""
+    return _counted(mixing.mixed_documents(docs.select(*COLUMNS), COLUMNS))
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_tokens, ids, ids_sha256, decoded_sha256) of every document."""
+    encoded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(encoded.drop("text"), RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.with_digests(decoded).select(
+        "doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", known_language),
+    ("site_lines", without_site_lines),
+    ("near_duplicates", without_near_duplicates),
+    ("mixing", mixed),
+    ("byte_bpe", tokenized),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`; what a stage returns is written and read by the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..operators.fold import components
-from .common import cut_lineage
+from .common import WORD, cut_lineage
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 75
@@ -94,14 +94,14 @@ def bands(found: np.ndarray) -> np.ndarray:
 
 
 PRINT = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
-    T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
+    T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()),
+    T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
 ])
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+        ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
         ("bands", pa.list_(pa.int64())),
     ])
     for batch in batches:
@@ -116,7 +116,7 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), lists],
+            [pa.array(ids, pa.int64()), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), lists],
             schema=schema)
 
 
@@ -253,18 +253,11 @@ def _linked(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return labels
 
 
-def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = SIMILAR_PERCENT,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): one row per row of `docs`.
-
-    Documents are linked when the similarity of their sets of 5-word shingles is `percent` or more;
-    component_id is the smallest id that can be reached over links. Texts without words, empty or
-    null, have an empty set and are linked with nothing. Rows with equal texts have equal sets and
-    are linked, repeated rows too: those that repeat the smallest id are all kept. A null id is never
-    the smallest unless all are null. No rows: no rows. Other columns are not read.
-    """
-    source = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def _judged(docs: DataFrame, id: str, text: str, percent: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, label, component_id, kept) of every row; label numbers the component."""
+    source = docs.select(
+        F.col(id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(text).cast("string")).alias("text_key"))
     prints = cut_lineage(source.mapInArrow(_prints, PRINT))
     # Numbers are given before the table is written, so they stay.
     nodes = cut_lineage(
@@ -276,8 +269,47 @@ def near_duplicates(
     whole = nodes.select("digest", "doc_id", "node").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     least = whole.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = whole.join(least, "label").select("digest", "component_id", F.lit(True).alias("_found"))
-    joined = prints.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.when(F.col("_found"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    named = whole.join(least, "label").select("digest", "label", "component_id")
+    joined = prints.drop("bands").join(named, "digest", "left")
+    component = F.when(F.col("label").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", "text_key", "n_shingles", "label", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = SIMILAR_PERCENT,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): one row per row of `docs`.
+
+    Documents are linked when the similarity of their sets of 5-word shingles is `percent` or more;
+    component_id is the smallest id that can be reached over links. Texts without words, empty or
+    null, have an empty set and are linked with nothing. Rows with equal texts have equal sets and
+    are linked, repeated rows too: those that repeat the smallest id are all kept. A null id is never
+    the smallest unless all are null. No rows: no rows. Other columns are not read.
+    """
+    return _judged(docs, id, text, percent).drop("text_key", "label")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = SIMILAR_PERCENT,
+) -> DataFrame:
+    """`docs` with one row of each group: the smallest id, and of rows repeating it any one.
+
+    Rows are told apart by id and text. Rows without words stay.
+    """
+    judged = cut_lineage(_judged(docs, id, text, percent))
+    gone = judged.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    firsts = judged.filter("kept AND n_shingles > 0")
+    repeated = cut_lineage(firsts.groupBy("label").agg(
+        F.min("text_key").alias("least"), F.count("*").alias("n")).filter("n > 1"))
+    again = not repeated.isEmpty()
+    if again:
+        others = firsts.join(repeated, "label").filter("text_key <> least")
+        gone = gone.unionByName(others.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")))
+    keyed = docs.withColumn("_text_key", F.xxhash64(F.col(text).cast("string")))
+    same = F.col(id).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    left = keyed.join(gone.distinct(), same, "left_anti")
+    if again:
+        worded = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(WORD)
+        left = left.filter(worded).dropDuplicates([id, "_text_key"]).unionByName(left.filter(~worded))
+    return left.drop("_text_key")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chunk_prints, divergence, link_graph, minhash, mixing, reshard, site_lines, warc
+from . import byte_bpe, chunk_prints, divergence, language, link_graph, minhash, mixing, reshard, site_lines, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,17 @@ FROM s LEFT JOIN c ON c.a = s.doc_id
 @query(NEAR_SQL)
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language.identify(docs).select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "kept")
+
+
+@query()
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same evidence fusion on web pages, with their markup language, host and address suffix."""
+    pages = language.page_evidence(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    found = language.identify(pages, "page_id", "text", "lang", "host", "suffix")
+    return found.select("page_id", "language", F.round("posterior", 6).alias("posterior"), "kept")
