@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 PIECE_CHARS = 1 << 20
 SAFE_CUT = r"(?<=\S) (?=\p{L})"
 # Pieces of text whose ids a worker remembers before it starts anew.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 600_000
+# Tokens that are turned into bytes at a time.
+DECODE_TOKENS = 1 << 20
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 
 
@@ -33,11 +35,30 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+class _Places(dict):
+    """Gives each new piece of text the next place, and keeps it until it is encoded."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        place = self[piece] = len(self)
+        self.new.append(piece)
+        return place
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs flat[start:start + length], one after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - ends + lengths, lengths) + np.arange(total)]
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; built once per Python worker."""
 
     def __init__(self, ranks_file: bytes, pattern: str):
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import models
 
         ranks = {
             base64.b64decode(token): int(rank)
@@ -53,15 +74,21 @@ class Codec:
             if t[:k] in ranks and t[k:] in ranks
         ]
         vocabulary = {spelled[t]: rank for t, rank in ranks.items()}
-        self.model = Tokenizer(models.BPE(vocabulary, merges, ignore_merges=True))
-        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenize = models.BPE(vocabulary, merges, ignore_merges=True).tokenize
+        self.letters = dict(enumerate(letters))
         back = {c: b for b, c in enumerate(letters)}
-        self.token_bytes = {
-            self.model.token_to_id(s): bytes(back[c] for c in s) for s in vocabulary
-        }
+        tokens = {vocabulary[s]: bytes(back[c] for c in s) for s in vocabulary}
+        top = max(tokens, default=-1) + 1
+        self.lengths = np.array([len(tokens[k]) if k in tokens else -1 for k in range(top)], np.int64)
+        self.starts = np.cumsum(np.maximum(self.lengths, 0)) - np.maximum(self.lengths, 0)
+        self.table = np.frombuffer(b"".join(tokens.get(k, b"") for k in range(top)), np.uint8)
         self.matches = regex.compile(pattern).findall
         self.cut = regex.compile(SAFE_CUT).search
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places = _Places()
+        self.flat, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def _parts(self, text: str):
         start = 0
@@ -73,39 +100,51 @@ class Codec:
             start = found.start()
         yield text[start:] if start else text
 
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Pieces are encoded once, by the library, then gathered by place."""
+        if len(self.places) > MEMO_PIECES:
+            self._forget()
+        places = [[
+            np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
+            for pieces in map(self.matches, self._parts(text))
+        ] for text in texts]
+        if self.places.new:
+            # Bytes are read as Latin-1 characters, and these are spelled with the byte table.
+            ids = [
+                [t.id for t in self.tokenize(p.encode().decode("latin-1").translate(self.letters))]
+                for p in self.places.new
+            ]
+            self.places.new.clear()
+            more = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + self.ends[-1]
+            new = np.fromiter(itertools.chain.from_iterable(ids), np.int32)
+            self.flat, self.ends = np.concatenate([self.flat, new]), np.concatenate([self.ends, more])
+        starts, lengths = self.ends[:-1], np.diff(self.ends)
+        return [np.concatenate([_gather(self.flat, starts[at], lengths[at]) for at in parts]) for parts in places]
+
     def encode(self, text: str) -> np.ndarray:
-        out = []
-        for part in self._parts(text):
-            pieces = self.matches(part)
-            if len(self.memo) > MEMO_PIECES:
-                self.memo.clear()
-            new = [p for p in dict.fromkeys(pieces) if p not in self.memo]
-            for piece, encoded in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-                self.memo[piece] = tuple(encoded.ids)
-            flat = itertools.chain.from_iterable(map(self.memo.__getitem__, pieces))
-            out.append(np.fromiter(flat, np.int32))
-        return out[0] if len(out) == 1 else np.concatenate(out)
-
-    def decode(self, ids: list[int]) -> bytes:
-        try:
-            return b"".join(map(self.token_bytes.__getitem__, ids))
-        except KeyError as unknown:
-            raise ValueError(f"{unknown} is no id of this vocabulary") from None
+        return self.encode_batch([text])[0]
+
+    def decode(self, ids) -> bytes:
+        """The bytes of all tokens, joined: a character that lies in several tokens is whole again."""
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or self.lengths[ids].min() < 0):
+            raise ValueError("there are ids that are not in this vocabulary")
+        return b"".join(
+            _gather(self.table, self.starts[part], self.lengths[part]).tobytes()
+            for part in (ids[k:k + DECODE_TOKENS] for k in range(0, len(ids), DECODE_TOKENS))
+        )
 
     def spans(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Characters each token touches: a token with a part of a character spans all of it."""
         data = np.frombuffer(text.encode("utf-8"), np.uint8)
         of_byte = np.cumsum((data & 0xC0) != 0x80) - 1
-        ends = np.cumsum([len(self.token_bytes[i]) for i in ids], dtype=np.int64)
+        ends = np.cumsum(self.lengths[np.asarray(ids, np.int64)])
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         return of_byte[starts], of_byte[ends - 1] + 1 if len(ends) else ends
 
 
 @functools.lru_cache(maxsize=2)
 def codec(ranks_file: bytes, pattern: str) -> Codec:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Codec(ranks_file, pattern)
 
 
@@ -128,8 +167,14 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
     def encoded(texts: pa.Array) -> pa.Array:
-        own = codec(ranks_file, pattern)
-        return _lists([own.encode(t.as_py() or "") for t in texts], pa.int32())
+        own, out, slice_, held = codec(ranks_file, pattern), [], [], 0
+        for t in texts:
+            slice_.append(t.as_py() or "")
+            held += len(slice_[-1])
+            if held > PIECE_CHARS:
+                out += own.encode_batch(slice_)
+                slice_, held = [], 0
+        return _lists(out + own.encode_batch(slice_), pa.int32())
 
     return df.withColumn(ids, encoded(F.col(text)))
 
@@ -141,7 +186,9 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     @F.arrow_udf(T.BinaryType())
     def decoded(lists: pa.Array) -> pa.Array:
         own = codec(ranks_file, pattern)
-        return pa.array([own.decode(x.as_py() or ()) for x in lists], pa.binary())
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        return pa.array([own.decode(x) for x in np.split(flat, ends[:-1])] if len(lists) else [], pa.binary())
 
     return df.withColumn(out, decoded(F.col(ids)))
 
@@ -164,13 +211,17 @@ def token_spans(
     return df.withColumn(out, spanned(F.col(text), F.col(ids)))
 
 
+def with_digests(decoded: DataFrame) -> DataFrame:
+    """Add n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256."""
+    return decoded.withColumns({
+        "n_tokens": F.size("ids").cast("bigint"),
+        "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256),
+        "decoded_sha256": F.sha2("decoded", 256),
+    })
+
+
 def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of `df`(doc_id, text): encoded, then decoded."""
     encoded = encode(df.select("doc_id", "text"), path, pattern).drop("text")
-    decoded = decode(encoded, path, pattern)
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    digests = with_digests(decode(encoded, path, pattern))
+    return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

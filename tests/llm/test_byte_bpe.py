@@ -12,7 +12,7 @@ from noticeloom.llm.queries import QUERIES, RANKS
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", " ", "a", "\n\n  x\t\t", "naïve café 日本語 한국어 🙂🙂", "don't we'll  they've", "<|endoftext|> 12345",
-       "‍́ \x00\x7f", "ab " * 3000, "é" * 5000, "word.\r\n next　line", "aaaaaaaaaaaaaaaaaaaaaaaa"]
+       "‍́ \x00\x7f", "ab " * 3000, "é" * 5000, "\x1c\x1d sep\x1f \x85 \xa0 x", "word.\r\n next　line", "aaaaaaaaaaaaaaaaaaaaaaaa"]
 
 
 @pytest.fixture(scope="module")
@@ -64,6 +64,12 @@ def test_long_text_is_cut_without_trace(monkeypatch, reference):
     whole = own.encode(text).tolist()
     monkeypatch.setattr(bb, "PIECE_CHARS", 37)
     assert own.encode(text).tolist() == whole == reference.encode_ordinary(text)
+    monkeypatch.setattr(bb, "MEMO_PIECES", 3)
+    monkeypatch.setattr(bb, "DECODE_TOKENS", 2)
+    for _ in range(3):
+        ids = own.encode_batch([text, "", text[:50], "new pieces here"])
+        assert ids[0].tolist() == whole and own.decode(ids[0]).decode() == text
+        assert ids[3].tolist() == reference.encode_ordinary("new pieces here")
 
 
 def test_empty_table_and_unknown_id(spark):
