@@ -182,14 +182,20 @@ BOARDS = {spec.source: spec for spec in (KSTARTUP, BIZINFO, NIPA, KOCCA, SMTECH)
 
 
 def to_unified(board_one: DataFrame) -> DataFrame:
-    """Board-one records keyed as in the unified table; fields it lacks are ''."""
+    """Board-one records keyed as in the unified table; fields it lacks are ''.
+
+    The category is the field, the start the start of applications; its other fields are kept under
+    their own names.
+    """
     kept = [c for c in board_one.columns if c in ("run_id", "page_no", "pos")]
     present = {
         "source": F.lit("kstartup"), "id": F.col("pbancSn"), "title": F.col("title"),
         "org": F.col("org"), "apply_end": F.col("deadline"), "url": F.col("url"),
+        "field": F.coalesce("category", F.lit("")), "apply_start": F.coalesce("start", F.lit("")),
     }
+    own = [c for c in ("dday", "program", "agency_type") if c in board_one.columns]
     return board_one.select(
-        *kept, *[present.get(n, F.lit("")).alias(n) for n in UNIFIED_FIELDS]
+        *kept, *[present.get(n, F.lit("")).alias(n) for n in UNIFIED_FIELDS], *own
     )
 
 

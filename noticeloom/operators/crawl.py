@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.pages import OK_STATUS, PAGE_CAP
+from ..sources.pages import OK_STATUS, cap_of
 from .scaling import join_dimension, running_total
 
 REASONS = ("status", "empty", "no_new", "gap", "cap")
@@ -35,16 +37,19 @@ def page_yield(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     return running_total(counted, ["source"], "page_no", "_ids", "total").drop("_ids")
 
 
-def stop_pages(pages: DataFrame, yields: DataFrame, cap: int = PAGE_CAP) -> DataFrame:
+def stop_pages(
+    pages: DataFrame, yields: DataFrame, caps: int | Mapping[str, int] | None = None
+) -> DataFrame:
     """(source, stop_page, stop_reason, crawl_complete): the first page that ends a crawl.
 
-    A page ends it by its status, by having no rows, by bringing nothing new, or by missing. The
-    crawl is complete when nothing new came, or when a page after the first was empty.
+    A page ends it by its status (a missing status is no answer either), by having no rows, by
+    bringing nothing new, or by missing; a cap ends it only where the caller gives one. The crawl is
+    complete when nothing new came, or when a page after the first was empty.
     """
     page = pages.select("source", "page_no", "status")
     seen = page.join(yields, ["source", "page_no"], "left")
     rank = (
-        F.when(F.col("status") != OK_STATUS, 0)
+        F.when(~F.col("status").eqNullSafe(F.lit(OK_STATUS)), 0)
         .when(F.coalesce("parsed", F.lit(0)) == 0, 1)
         .when(F.col("new_rows") == 0, 2)
     )
@@ -58,11 +63,11 @@ def stop_pages(pages: DataFrame, yields: DataFrame, cap: int = PAGE_CAP) -> Data
         .join(page, ["source", "page_no"], "left_anti")
         .select("source", (F.col("page_no") * size + 3).alias("code"))
     )
-    capped = page.select("source", (F.lit(cap) * size + 4).alias("code")).distinct()
-    stops = (
-        ends.unionByName(gaps).unionByName(capped)
-        .groupBy("source").agg(F.min("code").alias("code"))
-    )
+    found = ends.unionByName(gaps)
+    if caps is not None:
+        cap = cap_of(F.col("source"), caps)
+        found = found.unionByName(page.select("source", (cap * size + 4).alias("code")).distinct())
+    stops = found.groupBy("source").agg(F.min("code").alias("code"))
     reason = F.element_at(F.array(*[F.lit(r) for r in REASONS]), (F.col("code") % 8 + 1).cast("int"))
     stop_page = F.floor(F.col("code") / 8).cast("int")
     complete = (reason == "no_new") | ((reason == "empty") & (stop_page > 1))

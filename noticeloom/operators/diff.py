@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import KEY
+from ..session import cut_lineage
 from .scaling import join_dimension
 
 
@@ -28,12 +29,12 @@ def source_coverage(prev: DataFrame, curr: DataFrame) -> DataFrame:
 def pair_runs(prev: DataFrame, curr: DataFrame, order: list[str]) -> DataFrame:
     """Both runs by key with one shuffle: (source, id, prev, curr, prev_pos, curr_pos).
 
-    Repeated keys inside a run are folded in the same step: last values, first position.
+    Fields that only one run has are null in the records of the other. Repeated keys inside a run are folded in the same step: last values, first position.
     """
-    fields = [c for c in prev.columns if c in curr.columns]
+    fields = list(dict.fromkeys([*prev.columns, *curr.columns]))
     place = F.struct(*order)
-    tagged = prev.select(*fields, F.lit(0).alias("_run")).unionByName(
-        curr.select(*fields, F.lit(1).alias("_run"))
+    tagged = prev.withColumn("_run", F.lit(0)).unionByName(
+        curr.withColumn("_run", F.lit(1)), allowMissingColumns=True
     )
     record = F.struct(*[c for c in fields if c not in order])
 
@@ -53,12 +54,25 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, order: list[str]) -> DataFra
 
     new, closed: the source is in both runs. deadline_changed, unchanged: the key is in both,
     a null deadline equals ''. first_time, not_recrawled: the source is in one run only.
+
+    The runs are read and paired once. The pairs are written as a stage, and the coverage of the
+    sources is taken from them by one aggregate of two flags.
     """
-    return with_status(pair_runs(prev, curr, order), source_coverage(prev, curr))
+    paired = cut_lineage(pair_runs(prev, curr, order))
+    return with_status(paired, paired_coverage(paired))
+
+
+def paired_coverage(paired: DataFrame) -> DataFrame:
+    """(source, coverage) of paired runs."""
+    flags = paired.groupBy("source").agg(
+        F.max(F.col("prev").isNotNull()).alias("p"), F.max(F.col("curr").isNotNull()).alias("c")
+    )
+    coverage = F.when(F.col("p") & F.col("c"), "common").when(F.col("c"), "added").otherwise("dropped")
+    return flags.select("source", coverage.alias("coverage"))
 
 
 def with_status(paired: DataFrame, coverage: DataFrame) -> DataFrame:
-    known = join_dimension(paired, coverage.select("source", "coverage"), ["source"], ["id"])
+    known = paired.join(coverage.select("source", "coverage"), "source", "left")
     status = (
         F.when(F.col("prev").isNotNull() & F.col("curr").isNotNull(),
                F.when(_end("prev") != _end("curr"), "deadline_changed").otherwise("unchanged"))
@@ -199,12 +213,18 @@ def lost_opportunities(diff: DataFrame, verdicts: DataFrame, tier: str = "A") ->
 
 
 def incremental_report(diff: DataFrame, before: DataFrame, now: DataFrame) -> DataFrame:
-    """Items by status, tier before and tier now, per profile; a missing tier is 'none'."""
+    """Items by status, tier before and tier now, per profile; a missing tier is 'none'.
+
+    Items that no profile has a verdict for are counted under a null profile.
+    """
     old = before.select("profile_id", *KEY, F.col("tier").alias("tier_before"))
     new = now.select("profile_id", *KEY, F.col("tier").alias("tier_now"))
     judged = old.join(new, ["profile_id", *KEY], "full_outer")
+    there = diff.select(*KEY, "status")
+    found = judged.join(there, KEY)
+    silent = there.join(judged.select(*KEY).distinct(), KEY, "left_anti")
     return (
-        judged.join(diff.select(*KEY, "status"), KEY)
+        found.unionByName(silent, allowMissingColumns=True)
         .groupBy(
             "profile_id", "status",
             F.coalesce("tier_before", F.lit("none")).alias("tier_before"),

@@ -50,14 +50,21 @@ def running_total(
         .drop("_sum")
     )
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
-    return (
-        blocked.withColumn("_inside", F.sum(value).over(inside))
-        .join(before, [*keys, "_block"])
-        .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop("_block", "_before", "_inside")
+    placed = blocked.withColumn("_inside", F.sum(value).over(inside))
+    total = (F.col("_before") + F.col("_inside")).alias(name)
+    return _join_by_row_keys(placed, before, [*keys, "_block"]).select(
+        *[F.col(f"l.{c}") for c in df.columns if c != name], total
     )
 
 
+def _join_by_row_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join as `l` and `r`; a null key matches a null key, so no row of `left` is lost."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
+    return left.alias("l").join(right.alias("r"), same)
+
+
 def row_number_by_range(
     df: DataFrame, keys: list[str], order: list[Column], name: str
 ) -> DataFrame:
@@ -80,8 +87,7 @@ def row_number_by_range(
     # One row per key and partition, not per row of the data.
     earlier = Window.partitionBy(*keys).orderBy("_part")
     shifts = parts.withColumn("_shift", F.sum("_rows").over(earlier) - F.col("_rows")).drop("_rows")
-    return (
-        kept.join(shifts, [*keys, "_part"])
-        .withColumn(name, F.col("_shift") + F.col("_seq") - F.col("_first") + 1)
-        .drop("_part", "_seq", "_shift", "_first")
+    number = (F.col("_shift") + F.col("_seq") - F.col("_first") + 1).alias(name)
+    return _join_by_row_keys(kept, shifts, [*keys, "_part"]).select(
+        *[F.col(f"l.{c}") for c in df.columns if c != name], number
     )

@@ -310,12 +310,13 @@ def lost_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {SQL_ORDER_RUNS}, {SQL_DIFF}, {SQL_VERDICTS}
-SELECT v.profile_id, d.status, v.tier AS tier_before,
-       CASE WHEN d.status IN ('unchanged', 'deadline_changed') THEN v.tier ELSE 'none' END AS tier_now,
+SELECT v.profile_id, d.status, coalesce(v.tier, 'none') AS tier_before,
+       CASE WHEN v.tier IS NOT NULL AND d.status IN ('unchanged', 'deadline_changed') THEN v.tier ELSE 'none' END AS tier_now,
        count(*) AS items
-FROM diff d JOIN verdicts v ON v.source = d.source AND v.id = d.id
+FROM diff d LEFT JOIN verdicts v ON v.source = d.source AND v.id = d.id AND v.tier <> 'C'
 GROUP BY ALL""")
 def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    diff, before = _diff(spark, sf_dir), order_verdicts(spark, sf_dir)
+    """Orders of the lowest tier stand for items that nobody has judged."""
+    diff, before = _diff(spark, sf_dir), order_verdicts(spark, sf_dir).filter("tier <> 'C'")
     carried = d.carry_verdicts(diff, before).filter(F.col("review") == "carried")
     return d.incremental_report(diff, before, carried)

@@ -280,10 +280,8 @@ def united_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Pages of a board are those that the key range of its table fills; the crawl reads up to a cap
-# and finds a gap behind the last page.
-CRAWL_CAP = 40
-
+# Pages of a board are those that the key range of its table fills; the crawl finds a gap behind
+# the last page.
 
 @query(f"""
 WITH rows AS (
@@ -292,13 +290,11 @@ WITH rows AS (
   UNION ALL SELECT 'nipa', p_partkey // {PAGE_ROWS} + 1 FROM part
   UNION ALL SELECT 'kocca', o_orderkey // {PAGE_ROWS} + 1 FROM orders
   UNION ALL SELECT 'smtech', o_orderkey // {PAGE_ROWS} + 1 FROM orders)
-SELECT source, count(*) FILTER (page_no <= {CRAWL_CAP}) AS items,
-       CAST(least(max(page_no) + 1, {CRAWL_CAP}) AS BIGINT) AS stop_page,
-       CASE WHEN max(page_no) + 1 <= {CRAWL_CAP} THEN 'gap' ELSE 'cap' END AS stop_reason
+SELECT source, count(*) AS items, CAST(max(page_no) + 1 AS BIGINT) AS stop_page, 'gap' AS stop_reason
 FROM rows GROUP BY source""")
 def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole crawl: extract, yield, stop pages, dedup. The page cap is the crawl's own."""
-    made = collect(_board_pages(spark, sf_dir), CRAWL_CAP)
+    """A whole crawl of all pages: extract, yield, stop pages, dedup."""
+    made = collect(_board_pages(spark, sf_dir))
     items = made.announcements.groupBy("source").agg(F.count("*").alias("items"))
     return made.stops.join(items, "source").select(
         "source", "items", F.col("stop_page").cast("bigint").alias("stop_page"), "stop_reason"
@@ -319,7 +315,7 @@ stops AS (
     UNION ALL SELECT y.source, (y.page_no + 1) * 8 + 3 FROM yields y
       WHERE NOT EXISTS (SELECT 1 FROM yields z WHERE z.source = y.source AND z.page_no = y.page_no + 1)
     UNION ALL SELECT source, 1 * 8 + 3 FROM yields GROUP BY source HAVING min(page_no) > 1
-    UNION ALL SELECT DISTINCT source, 30 * 8 + 4 FROM yields) GROUP BY source)
+    ) GROUP BY source)
 """
 
 
@@ -336,7 +332,7 @@ def _event_stops(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 @query(f"""WITH {SQL_YIELD} SELECT source, CAST(code // 8 AS BIGINT) AS stop_page,
-  CASE code % 8 WHEN 2 THEN 'no_new' WHEN 3 THEN 'gap' ELSE 'cap' END AS stop_reason,
+  CASE code % 8 WHEN 2 THEN 'no_new' ELSE 'gap' END AS stop_reason,
   CASE code % 8 WHEN 2 THEN 'yes' ELSE 'no' END AS complete FROM stops""")
 def stop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_stops(spark, sf_dir)[1].select(

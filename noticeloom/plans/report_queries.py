@@ -366,7 +366,7 @@ walk AS (
   SELECT DISTINCT c_mktsegment AS start, c_mktsegment AS here, [c_mktsegment] AS path FROM customer
   UNION ALL
   SELECT start, b, list_append(path, b) FROM walk JOIN edges ON a = here
-  WHERE NOT list_contains(path, b) AND len(path) <= 6)
+  WHERE NOT list_contains(path, b))
 SELECT start, here AS goal, array_to_string(path, '>') AS path, CAST(len(path) - 1 AS BIGINT) AS steps
 FROM walk WHERE here IN ('F', 'O', 'P') AND len(path) > 1""")
 def roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,7 +381,7 @@ def roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     starts = buyers.select(F.col("c_mktsegment").alias("state"))
     goals = orders.select(F.col("o_orderstatus").alias("state"))
-    found = m.roadmap(edges, starts, goals, max_depth=6)
+    found = m.roadmap(edges, starts, goals)
     return found.select(
         "start", "goal", F.array_join("path", ">").alias("path"), F.col("steps").cast("bigint").alias("steps")
     )

@@ -290,7 +290,8 @@ def need_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {SQL_EVENT_ROWS} SELECT source, page_no, count(*) AS n FROM crawled "
-       "WHERE page_no <= 30 GROUP BY 1, 2")
+       "WHERE (source <> 'click' OR page_no <= 10) AND (source <> 'view' OR page_no <= 20) GROUP BY 1, 2")
 def capped_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    capped = pg.page_cap(event_rows(spark, sf_dir))
+    """Two sources have caps inside their range of pages, the others none."""
+    capped = pg.page_cap(event_rows(spark, sf_dir), {"click": 10, "view": 20})
     return capped.groupBy("source", "page_no").agg(F.count("*").alias("n"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import strip_html, url_host
 
 OK_STATUS = 200
-PAGE_CAP = 30
+
+FIRST_BOARD = "kstartup"
 
 # Hosts whose detail pages may be read.
 ALLOWED_HOSTS = ("bizinfo.go.kr", "nipa.kr", "kocca.kr", "smtech.go.kr", "k-startup.go.kr")
@@ -22,8 +25,20 @@ def only_ok(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("status") == OK_STATUS)
 
 
-def page_cap(pages: DataFrame, cap: int = PAGE_CAP) -> DataFrame:
-    return pages.filter(F.col("page_no") <= cap)
+def cap_of(source: Column, caps: int | Mapping[str, int]) -> Column:
+    """The last page to read of a source; null where `caps` names none."""
+    if isinstance(caps, int):
+        return F.lit(caps)
+    cap = F.lit(None).cast("int")
+    for name, last in sorted(caps.items()):
+        cap = F.when(source == name, last).otherwise(cap)
+    return cap
+
+
+def page_cap(pages: DataFrame, caps: int | Mapping[str, int]) -> DataFrame:
+    """Pages up to the cap of their source; sources without a cap keep all pages."""
+    beyond = F.col("page_no") > cap_of(F.col("source"), caps)
+    return pages.filter(~F.coalesce(beyond, F.lit(False)))
 
 
 def valid_id(c: Column) -> Column:
@@ -48,11 +63,18 @@ def allowed_host(df: DataFrame, hosts: list[str] | tuple[str, ...] = ALLOWED_HOS
     return df.filter(F.arrays_overlap(host_suffixes(url_host(F.col("url"))), known))
 
 
-def detail_texts(pages: DataFrame, header: bool = True) -> DataFrame:
-    """Text of each readable page; boards other than the first carry their URL on top."""
+def detail_texts(pages: DataFrame, header: Column | bool | None = None) -> DataFrame:
+    """Text of each readable page; boards other than the first carry their URL on top.
+
+    `header` says which rows get the URL; by default all but those of the first board, if there is
+    a source column.
+    """
     text = strip_html(F.col("html"))
-    if header:
-        text = F.concat(F.col("url"), F.lit("\n\n"), text)
+    if header is None:
+        header = F.col("source") != FIRST_BOARD if "source" in pages.columns else True
+    wanted = F.coalesce(header if isinstance(header, Column) else F.lit(header), F.lit(True))
+    top = F.concat(F.coalesce("url", F.lit("")), F.lit("\n\n"))
+    text = F.concat(F.when(wanted, top).otherwise(""), text)
     kept = [c for c in pages.columns if c not in ("html", "status")]
     return only_ok(pages).select(*kept, text.alias("text"))
 

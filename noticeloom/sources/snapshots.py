@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import SPACES
 from ..schemas import RECORD, UNIFIED_FIELDS
 
-JSON_LINES = "*.jsonl"
-SPARK_PARTS = "*.json"
+JSON_LINES = "*.{jsonl,json}"
 # Line ends beyond CR and LF, at which a text is also cut into lines.
 OTHER_LINE_ENDS = r"[\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 FIRST_BOARD = "kstartup"

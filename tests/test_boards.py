@@ -94,4 +94,6 @@ def test_all_boards_in_one_table(spark):
         ("kstartup", "101"), ("nipa", "777"), ("smtech", "S0001"), ("smtech", "S0002"),
     ]
     first = got.filter("source = 'kstartup'").first()
-    assert (first.apply_end, first.apply_start, first.field) == ("2026-07-18", "", "")
+    assert (first.apply_end, first.apply_start, first.field) == ("2026-07-18", "2026-07-01", "A&B")
+    assert first.dday and {"dday", "program", "agency_type"} <= set(got.columns)
+    assert got.filter("source = 'nipa'").first().dday is None

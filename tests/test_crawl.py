@@ -1,5 +1,7 @@
 from noticeloom.operators.crawl import kept_rows, page_yield, stop_pages
 from noticeloom.operators.dedup import dedup_last
+from noticeloom.operators.diff import confirm_closed
+from noticeloom.sources.pages import page_cap
 
 PAGES = [("X", 1, 200), ("X", 2, 200), ("X", 3, 200), ("X", 4, 200), ("Y", 1, 200), ("Y", 2, 503),
          ("Z", 1, 200), ("Z", 3, 200), ("E", 1, 200), ("F", 1, 200), ("F", 2, 200)]
@@ -42,5 +44,22 @@ def test_stop_pages_and_kept_rows(spark):
 
 def test_cap(spark):
     pages, rows = tables(spark)
-    got = {r.source: (r.stop_page, r.stop_reason) for r in stop_pages(pages, page_yield(rows, pages), 1).collect()}
+    got = {r.source: (r.stop_page, r.stop_reason) for r in stop_pages(pages, page_yield(rows, pages), {"X": 1, "Y": 1, "E": 1}).collect()}
     assert got["X"] == (1, "cap") and got["Y"] == (1, "cap") and got["E"] == (1, "empty")
+
+
+def test_no_status_is_no_answer(spark):
+    pages = spark.createDataFrame([("N", 1, 200), ("N", 2, None)], "source string, page_no int, status int")
+    rows = spark.createDataFrame([("N", 1, 0, "a")], "source string, page_no int, pos int, id string")
+    stop = stop_pages(pages, page_yield(rows, pages)).first()
+    assert (stop.stop_page, stop.stop_reason, stop.crawl_complete) == (2, "status", False)
+    diff = spark.createDataFrame([("N", "b", "closed"), ("M", "c", "closed")], "source string, id string, status string")
+    got = {r.id: r.status for r in confirm_closed(diff, stop_pages(pages, page_yield(rows, pages))).collect()}
+    assert got == {"b": "closed_unconfirmed", "c": "closed"}
+
+
+def test_caps_are_per_source(spark):
+    pages, _ = tables(spark)
+    assert page_cap(pages, {"X": 2}).filter("source = 'X'").count() == 2
+    assert page_cap(pages, {"X": 2}).filter("source <> 'X'").count() == pages.filter("source <> 'X'").count()
+    assert page_cap(pages, 1).count() == 5

@@ -89,4 +89,13 @@ def test_python_runs_once_per_block(spark):
     pages = spark.createDataFrame([(1, 200, "<tr></tr>")], "page_no int, status int, html string")
     assert plan(extract_rows(pages, b.NIPA)).count("ArrowEvalPython") == 1
     assert plan(extract_rows(pages, b.BIZINFO)).count("ArrowEvalPython") == 2
-    assert F is not None
+
+
+def test_runs_are_read_once(spark, tmp_path):
+    """The diff scans each run once: for the pairs. Coverage is taken from their stage."""
+    schema = "source string, id string, apply_end string, pos int"
+    for name in ("prev", "curr"):
+        spark.createDataFrame([("s", name, "", 1)], schema).write.parquet(f"{tmp_path}/{name}")
+    diff = d.snapshot_diff(spark.read.parquet(f"{tmp_path}/prev"), spark.read.parquet(f"{tmp_path}/curr"), ["pos"])
+    assert str(tmp_path) + "/prev" not in plan(diff) and str(tmp_path) + "/curr" not in plan(diff)
+    assert {r.status for r in diff.collect()} == {"new", "closed"}

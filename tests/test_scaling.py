@@ -44,3 +44,14 @@ def test_row_number_by_range(spark):
     for key in {r.k for r in got}:
         ordered = sorted((r for r in got if r.k == key), key=lambda r: (r.day, r.id))
         assert [r.n for r in ordered] == list(range(1, len(ordered) + 1))
+
+
+def test_null_keys_are_kept(spark):
+    rows = [(None, None, k) for k in range(20)] + [("a", None, k) for k in range(5)] + [(None, "b", 1)]
+    df = spark.createDataFrame(rows, "k string, j string, n int")
+    numbered = sc.row_number_by_range(df, ["k", "j"], [F.col("n")], "no").collect()
+    assert sorted((r.no, r.n) for r in numbered if (r.k, r.j) == (None, None)) == [(k + 1, k) for k in range(20)]
+    assert len(numbered) == len(rows)
+    totals = sc.running_total(df, ["k", "j"], "n", "n", "total", block=4).collect()
+    assert len(totals) == len(rows)
+    assert {r.n: r.total for r in totals if (r.k, r.j) == ("a", None)} == {0: 0, 1: 1, 2: 3, 3: 6, 4: 10}

@@ -1,6 +1,4 @@
 import datetime
-import html
-import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -73,28 +71,41 @@ def test_urls(spark):
     assert apply(spark, ["178481", "17a", "", None, "１２"], pg.valid_id) == [True, False, False, False, False]
 
 
-def page_text(page):
-    """The definition of page text, in plain Python."""
-    bare = re.sub(r"<(script|style)[\s\S]*?</\1>", "", page)
-    return re.sub(r"\n\s*\n+", "\n", html.unescape(re.sub(r"<[^>]+>", "\n", bare)))
+# Pages and the texts they must give.
+PAGE_TEXTS = [
+    ("<p>a</p>\n\n<p>b &amp; c</p><script>x<y\n</script><style>p{}</style>d", "\na\nb & c\nd"),
+    (f"<br>\n{NBSP}\n\u3000\n<b>e</b>\n \n", "\ne\n"),
+    ("<SCRIPT>kept</SCRIPT>", "\nkept\n"),
+    ("", ""),
+    ("a\n\x1f\nb\n\n\n", "a\nb\n"),
+]
 
 
 def test_strip_html(spark):
-    pages = [
-        "<p>a</p>\n\n<p>b &amp; c</p><script>x<y\n</script><style>p{}</style>d",
-        f"<br>\n{NBSP}\n\u3000\n<b>e</b>\n \n", "<SCRIPT>kept</SCRIPT>", "", "a\n\x1f\nb\n\n\n",
-    ]
-    assert apply(spark, pages, tx.strip_html) == [page_text(p) for p in pages]
+    assert apply(spark, [p for p, _ in PAGE_TEXTS], tx.strip_html) == [t for _, t in PAGE_TEXTS]
+
+
+# Values, and what cleaning makes of them before and after references are read.
+CLEANED = [
+    ("a &amp; b", "a & b", "a & b"), ("\n a\t&lt;b&gt; ", "a <b>", "a <b>"),
+    (f"x{NBSP}\u3000y", "x y", "x y"), ("&#x41;&#x20;&#x20;B", "A B", "A  B"),
+    ("a\x1cb\x85c", "a b c", "a b c"), (" &nbsp;가&nbsp; ", "가", f"{NBSP}가{NBSP}"), ("&ampamp;", "&amp;", "&amp;"),
+]
+
+
+def test_clean_values(spark):
+    values = [v for v, _, _ in CLEANED]
+    assert apply(spark, values, tx.clean) == [c for _, c, _ in CLEANED]
+    assert apply(spark, values, lambda c: tx.clean_each(F.array(c))[0]) == [c for _, c, _ in CLEANED]
+    assert apply(spark, values, tx.clean_late) == [late for _, _, late in CLEANED]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.text(alphabet="a &;<>\n\t\u00a0\u3000\x1c\x85#x41amplt가", max_size=30), min_size=20, max_size=40))
-def test_clean_is_python_clean(spark, values):
-    want = [re.sub(r"\s+", " ", html.unescape(v)).strip() for v in values]
-    assert apply(spark, values, tx.clean) == want
-    assert apply(spark, values, lambda c: tx.clean_each(F.array(c))[0]) == want
-    late = [html.unescape(re.sub(r"\s+", " ", v).strip()) for v in values]
-    assert apply(spark, values, tx.clean_late) == late
+@given(st.lists(st.text(alphabet="a <>\n\t\u00a0\u3000\x1c\x85가", max_size=30), min_size=20, max_size=40))
+def test_clean_is_settled(spark, values):
+    once = apply(spark, values, tx.clean)
+    assert apply(spark, once, tx.clean) == once
+    assert all(t == t.strip() and "  " not in t for t in once)
 
 
 def test_long_row(spark):
@@ -122,3 +133,9 @@ def test_detail_texts(spark, status):
     kept = [r.text for r in pg.detail_texts(df).collect()]
     lost = [r.reason for r in pg.rejected_pages(df).collect()]
     assert (kept, lost) == ((["u\n\n\na\n"], []) if status == 200 else ([], ["HTTP 404"]))
+
+
+def test_header_per_row(spark):
+    rows = [("kstartup", "u1", 200, "x"), ("nipa", None, 200, "y"), (None, "u3", 200, "z")]
+    df = spark.createDataFrame(rows, "source string, url string, status int, html string")
+    assert sorted(r.text for r in pg.detail_texts(df).collect()) == sorted(["x", "\n\ny", "u3\n\nz"])
