@@ -171,12 +171,20 @@ def status_counts(diff: DataFrame) -> DataFrame:
 
 
 def run_totals(diff: DataFrame) -> DataFrame:
-    """One row: distinct items of either run."""
+    """One row: distinct items of either run, and the number of sources that were compared."""
+    compared = F.col("status").isin("new", "closed", "deadline_changed", "unchanged", "closed_unconfirmed")
     return diff.agg(
-        F.count("prev").alias("prev_items"), F.count("curr").alias("curr_items")
+        F.count("prev").alias("prev_items"), F.count("curr").alias("curr_items"),
+        F.count_distinct(F.when(compared, F.col("source"))).alias("compared_sources"),
     )
 
 
+def compared_sources(diff: DataFrame) -> DataFrame:
+    """(source, refreshed): sources of the diff; those of the previous run only are not refreshed."""
+    stale = F.min(F.col("status") == "not_recrawled")
+    return diff.groupBy("source").agg((~stale).alias("refreshed"))
+
+
 # Verdicts of the previous survey.
 
 

@@ -53,10 +53,13 @@ def attach_details(candidates: DataFrame, details: DataFrame) -> DataFrame:
     return candidates.join(wanted, KEY, "left")
 
 
-def survey_coverage(candidates: DataFrame, collected: DataFrame, verified: DataFrame) -> DataFrame:
-    """(source, collected, candidates, verified, unknown): how far the survey went per source.
+def survey_coverage(
+    candidates: DataFrame, collected: DataFrame, verified: DataFrame, before: DataFrame | None = None
+) -> DataFrame:
+    """(source, collected, candidates, verified, unknown, refreshed): how far a survey went.
 
-    Each input has (source, id), unique; `verified` also has `unknowns`.
+    Each input has (source, id), unique; `verified` also has `unknowns`. A source of `before` (source)
+    of which nothing was collected is listed as not refreshed.
     """
 
     def mark(df: DataFrame, part: str, unknown: Column) -> DataFrame:
@@ -67,10 +70,13 @@ def survey_coverage(candidates: DataFrame, collected: DataFrame, verified: DataF
         .unionByName(mark(candidates, "candidates", F.lit(0)))
         .unionByName(mark(verified, "verified", (F.col("unknowns") > 0).cast("int")))
     )
-    return marked.groupBy("source").agg(
+    if before is not None:
+        marked = marked.unionByName(mark(before.select("source").distinct(), "before", F.lit(0)))
+    counted = marked.groupBy("source").agg(
         *[F.count_if(F.col("_part") == p).alias(p) for p in ("collected", "candidates", "verified")],
         F.count_if(F.col("_unknown") == 1).alias("unknown"),
     )
+    return counted.withColumn("refreshed", F.col("collected") > 0)
 
 
 def tier_rollup(judged: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import let
 
-RULES_VERSION = 1
+RULES_VERSION = 2
 UNKNOWN = "unknown"
 
 
@@ -47,10 +47,20 @@ REGIONS = (
     "서울", "부산", "대구", "인천", "광주", "대전", "울산", "세종", "경기", "강원",
     "충북", "충남", "전북", "전남", "경북", "경남", "제주",
 )
+# Provinces whose long name does not begin with the short one.
+LONG_REGIONS = {
+    "충청북도": "충북", "충청남도": "충남", "전라북도": "전북", "전북특별자치도": "전북", "전라남도": "전남",
+    "경상북도": "경북", "경상남도": "경남",
+}
+CAPITAL_AREA = ("서울", "인천", "경기")
+# Signals of which a text can have several.
+MANY = ("exclusion", "trigger")
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 PHONE = r"\b0\d{1,2}-\d{3,4}-\d{4}\b"
-CLOSE_TIME = r"\b((?:[01]?\d|2[0-3]):[0-5]\d)\b"
-DURATION = r"(\d{1,2})\s*개월"
+# A clock time counts as the closing one next to the word for closing, a duration next to its own.
+CLOSE_TIME = r"\b((?:[01]?\d|2[0-3]):[0-5]\d)\b\s*(?:까지|마감|에\s*마감|접수\s*마감)|(?:마감|종료)(?:시간|일시)?[^\n]{0,30}?\b((?:[01]?\d|2[0-3]):[0-5]\d)\b"
+DURATION = r"(?:지원|협약|사업|수행|입주)\s*기간[^\n.\d]{0,12}(\d{1,2})\s*개월"
+COMPANY_YEARS = r"(?:창업|설립|업력)\s*(?:후|한\s*지)?\s*(\d{1,2})\s*년\s*(?:이내|이하|미만)"
 # A number is taken whole (possessive), so that a text full of digits costs one pass.
 AMOUNT = (
     r"(?<![\d,.])(?=\d)(?:(\d[\d,]*+(?:\.\d++)?+)\s*+억)?+\s*+(?:(\d[\d,]*+)\s*+천\s*+만)?+"
@@ -114,31 +124,65 @@ def _hit(signal: str, text: Column, rules: tuple[SignalRule, ...]) -> Column:
     )
 
 
+def _hits(signal: str, text: Column, rules: tuple[SignalRule, ...]) -> Column:
+    """A struct per rule of the signal that matches; 'unknown' if none does."""
+
+    def found(value: str, proof: Column) -> Column:
+        return F.struct(
+            F.lit(signal).alias("signal"), F.lit(value).alias("value"), proof.alias("evidence")
+        )
+
+    own = [
+        F.when(text.rlike(r.pattern), found(r.value, evidence(text, r.pattern)))
+        for r in rules if r.signal == signal
+    ]
+    hits = F.filter(F.array(*own), lambda h: h.isNotNull())
+    return F.when(F.size(hits) == 0, F.array(found(UNKNOWN, F.lit("")))).otherwise(hits)
+
+
+def values_of(signal: str, text: Column, rules: tuple[SignalRule, ...] = SIGNAL_RULES) -> Column:
+    """All values of a signal that a text has, in the order of the rules."""
+    own = [F.when(text.rlike(r.pattern), F.lit(r.value)) for r in rules if r.signal == signal]
+    return F.array_distinct(F.filter(F.array(*own), lambda v: v.isNotNull()))
+
+
 def extract_signals(
     details: DataFrame, rules: tuple[SignalRule, ...] = SIGNAL_RULES,
     signals: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """(source, id, signal, value, evidence): every signal of every text, unknowns included."""
+    """(source, id, signal, value, evidence, rules_version): every signal of every text.
+
+    Signals of MANY have a row per value found, others one row. What is not found is 'unknown'.
+    """
     text = F.coalesce("text", F.lit(""))
     names = signals or tuple(dict.fromkeys(r.signal for r in rules))
-    hits = F.array(*[_hit(s, text, rules) for s in names])
-    return details.select("source", "id", F.explode(hits).alias("hit")).select("source", "id", "hit.*")
+    hits = F.concat(*[_hits(s, text, rules) if s in MANY else F.array(_hit(s, text, rules)) for s in names])
+    return details.select("source", "id", F.explode(hits).alias("hit")).select(
+        "source", "id", "hit.*", F.lit(RULES_VERSION).alias("rules_version")
+    )
 
 
 def signals_wide(
     details: DataFrame, rules: tuple[SignalRule, ...] = SIGNAL_RULES
 ) -> DataFrame:
-    """One row per text: a column per signal, and the values that are read, not judged."""
+    """One row per text: a column per signal, and the values that are read, not judged.
+
+    Signals of MANY are arrays of all values found. Closing time, duration and age of a company are
+    read only where the text says that they are that.
+    """
     text = F.coalesce("text", F.lit(""))
     names = tuple(dict.fromkeys(r.signal for r in rules))
     months = F.regexp_extract(text, DURATION, 1)
+    closing = [F.regexp_extract(text, CLOSE_TIME, k) for k in (1, 2)]
     return details.select(
         "source", "id",
-        *[_value(s, text, rules).alias(s) for s in names],
+        *[(values_of(s, text, rules) if s in MANY else _value(s, text, rules)).alias(s) for s in names],
         amount(text).alias("amount"),
         _number(months).cast("int").alias("months"),
-        F.regexp_extract(text, CLOSE_TIME, 1).alias("close_time"),
+        _number(F.regexp_extract(text, COMPANY_YEARS, 1)).cast("int").alias("max_years"),
+        F.concat(*closing).alias("close_time"),
         attachment_only(text).alias("attachment_only"),
+        F.lit(RULES_VERSION).alias("rules_version"),
     )
 
 
@@ -148,10 +192,21 @@ def attachment_only(text: Column, short: int = SHORT_BODY) -> Column:
 
 
 def named_regions(details: DataFrame, regions: tuple[str, ...] = REGIONS) -> DataFrame:
-    """(source, id, region): every region a text names. The list is fixed and small."""
-    pattern = "|".join(regions)
-    found = F.array_distinct(F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(1)))
-    return details.select("source", "id", F.explode(found).alias("region"))
+    """(source, id, region): every region a text names, by short or long name."""
+    return details.select("source", "id", F.explode(regions_in(F.col("text"), regions)).alias("region"))
+
+
+def regions_in(text: Column, regions: tuple[str, ...] = REGIONS) -> Column:
+    """Short names of the regions in a text. The lists are fixed and small."""
+    pattern = "|".join([*LONG_REGIONS, *regions])
+    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+
+    def short(name: Column) -> Column:
+        for long, own in LONG_REGIONS.items():
+            name = F.when(name == long, own).otherwise(name)
+        return name
+
+    return F.array_distinct(F.transform(found, short))
 
 
 def contacts(details: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from ..sources.snapshots import (
     read_snapshot, review_queue as queue, skipped_lines as skipped, write_review_queue,
     write_snapshot,
 )
+from ..operators.crawl import page_yield, stop_pages
 from .derived import (
     SQL_DIFF, SQL_ORDER_RUNS, SQL_PAGE_RUNS, SQL_VERDICTS, day, order_runs, order_verdicts, page_runs,
 )
@@ -144,11 +145,35 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"WITH {SQL_ORDER_RUNS} SELECT (SELECT count(*) FROM prev) AS prev_items, "
-       "(SELECT count(*) FROM curr) AS curr_items")
+       "(SELECT count(*) FROM curr) AS curr_items, (SELECT count(DISTINCT prev.source) FROM prev JOIN curr ON prev.source = curr.source) AS compared_sources")
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.run_totals(_diff(spark, sf_dir))
 
 
+@query(f"WITH {SQL_ORDER_RUNS} SELECT coalesce(p.source, c.source) AS source, "
+       "CASE WHEN c.source IS NULL THEN 'no' ELSE 'yes' END AS refreshed "
+       "FROM (SELECT DISTINCT source FROM prev) p FULL OUTER JOIN (SELECT DISTINCT source FROM curr) c ON p.source = c.source")
+def compared_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of either run, and whether the current run read them again."""
+    return d.compared_sources(_diff(spark, sf_dir)).withColumn(
+        "refreshed", F.when(F.col("refreshed"), "yes").otherwise("no"))
+
+
+@query(f"""
+WITH {SQL_ORDER_RUNS}, {SQL_DIFF}
+SELECT source, id, CASE WHEN status = 'closed' AND source <> '3-MEDIUM' THEN 'closed_unconfirmed' ELSE status END AS status FROM diff""")
+def confirmed_closures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closures count only where the crawl was complete: one source ended by itself, the others
+    have a page without a status."""
+    sources = order_runs(spark, sf_dir)[1].select("source").distinct()
+    last = F.when(F.col("source") != "3-MEDIUM", F.lit(None).cast("int")).otherwise(200)
+    pages = sources.select("source", F.lit(1).alias("page_no"), F.lit(200).alias("status")).unionByName(
+        sources.select("source", F.lit(2).alias("page_no"), last.alias("status")))
+    rows = sources.select("source", F.lit(1).alias("page_no"), F.lit("x").alias("id"))
+    stops = stop_pages(pages, page_yield(rows, pages))
+    return d.confirm_closed(_diff(spark, sf_dir), stops).select("source", "id", "status")
+
+
 @query(f"WITH {SQL_PAGE_RUNS} SELECT DISTINCT source FROM curr")
 def run_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.run_sources(page_runs(spark, sf_dir)[1])

@@ -83,7 +83,8 @@ WITH asked AS (SELECT c_custkey AS profile_id, {SQL_NEED} AS need FROM customer)
 SELECT profile_id, 'kstartup' AS source FROM asked UNION ALL
 SELECT profile_id, CASE need WHEN 'coverage' THEN 'bizinfo' WHEN 'ai_ict' THEN 'nipa'
                              WHEN 'content' THEN 'kocca' ELSE 'smtech' END
-FROM asked WHERE need <> 'none'""")
+FROM asked WHERE need <> 'none'
+UNION ALL SELECT profile_id, 'nia' FROM asked WHERE need = 'ai_ict'""")
 def source_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("profile_id"), F.array(_needs_of_segment(), F.lit("space")).alias("needs")
@@ -287,14 +288,18 @@ def category_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT d.source, count(*) AS collected, count(l.doc_id) AS candidates,
-       count(*) FILTER (l.quality = 1) AS verified, count(*) FILTER (l.quality = 1 AND l.toxic = 1) AS unknown
-FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1""")
+       count(*) FILTER (l.quality = 1) AS verified, count(*) FILTER (l.quality = 1 AND l.toxic = 1) AS unknown, 'yes' AS refreshed
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1
+UNION ALL SELECT DISTINCT o_orderpriority, 0, 0, 0, 0, 'no' FROM orders""")
 def survey_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents are collected, labelled ones candidates, good ones verified."""
+    """Documents are collected, labelled ones candidates, good ones verified; order priorities are
+    sources of an earlier run that were not read again."""
     docs = table(spark, sf_dir, "documents").select("source", F.col("doc_id").alias("id"))
     labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id").join(docs, "id")
     verified = labels.filter(F.col("quality") == 1).withColumn("unknowns", F.col("toxic"))
-    return r.survey_coverage(labels, docs, verified)
+    before = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("source"))
+    found = r.survey_coverage(labels, docs, verified, before)
+    return found.withColumn("refreshed", F.when(F.col("refreshed"), "yes").otherwise("no"))
 
 
 @query("""
@@ -370,7 +375,15 @@ walk AS (
 SELECT start, here AS goal, array_to_string(path, '>') AS path, CAST(len(path) - 1 AS BIGINT) AS steps
 FROM walk WHERE here IN ('F', 'O', 'P') AND len(path) > 1""")
 def roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment -> priority -> status -> segment: a cyclic graph of triggers."""
+    """All chains of triggers from a segment to a status."""
+    found = m.roadmap(*_trigger_graph(spark, sf_dir))
+    return found.select(
+        "start", "goal", F.array_join("path", ">").alias("path"), F.col("steps").cast("bigint").alias("steps")
+    )
+
+
+def _trigger_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Segment -> priority -> status -> segment: a cyclic graph, its starts and goals."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", "o_orderstatus")
     buyers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     sold = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
@@ -381,7 +394,24 @@ def roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     starts = buyers.select(F.col("c_mktsegment").alias("state"))
     goals = orders.select(F.col("o_orderstatus").alias("state"))
-    found = m.roadmap(edges, starts, goals)
+    return edges, starts, goals
+
+
+@query("""
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT c_mktsegment AS a, o_orderpriority AS b FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders
+  UNION SELECT DISTINCT o_orderstatus, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey),
+walk AS (
+  SELECT DISTINCT c_mktsegment AS start, c_mktsegment AS here, [c_mktsegment] AS path FROM customer
+  UNION ALL
+  SELECT start, b, list_append(path, b) FROM walk JOIN edges ON a = here WHERE NOT list_contains(path, b))
+SELECT start, here AS goal, array_to_string(path, '>') AS path, CAST(len(path) - 1 AS BIGINT) AS steps
+FROM walk WHERE here IN ('F', 'O', 'P') AND len(path) > 1
+QUALIFY row_number() OVER (PARTITION BY start, here ORDER BY len(path), path) = 1""")
+def shortest_roadmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shortest chain of triggers per start and goal in the same graph."""
+    found = m.shortest_roadmap(*_trigger_graph(spark, sf_dir))
     return found.select(
         "start", "goal", F.array_join("path", ">").alias("path"), F.col("steps").cast("bigint").alias("steps")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import strip_html
-from ..operators import report as r, signals as sg
+from ..operators import judge as j, report as r, signals as sg
 from .derived import SQL_HOST, day
 from .registry import query, table
 from .text_queries import SQL_TEXT
@@ -19,15 +19,15 @@ def _call_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "F", "제출서류: 사업자등록증, 재무제표")
         .otherwise("자세한 내용은 첨부파일(HWP) 참조")
     )
-    region = F.when(price > 250000, "전국 접수, 비수도권 소재 기업만").otherwise("관내 소재 기업, 충남 또는 대전")
+    region = F.when(price > 250000, "전국 접수, 비수도권 소재 기업만").otherwise("관내 소재 기업, 충청남도 또는 대전")
     man = F.floor(price / 10000).cast("string")
-    money = F.concat(F.lit("최대 "), man, F.lit("만원, "), (F.col("o_orderkey") % 12 + 1).cast("string"), F.lit("개월"))
+    money = F.concat(F.lit("최대 "), man, F.lit("만원, 지원기간 "), (F.col("o_orderkey") % 12 + 1).cast("string"), F.lit("개월"))
     rest = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "투자유치 기업 우대. 중복수혜 불가")
-        .when(F.col("o_orderpriority") == "2-HIGH", "법인 설립 예정자. 입주공간 제공")
+        F.when(F.col("o_orderpriority") == "1-URGENT", "투자유치 기업 우대. 매출 실적 보유. 중복수혜 불가. 수료자 제외")
+        .when(F.col("o_orderpriority") == "2-HIGH", "법인 설립 예정자. 본사 이전 기업. 입주공간 제공")
         .otherwise("기타 사항 없음")
     )
-    close = F.concat(day("o_orderdate"), F.lit(" 16:00 마감"))
+    close = F.concat(F.lit("10:00 설명회, "), day("o_orderdate"), F.lit(" 16:00 마감"))
     phone = F.concat(F.lit("문의: 02-123-"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"))
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("source"), F.col("o_orderkey").cast("string").alias("id"),
@@ -42,35 +42,42 @@ calls AS (
     CASE WHEN o_totalprice > 250000 THEN 'nationwide' ELSE 'unknown' END AS apply_region,
     CASE WHEN o_totalprice > 250000 THEN 'non_capital' ELSE 'local' END AS location_rule,
     CASE WHEN o_orderpriority = '2-HIGH' THEN 'yes' ELSE 'unknown' END AS space,
-    CASE WHEN o_orderpriority = '1-URGENT' THEN 'duplicate_benefit' ELSE 'unknown' END AS exclusion,
-    CASE o_orderpriority WHEN '1-URGENT' THEN 'investment' WHEN '2-HIGH' THEN 'incorporation' ELSE 'unknown' END AS trigger,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN ['duplicate_benefit', 'graduates'] ELSE ['unknown'] END AS exclusions,
+    CASE o_orderpriority WHEN '1-URGENT' THEN ['investment', 'sales'] WHEN '2-HIGH' THEN ['incorporation', 'relocation']
+                         ELSE ['unknown'] END AS triggers,
     CAST(floor(o_totalprice / 10000) * 10000 AS BIGINT) AS amount, CAST(o_orderkey % 12 + 1 AS BIGINT) AS months,
-    '16:00' AS close_time, CASE WHEN o_orderstatus = 'P' THEN 'yes' ELSE 'no' END AS attachment_only
+    CASE WHEN o_orderstatus = 'O' THEN 3 END AS max_years, '16:00' AS close_time, 2 AS rules_version, CASE WHEN o_orderstatus = 'P' THEN 'yes' ELSE 'no' END AS attachment_only
   FROM orders)
 """
 
 
-@query(f"WITH {SQL_CALLS} SELECT * FROM calls")
+@query(f"""WITH {SQL_CALLS} SELECT * EXCLUDE (exclusions, triggers),
+  array_to_string(list_filter(exclusions, lambda v: v <> 'unknown'), ',') AS exclusion,
+  array_to_string(list_filter(triggers, lambda v: v <> 'unknown'), ',') AS trigger FROM calls""")
 def call_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = sg.signals_wide(_call_texts(spark, sf_dir))
     return wide.withColumns({
+        "exclusion": F.array_join("exclusion", ","), "trigger": F.array_join("trigger", ","),
         "amount": F.col("amount").cast("bigint"), "months": F.col("months").cast("bigint"),
         "attachment_only": F.when(F.col("attachment_only"), "yes").otherwise("no"),
     })
 
 
 @query(f"""WITH {SQL_CALLS}, long AS (
-  SELECT * FROM calls UNPIVOT (value FOR signal IN
-    (pre_founder, apply_region, location_rule, space, exclusion, trigger)))
-SELECT source, id, signal, value,
+  SELECT source, id, signal, value FROM calls UNPIVOT (value FOR signal IN
+    (pre_founder, apply_region, location_rule, space))
+  UNION ALL SELECT source, id, 'exclusion', unnest(exclusions) FROM calls
+  UNION ALL SELECT source, id, 'trigger', unnest(triggers) FROM calls)
+SELECT source, id, signal, value, 2 AS rules_version,
   CASE WHEN value = 'unknown' THEN ''
     WHEN signal = 'pre_founder' AND value = 'yes' THEN '신청대상: 예비창업자 및 창업 3년 이내 기업'
     WHEN signal = 'pre_founder' THEN '제출서류: 사업자등록증, 재무제표'
     WHEN signal = 'apply_region' OR value = 'non_capital' THEN '전국 접수, 비수도권 소재 기업만'
-    WHEN signal = 'location_rule' THEN '관내 소재 기업, 충남 또는 대전'
+    WHEN signal = 'location_rule' THEN '관내 소재 기업, 충청남도 또는 대전'
     WHEN signal = 'space' THEN '입주공간 제공'
-    WHEN signal = 'exclusion' THEN '중복수혜 불가'
-    WHEN value = 'investment' THEN '투자유치 기업 우대'
+    WHEN value = 'duplicate_benefit' THEN '중복수혜 불가' WHEN value = 'graduates' THEN '수료자 제외'
+    WHEN value = 'investment' THEN '투자유치 기업 우대' WHEN value = 'sales' THEN '매출 실적 보유'
+    WHEN value = 'relocation' THEN '본사 이전 기업'
     ELSE '법인 설립 예정자' END AS evidence FROM long""")
 def signal_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every signal of every text, with the sentence that shows it."""
@@ -145,9 +152,8 @@ def missing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT d.doc_id AS id, {SQL_HOST.replace('url', 'p.url')} AS source, md5(d.text) AS digest
-FROM pages p JOIN documents d ON d.doc_id = p.page_id""".replace("JOIN documents", "LEFT JOIN documents")
-       .replace("d.doc_id AS id", "p.page_id AS id").replace("md5(d.text)", "coalesce(md5(d.text), 'none')"))
+SELECT p.page_id AS id, {SQL_HOST} AS source, coalesce(md5(d.text), 'none') AS digest
+FROM pages p LEFT JOIN documents d ON d.doc_id = p.page_id""")
 def attached_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as candidates with the document of the same number as detail text."""
     host = F.regexp_replace("url", "^https?://([^/]+).*", "$1")
@@ -157,3 +163,62 @@ def attached_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.attach_details(pages, details).select(
         "id", "source", F.coalesce(F.md5("text"), F.lit("none")).alias("digest")
     )
+
+
+# Judging: nations are applicants with needs, a stage and a region; orders are announcements whose
+# priority names the field, with the call texts above as details.
+SQL_JUDGED_CALLS = f"""
+{SQL_CALLS},
+applicant AS (
+  SELECT n_name AS profile_id, n_nationkey AS k,
+         CASE n_nationkey % 3 WHEN 0 THEN 'pre_founder' WHEN 1 THEN 'sole_owner' ELSE 'corporation' END AS stage,
+         CASE n_regionkey WHEN 0 THEN ['funding'] WHEN 1 THEN ['space'] WHEN 2 THEN ['mentoring'] WHEN 3 THEN ['funding', 'space'] ELSE [] END AS needs,
+         CASE WHEN n_nationkey % 2 = 0 THEN '충남' ELSE '서울' END AS home,
+         CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE n_nationkey % 7 END AS years FROM nation),
+pair AS (
+  SELECT a.*, c.* FROM applicant a JOIN calls c
+  ON list_contains(a.needs, CASE c.source WHEN '1-URGENT' THEN 'funding' WHEN '2-HIGH' THEN 'space' ELSE 'mentoring' END)
+     AND (c.apply_region = 'nationwide' OR a.home = '충남')
+  JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = c.id AND o.o_orderdate >= DATE '1995-06-17'),
+state AS (
+  SELECT profile_id, source, id, unnest([
+    CASE WHEN pre_founder = 'no' THEN CASE WHEN stage = 'pre_founder' THEN 'unmet_trigger' ELSE 'met' END END,
+    CASE WHEN max_years IS NOT NULL THEN CASE WHEN years IS NULL THEN 'unknown' WHEN years <= max_years THEN 'met' ELSE 'unmet_fixed' END END,
+    CASE WHEN location_rule = 'non_capital' THEN CASE WHEN home = '충남' THEN 'met' ELSE 'unmet_trigger' END END,
+    CASE WHEN source = '1-URGENT' THEN 'unknown' END, CASE WHEN source = '1-URGENT' THEN 'unknown' END,
+    CASE WHEN source = '1-URGENT' THEN 'unknown' END, CASE WHEN source = '1-URGENT' THEN 'unknown' END,
+    CASE WHEN source = '2-HIGH' THEN CASE WHEN stage = 'corporation' THEN 'met' ELSE 'unmet_trigger' END END,
+    CASE WHEN source = '2-HIGH' THEN 'unknown' END]) AS state FROM pair),
+judged AS (
+  SELECT profile_id, source, id, count(*) FILTER (state = 'unknown') AS unknowns,
+         count(*) FILTER (state LIKE 'unmet%') AS unmet, count(*) FILTER (state = 'unmet_fixed') AS fixed
+  FROM state GROUP BY ALL)
+"""
+
+
+@query(f"""WITH {SQL_JUDGED_CALLS}
+SELECT profile_id, source, CASE WHEN unmet = 0 THEN 'A' WHEN fixed = 0 THEN 'B' ELSE 'rejected' END AS tier,
+       count(*) AS items, CAST(sum(unknowns) AS BIGINT) AS unknowns, CAST(sum(unmet) AS BIGINT) AS unmet
+FROM judged GROUP BY ALL""")
+def judged_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From announcements and their texts to tiers, counted per applicant, source and tier."""
+    key, region = F.col("n_nationkey"), F.col("n_regionkey")
+    words = F.when(region == 0, F.array(F.lit("자금"))).when(region == 1, F.array(F.lit("공간"))).when(
+        region == 2, F.array(F.lit("멘토링"))).when(region == 3, F.array(F.lit("자금"), F.lit("공간")))
+    stage = F.when(key % 3 == 0, "pre_founder").when(key % 3 == 1, "sole_owner").otherwise("corporation")
+    profiles = table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("profile_id"), stage.alias("stage"),
+        F.when(key % 3 != 0, (key % 7).cast("int")).alias("years"),
+        F.coalesce(words, F.array().cast("array<string>")).alias("needs"),
+        F.array(F.when(key % 2 == 0, "충남").otherwise("서울")).alias("regions"),
+        F.lit(None).cast("array<string>").alias("movable_regions"),
+    )
+    field = F.when(F.col("o_orderpriority") == "1-URGENT", "사업화 자금").when(
+        F.col("o_orderpriority") == "2-HIGH", "입주 공간").otherwise("멘토링")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("source"), F.col("o_orderkey").cast("string").alias("id"),
+        F.concat(F.lit("Call "), "o_orderkey").alias("title"), field.alias("field"), day("o_orderdate").alias("apply_end"),
+    )
+    judged = j.judge(profiles, orders, _call_texts(spark, sf_dir), F.lit("1995-06-17").cast("date"))
+    return judged.groupBy("profile_id", "source", "tier").agg(
+        F.count("*").alias("items"), F.sum("unknowns").alias("unknowns"), F.sum("unmet").alias("unmet"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import SPACES
+from ..functions.text import SPACE_CHARACTERS
 from ..schemas import RECORD, UNIFIED_FIELDS
 
 JSON_LINES = "*.{jsonl,json}"
@@ -17,7 +17,6 @@ JSON_LINES = "*.{jsonl,json}"
 OTHER_LINE_ENDS = r"[\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 FIRST_BOARD = "kstartup"
 _END = "__end_of_record__"
-_EDGES = rf"(?U)^{SPACES[4:]}|{SPACES[4:]}$"
 
 
 def place_of_file() -> list[Column]:
@@ -33,7 +32,7 @@ def number_lines(scan: DataFrame) -> DataFrame:
         "file", "block", "line", F.posexplode(F.split("value", OTHER_LINE_ENDS)).alias("piece", "text")
     ).select(
         F.struct("file", "block", "line", "piece").alias("pos"),
-        F.regexp_replace("text", _EDGES, "").alias("text"),
+        F.btrim("text", F.lit(SPACE_CHARACTERS)).alias("text"),
     )
 
 

@@ -1,11 +1,12 @@
-"""New snapshot files as a stream: each batch is a run, compared with the run before it.
+"""New snapshot files as a stream: each folder of files is a run, compared with the run before it.
 
-Runs and differences are written below a batch number, so a repeated batch overwrites itself.
+Runs and differences are written below the name of the folder, so a repeated batch overwrites
+itself. Runs follow each other by name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_last
@@ -14,31 +15,53 @@ from ..schemas import KEY
 from ..sources.snapshots import JSON_LINES, classify, conform, number_lines, place_of_file
 
 
-def run_path(store: str, number: int) -> str:
-    return f"{store}/runs/run={number}"
+RUN_OF_FILE = r"([^/]+)/[^/]+$"
 
 
-def diff_path(store: str, number: int) -> str:
-    return f"{store}/diffs/run={number}"
+def run_path(store: str, run: str) -> str:
+    return f"{store}/runs/run={run}"
+
+
+def diff_path(store: str, run: str) -> str:
+    return f"{store}/diffs/run={run}"
+
+
+def _run_before(session: SparkSession, store: str, run: str) -> str | None:
+    """The last stored run whose name sorts before `run`. Reads no column."""
+    stored = session.read.parquet(f"{store}/runs")
+    names = stored.select(
+        F.url_decode(F.regexp_extract("_metadata.file_path", r"/run=([^/]+)/[^/]+$", 1)).alias("run")
+    )
+    return names.filter(F.col("run") < run).agg(F.max("run")).first()[0]
 
 
 def resurvey_arrivals(
     spark: SparkSession, incoming: str, store: str, checkpoint: str
 ) -> StreamingQuery:
-    """Take all files that are new below `incoming`, then stop. Call it again for later files."""
+    """Take all files that are new below `incoming`, then stop. Call it again for later files.
+
+    The folder of a file names its run; a run's files must all be there when the first is read.
+    Several runs in one batch are compared one after the other.
+    """
     lines = (
         spark.readStream.option("pathGlobFilter", JSON_LINES).option("recursiveFileLookup", "true")
-        .text(incoming).select("value", *place_of_file())
+        .text(incoming).select(
+            "value", *place_of_file(),
+            F.url_decode(F.regexp_extract("_metadata.file_path", RUN_OF_FILE, 1)).alias("run"),
+        )
     )
 
     def handle(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        records = conform(classify(number_lines(batch)))
-        dedup_last(records, KEY, ["pos"]).write.mode("overwrite").parquet(run_path(store, number))
-        curr = session.read.parquet(run_path(store, number))
-        prev = session.read.parquet(run_path(store, number - 1)) if number else curr.limit(0)
-        diff = snapshot_diff(prev, curr, ["first_pos"])
-        diff.write.mode("overwrite").parquet(diff_path(store, number))
+        # One name per run that arrived.
+        for run in sorted(r["run"] for r in batch.select("run").distinct().collect()):
+            records = conform(classify(number_lines(batch.filter(F.col("run") == run))))
+            dedup_last(records, KEY, ["pos"]).write.mode("overwrite").parquet(run_path(store, run))
+            curr = session.read.parquet(run_path(store, run))
+            before = _run_before(session, store, run)
+            prev = curr.limit(0) if before is None else session.read.parquet(run_path(store, before))
+            diff = snapshot_diff(prev, curr, ["first_pos"])
+            diff.write.mode("overwrite").parquet(diff_path(store, run))
 
     return (
         lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -7,9 +7,10 @@ TEXTS = [
     ("implied", "제출서류: 사업자등록증, 재무제표"),
     ("file", "자세한 내용은 첨부파일(HWP) 참조"),
     ("region", "전국 접수, 비수도권 소재 기업만"),
-    ("one", "최대 1억 원 지원, 6개월"), ("five", "5천만원"), ("mixed", "총 1억 5천만원"),
+    ("one", "최대 1억 원 지원, 협약기간: 6개월. 창업 3개월"), ("five", "5천만원"), ("mixed", "총 1억 5천만원"),
     ("plain", "300,000원"), ("man", "2,500만 원"), ("none", "1234567890123 points"),
-    ("close", "7월 18일 16:00 마감"), ("contact", "문의: 02-123-4567, help@x.kr, help@x.kr"),
+    ("close", "10:00 설명회, 7월 18일 16:00 마감"), ("until", "마감일시: 2026.7.18 18:00"), ("noon", "12:00 점심"),
+    ("two", "투자유치 또는 법인 설립, 중복수혜 불가, 수료자 제외"), ("young", "업력 7년 이하, 창업 6개월"), ("contact", "문의: 02-123-4567, help@x.kr, help@x.kr"),
     ("excluded", "예비창업자 제외. 중복수혜 불가"), ("empty", None),
 ]
 
@@ -30,12 +31,18 @@ def test_wide(spark):
         100_000_000, 50_000_000, 150_000_000, 300_000, 25_000_000, None
     ]
     assert rows["one"].months == 6 and rows["close"].close_time == "16:00"
-    assert rows["excluded"].exclusion == "duplicate_benefit"
+    assert [rows[i].close_time for i in ("until", "noon")] == ["18:00", ""]
+    assert (rows["young"].months, rows["young"].max_years, rows["yes"].max_years, rows["one"].max_years) == (None, 7, 3, None)
+    assert rows["excluded"].exclusion == ["duplicate_benefit"] and rows["yes"].exclusion == []
+    assert rows["two"].trigger == ["investment", "incorporation"] and rows["two"].exclusion == ["duplicate_benefit", "graduates"]
+    assert {r.rules_version for r in rows.values()} == {sg.RULES_VERSION}
 
 
 def test_long_form_has_every_signal(spark):
     rows = sg.extract_signals(details(spark)).collect()
-    assert len(rows) == len(TEXTS) * len(sg.SIGNALS)
+    assert len(rows) == len(TEXTS) * len(sg.SIGNALS) + 2
+    assert {(r.signal, r.value) for r in rows if r.id == "two" and r.signal in sg.MANY} == {
+        ("trigger", "investment"), ("trigger", "incorporation"), ("exclusion", "duplicate_benefit"), ("exclusion", "graduates")}
     hit = next(r for r in rows if r.id == "excluded" and r.signal == "exclusion")
     assert (hit.value, hit.evidence) == ("duplicate_benefit", "중복수혜 불가")
     assert all(r.value == "unknown" for r in rows if r.id == "empty")
@@ -44,8 +51,9 @@ def test_long_form_has_every_signal(spark):
 def test_contacts_and_regions(spark):
     got = sorted((r.kind, r.contact) for r in sg.contacts(details(spark)).collect())
     assert got == [("email", "help@x.kr"), ("phone", "02-123-4567")]
-    df = spark.createDataFrame([("s", "1", "서울 또는 부산, 서울")], "source string, id string, text string")
-    assert sorted(r.region for r in sg.named_regions(df).collect()) == ["부산", "서울"]
+    text = "서울특별시 또는 부산, 서울, 충청남도 소재, 경상북도"
+    df = spark.createDataFrame([("s", "1", text), ("s", "2", None)], "source string, id string, text string")
+    assert sorted(r.region for r in sg.named_regions(df).collect()) == ["경북", "부산", "서울", "충남"]
 
 
 def test_fill_unknown(spark):

@@ -12,13 +12,24 @@ def test_arrivals_equal_batch(spark, tmp_path):
     (first / "a.jsonl").write_text(PREV_A, encoding="utf-8")
     (first / "b.jsonl").write_text(PREV_B, encoding="utf-8")
     resurvey_arrivals(spark, incoming, store, state).awaitTermination()
-    start = spark.read.parquet(diff_path(store, 0))
+    start = spark.read.parquet(diff_path(store, "r1"))
     assert {r.status for r in start.collect()} == {"first_time"} and start.count() == 5
 
     second.mkdir()
     (second / "a.jsonl").write_text(CURR, encoding="utf-8")
     resurvey_arrivals(spark, incoming, store, state).awaitTermination()
-    got = spark.read.parquet(diff_path(store, 1)).select("source", "id", "status", "old_end", "new_end")
+    got = spark.read.parquet(diff_path(store, "r2")).select("source", "id", "status", "old_end", "new_end")
     runs = [read_snapshot(spark, str(p)) for p in (first, second)]
     want = snapshot_diff(*runs, ["pos"]).select("source", "id", "status", "old_end", "new_end")
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_two_runs_in_one_batch(spark, tmp_path):
+    incoming, store, state = (str(tmp_path / n) for n in ("in", "store", "state"))
+    for run, title in (("r1", "old"), ("r2", "new")):
+        (tmp_path / "in" / run).mkdir(parents=True)
+        (tmp_path / "in" / run / "a.jsonl").write_text(f'{{"source": "s", "id": "1", "title": "{title}"}}\n', encoding="utf-8")
+    resurvey_arrivals(spark, incoming, store, state).awaitTermination()
+    first, second = (spark.read.parquet(diff_path(store, r)).first() for r in ("r1", "r2"))
+    assert (first.status, second.status) == ("first_time", "unchanged")
+    assert (second.prev.title, second.curr.title) == ("old", "new")
