@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir` of the session.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may fall back to a folder of this machine, which is removed at the end.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -19,6 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="noticeloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
