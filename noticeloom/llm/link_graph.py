@@ -77,24 +77,27 @@ def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE)
     key holds more than EDGES_PER_SALT edges. The scores are written as a table every few turns;
     only their change reaches the driver.
     """
-    degree = edges.groupBy("kind", "src").agg(F.count("*").alias("degree"))
+    degrees = cut_lineage(edges.groupBy("kind", "src").agg(F.count("*").alias("degree")))
     salts = F.ceil(F.col("degree") / EDGES_PER_SALT).cast("bigint")
-    degrees = cut_lineage(degree.withColumn("salts", salts))
-    big = degrees.filter("salts > 1")
-    salted = cut_lineage(join_dimension(edges, big.drop("degree"), ["kind", "src"], ["dst"]).select(
-        "kind", "src", "dst", F.pmod(F.xxhash64("dst"), F.coalesce("salts", F.lit(1))).alias("salt")))
+    out = cut_lineage(edges.join(degrees, ["kind", "src"]).select(
+        "kind", "src", F.pmod(F.xxhash64("dst"), salts).alias("salt"), "dst", "degree"))
+    hubs = cut_lineage(degrees.select("kind", "src", salts.alias("salts")).filter("salts > 1"))
+    hubless = hubs.isEmpty()
     kept = cut_lineage(seeds)
     base = kept.select("kind", "node", F.expr(f"seed * {100 - DAMPING_PERCENT} div 100").alias("score"))
     aim = kept.agg(F.sum("seed")).first()[0] or 0
+    part = F.expr(f"score * {DAMPING_PERCENT} div (100 * degree)").alias("score")
 
     def turn(scores: DataFrame) -> DataFrame:
-        out = scores.join(degrees.withColumnRenamed("src", "node"), ["kind", "node"]).select(
-            "kind", F.col("node").alias("src"),
-            F.expr(f"score * {DAMPING_PERCENT} div (100 * degree)").alias("part"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
-        sent = salted.join(out, ["kind", "src", "salt"]).groupBy("kind", "dst").agg(F.sum("part").alias("score"))
-        return sent.select("kind", F.col("dst").alias("node"), "score").unionByName(base).groupBy(
-            "kind", "node").agg(F.sum("score").alias("score"))
+        """One shuffle: the sums lie by node, as the next turn joins them with the edges."""
+        holders, keys = scores.withColumnRenamed("node", "src"), ["kind", "src"]
+        if not hubless:
+            copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1).cast("bigint")) - 1)
+            holders = holders.join(hubs, ["kind", "src"], "left").select(
+                "kind", "src", "score", F.explode(copies).alias("salt"))
+            keys = [*keys, "salt"]
+        sent = out.join(holders, keys).select("kind", F.col("dst").alias("node"), part)
+        return sent.unionByName(base).groupBy("kind", "node").agg(F.sum("score").alias("score"))
 
     scores = base
     while True:

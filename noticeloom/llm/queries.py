@@ -43,7 +43,51 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
 
 
-@query()
+LINK_SQL = link_graph.LINK.replace("'", "''")
+UPPER, LOWER = link_graph.UPPER, link_graph.LOWER
+# '*' carries the seeds from turn to turn: its edges add the seeds' share of each turn.
+GRAPH_SQL = rf"""
+WITH RECURSIVE u AS (
+  SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+q AS (SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+        WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+        WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+        WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+        WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule FROM p),
+h AS (SELECT host, count(*) AS n, count(*) FILTER (rule IN ('com/', 'www.example.com/en/')) AS allowed,
+             count(*) FILTER (rule IN ('example.com/en/', 'net/es/', 'net/fr/')) AS blocked
+      FROM q WHERE host <> '' GROUP BY host),
+seed AS (SELECT 'trust' AS kind, host AS node, allowed * {link_graph.UNIT} // n AS seed FROM h WHERE allowed > 0
+         UNION ALL SELECT 'distrust', host, blocked * {link_graph.UNIT} // n FROM h WHERE blocked > 0),
+link AS (SELECT host AS src, translate(unnest(regexp_extract_all(coalesce(html, ''), '{LINK_SQL}', 1)), '{UPPER}', '{LOWER}') AS dst FROM q),
+site AS (SELECT host AS a, regexp_extract(host, '^[^.]+\.(.+\..+)$', 1) AS b FROM h),
+edge AS (SELECT DISTINCT src, dst FROM (
+  SELECT src, dst FROM link UNION ALL SELECT a, b FROM site WHERE b <> '' UNION ALL SELECT b, a FROM site WHERE b <> '')
+  WHERE src <> '' AND dst <> '' AND src <> dst),
+directed AS (SELECT 'trust' AS kind, src, dst FROM edge UNION ALL SELECT 'distrust', dst, src FROM edge),
+step AS (
+  SELECT kind, src, dst, count(*) OVER (PARTITION BY kind, src) AS degree, CAST(NULL AS BIGINT) AS fixed FROM directed
+  UNION ALL SELECT kind, '*', node, 1, seed * {100 - link_graph.DAMPING_PERCENT} // 100 FROM seed
+  UNION ALL SELECT kind, '*', '*', 1, 1 FROM (SELECT DISTINCT kind FROM seed)),
+r AS (
+  SELECT 0 AS turn, kind, dst AS node, fixed AS score FROM step WHERE src = '*'
+  UNION ALL
+  SELECT r.turn + 1, r.kind, s.dst,
+         CAST(sum(coalesce(s.fixed, r.score * {link_graph.DAMPING_PERCENT} // (100 * s.degree))) AS BIGINT)
+  FROM r JOIN step s ON s.kind = r.kind AND s.src = r.node WHERE r.turn < 48 GROUP BY r.turn, r.kind, s.dst),
+bad AS (SELECT node FROM (
+  SELECT node, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS d
+  FROM r WHERE turn = 48 GROUP BY node) WHERE d > t AND d * 100 >= {link_graph.UNIT * link_graph.BLOCK_PERCENT})
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN host IN (SELECT node FROM bad) THEN 'block' ELSE 'allow' END AS verdict FROM q
+"""
+
+
+@query(GRAPH_SQL)
 def op1_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_graph.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
