@@ -40,7 +40,8 @@ def source_names(df: DataFrame) -> DataFrame:
 def category_share(df: DataFrame, category: str = "category") -> DataFrame:
     """Items and share per category; the total is one number from the counts."""
     counts = df.groupBy(F.col(category).alias("category")).agg(F.count("*").alias("items"))
-    total = df.agg(F.count("*")).scalar()
+    # One row per category, so the window over all of them is small.
+    total = F.sum("items").over(Window.partitionBy())
     return counts.withColumn("share", F.col("items") / total)
 
 
@@ -129,8 +130,9 @@ def top_in_tier(judged: DataFrame, k: int, tier: str = "A") -> DataFrame:
 def absent_programs(watch: DataFrame, open_items: DataFrame, n: int = 3) -> DataFrame:
     """Expected programs that no open title contains, white space ignored.
 
-    watch: program, pattern. Titles meet a pattern only on the pattern's first n-gram, so this is
-    an equi-join; the containment test runs on what met.
+    watch: program, pattern. Titles meet a pattern only on the pattern's rarest n-gram, counted over
+    the titles, so this is an equi-join without frequent keys where a pattern has any rare part; the
+    containment test runs on what met.
     """
 
     def packed(c: Column) -> Column:
@@ -138,7 +140,7 @@ def absent_programs(watch: DataFrame, open_items: DataFrame, n: int = 3) -> Data
 
     sought = watch.select("program", packed(F.col("pattern")).alias("pattern")).filter(
         F.col("pattern") != ""
-    ).withColumn("gram", F.substring("pattern", 1, n))
+    )
     titles = open_items.select(packed(F.col("title")).alias("title")).distinct()
     starts = F.sequence(F.lit(1), F.greatest(F.char_length("title"), F.lit(1)))
     # A pattern shorter than n is its own gram, so shorter pieces of a title take part too.
@@ -147,9 +149,19 @@ def absent_programs(watch: DataFrame, open_items: DataFrame, n: int = 3) -> Data
             F.sequence(F.lit(1), F.lit(n)), lambda m: F.substring(F.col("title"), i, m)
         )
     ))
-    met = titles.select("title", F.explode(F.array_distinct(pieces)).alias("gram")).join(
-        sought, "gram"
-    )
+    grams = titles.select("title", F.explode(F.array_distinct(pieces)).alias("gram"))
+    own = F.when(F.char_length("pattern") <= n, F.array("pattern")).otherwise(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.char_length("pattern") - n + 1, F.lit(1))),
+        lambda i: F.substring(F.col("pattern"), i, n),
+    ))
+    counted = sought.select("program", "pattern", F.explode(F.array_distinct(own)).alias("gram")).join(
+        grams.groupBy("gram").agg(F.count("*").alias("_n")), "gram", "left"
+    ).withColumn("_n", F.coalesce("_n", F.lit(0)))
+    # A gram that no title has settles the matter without a join.
+    rarest = counted.groupBy("program", "pattern").agg(
+        F.min(F.struct("_n", "gram")).alias("_r")
+    ).filter("_r._n > 0").select("program", "pattern", "_r.gram")
+    met = grams.join(rarest, "gram")
     present = met.filter(F.contains("title", "pattern")).select("program").distinct()
     return watch.select("program", "pattern").join(present, "program", "left_anti")
 

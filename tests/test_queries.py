@@ -10,6 +10,9 @@ from noticeloom.plans import catalog
 from .compare import difference, duck
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+# Queries that find nothing in the smallest tables are compared on larger ones.
+LARGER = "/root/testdata/sf0.01"
+WITHOUT_ROWS = {"similar_titles"}
 ORACLES = catalog.ORACLES
 
 
@@ -26,7 +29,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, con, name):
     verdict = difference(catalog.QUERIES[name](spark, SF), con, ORACLES[name])
-    assert verdict in ("", "no rows"), verdict
+    if verdict == "no rows" and name in WITHOUT_ROWS:
+        verdict = difference(catalog.QUERIES[name](spark, LARGER), duck(LARGER), ORACLES[name])
+    assert verdict == ""
 
 
 def test_entry(spark):
