@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import byte_bpe, chunk_prints, divergence, language, link_graph, minhash, mixing, reshard, site_lines, warc
-from .common import table
+from .common import SPACE, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,7 +92,65 @@ def op1_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_graph.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-@query()
+def _part_sql(p: str, q: str) -> str:
+    """A bin's share of the divergence."""
+    m = f"(({p}) + ({q})) / 2"
+    return (f"(CASE WHEN ({p}) > 0 THEN ({p}) * log2(({p}) / ({m})) ELSE 0 END"
+            f" + CASE WHEN ({q}) > 0 THEN ({q}) * log2(({q}) / ({m})) ELSE 0 END) / 2")
+
+
+def _divergence_sql() -> str:
+    quoted = lambda x: x.replace("'", "''")
+    patterns = [quoted(x) for x in divergence.CLASSES.values()]
+    cuts = "".join(
+        f", c{k + 1} AS (SELECT *, regexp_replace(r{k}, '{x}', '', 'g') AS r{k + 1} FROM c{k})" for k, x in enumerate(patterns))
+    bins = len(patterns) + 1
+    counts = ", ".join([f"length(r{k}) - length(r{k + 1}) AS b{k}" for k in range(bins - 1)] + [f"length(r{bins - 1}) AS b{bins - 1}"])
+    letters = " + ".join(f"b{k}" for k in range(bins))
+    shares = ", ".join(f"sum(b{k}) / sum({letters}) AS q{k}" for k in range(bins))
+    far = " + ".join(_part_sql(f"f.b{k} / f.letters", f"t.q{k}") for k in range(bins))
+    lists = ", ".join(
+        f"('{name}', [{', '.join(repr(w) for w in ws)}])" for name, ws in divergence.COMMON_WORDS.items())
+    names = ", ".join(f"'{x}'" for x in divergence.COMMON_WORDS)
+    return rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '{SPACE}'), lambda x: x <> '') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: length(regexp_replace(x, '{SPACE}', '', 'g')) > 0) AS ls FROM d),
+x AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS x
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) > 2)),
+y AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+        SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS c FROM x) WHERE c > 1)
+      GROUP BY doc_id),
+c0 AS (SELECT doc_id, t AS r0 FROM d){cuts},
+b AS (SELECT doc_id, {counts} FROM c{bins - 1}),
+f AS (SELECT w.doc_id, w.lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(t) - length(regexp_replace(t, '{divergence.SYMBOLS}', '', 'g')) AS n_symbols,
+             len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(y.n, 0) AS n_repeat_words,
+             b.* EXCLUDE (doc_id), {letters} AS letters
+      FROM w LEFT JOIN y ON y.doc_id = w.doc_id JOIN b ON b.doc_id = w.doc_id),
+t AS (SELECT lang AS l, sum(n_words) AS n, {shares} FROM f WHERE lang IN ({names}) GROUP BY lang
+      HAVING sum(n_words) > 0 AND sum(letters) > 0),
+v AS (SELECT doc_id, lang, word, count(*) AS n FROM (
+        SELECT doc_id, lang, trim(unnest(string_split_regex(lower(t), '{SPACE}')), '{quoted(divergence.EDGES)}') AS word FROM d)
+      GROUP BY ALL),
+k AS (SELECT l, unnest(ws) AS word FROM (VALUES {lists}) AS z(l, ws)),
+q AS (SELECT k.l, k.word, sum(v.n) / t.n AS q FROM k JOIN t ON t.l = k.l JOIN v ON v.lang = k.l AND v.word = k.word GROUP BY k.l, k.word, t.n),
+o AS (SELECT f.doc_id, q.l, q.q, coalesce(v.n, 0) / f.n_words AS p
+      FROM f JOIN q ON f.n_words > 0 LEFT JOIN v ON v.doc_id = f.doc_id AND v.word = q.word),
+e AS (SELECT doc_id, l, sum({_part_sql('p', 'q')}) AS seen, greatest(1 - sum(p), 0) AS p, 1 - sum(q) AS q FROM o GROUP BY doc_id, l),
+g AS (SELECT doc_id, min(seen + {_part_sql('p', 'q')}) AS word_far FROM e GROUP BY doc_id),
+h AS (SELECT f.doc_id, min({far}) AS char_far FROM f JOIN t ON f.letters > 0 GROUP BY f.doc_id),
+j AS (SELECT f.*, n_words < {divergence.FEWEST_WORDS} OR n_repeat_words * 100 > n_words * {divergence.REPEAT_PERCENT} AS base_failed,
+             lang IS NOT NULL AND lang NOT IN ({names}) AS other_language,
+             coalesce(letters >= {divergence.LEAST_CHARS} AND char_far > {divergence.CHARACTER_LIMIT}, FALSE)
+             OR coalesce(n_words >= {divergence.LEAST_WORDS} AND word_far > {divergence.WORD_LIMIT}, FALSE) AS too_far
+      FROM f LEFT JOIN g ON g.doc_id = f.doc_id LEFT JOIN h ON h.doc_id = f.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (other_language OR NOT too_far) AS kept FROM j
+"""
+
+
+@query(_divergence_sql())
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return divergence.judge(docs).select(
