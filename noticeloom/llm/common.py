@@ -53,25 +53,21 @@ def accumulate(
     apart get consecutive sums in any order. Null keys are a key of their own.
     """
     names = [f"_b{k}" for k in range(len(buckets))]
-    cut = df.withColumns({**dict(zip(names, buckets)), **{f"_v_{n}": c for n, c in totals.items()}})
-    pieces = cut.groupBy(*keys, *names).agg(*[F.sum(f"_v_{n}").alias(f"_p_{n}") for n in totals])
-    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    inside = (
-        Window.partitionBy(*keys, *names).orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # A struct is equal to another with the same nulls, and one key serves window, sums and join:
+    # the rows are shuffled once.
+    cut = df.withColumns({**dict(zip(names, buckets)), **{f"_v_{n}": c for n, c in totals.items()}}).withColumns({
+        "_owner": F.struct(*keys), "_piece": F.struct(*keys, *names)})
+    pieces = cut.groupBy("_piece").agg(*[F.sum(f"_v_{n}").alias(f"_p_{n}") for n in totals])
+    order_of_pieces = [F.col(f"_piece.{n}") for n in names]
+    before = Window.partitionBy("_owner").orderBy(*order_of_pieces).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
-    shifts = pieces.select(
-        *keys, *names, *[F.coalesce(F.sum(f"_p_{n}").over(before), zero).alias(f"_s_{n}") for n in totals]
-    )
+    owners = pieces.withColumn("_owner", F.struct(*[F.col(f"_piece.{k}").alias(k) for k in keys]))
+    shifts = owners.select(
+        "_piece", *[F.coalesce(F.sum(f"_p_{n}").over(before), zero).alias(f"_s_{n}") for n in totals])
     left = cut.withColumns({f"_i_{n}": F.coalesce(F.sum(f"_v_{n}").over(inside), zero) for n in totals})
-    same = F.lit(True)
-    for k in [*keys, *names]:
-        same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    return left.alias("l").join(shifts.alias("r"), same).select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        *[(F.col(f"l._i_{n}") + F.col(f"r._s_{n}")).cast("bigint").alias(n) for n in totals],
-    )
+    return left.join(shifts, "_piece").select(
+        *df.columns, *[(F.col(f"_i_{n}") + F.col(f"_s_{n}")).cast("bigint").alias(n) for n in totals])
 
 
 __all__ = [
