@@ -7,7 +7,7 @@ documents of similarity s meet unless all groups of a collection miss, which has
 2 * (1 - s**ROWS)**GROUPS: 3 in 10,000 at 0.75 and less above.
 
 Documents with equal sets are one node. A node is compared with a centre per key, not with all
-nodes of the key; what the centres leave apart is compared in further turns and at last in full.
+nodes of the key. What the centres leave apart is searched by what it shares beyond its centre.
 """
 
 from __future__ import annotations
@@ -17,17 +17,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..operators.fold import components
-from .common import WORD, cut_lineage
+from .common import WORD, cut_lineage, join_dimension
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 75
 ROWS, GROUPS = 3, 16
 SEED = 20_240_607
-# Turns of comparing with centres, before what is left apart under a key is compared in full.
-CENTRE_TURNS = 3
+# Turns of comparing with centres before what is left apart is searched exactly; one at least.
+CENTRE_TURNS = 1
 # Nodes that are compared with one copy of their centre in one task.
 BLOCK_NODES = 256
 MEMO_WORDS = 500_000
@@ -142,16 +142,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], schema=schema)
 
 
-LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+COMPARED = T.StructType([
+    T.StructField("centre", T.LongType()), T.StructField("node", T.LongType()),
+    T.StructField("both", T.LongType()), T.StructField("other", T.ArrayType(T.LongType())),
+])
+
 
+def _against(with_others: bool):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by (centre, block), the centre's set first, then the nodes to compare with it.
 
-def _similar(percent: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by (centre, block), the centre's set first, then the nodes to compare with it."""
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        `both` counts common shingles, `other` lists those the centre has not (when asked for).
+        """
+        schema = pa.schema([
+            ("centre", pa.int64()), ("node", pa.int64()), ("both", pa.int64()), ("other", pa.list_(pa.int64()))])
         place, own = None, None
         for batch in batches:
-            a, b = [], []
+            rows, lists, held = [], [], 0
+
+            def full() -> pa.RecordBatch:
+                ends = pa.array(np.cumsum([0, *map(len, lists)]).astype(np.int32))
+                flat = pa.array(np.concatenate(lists) if lists else np.empty(0, np.int64))
+                columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))]
+                return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(ends, flat)], schema=schema)
+
             for centre, block, node, data in zip(*(batch.column(c) for c in ("centre", "block", "node", "shingles"))):
                 at, node = (centre.as_py(), block.as_py()), node.as_py()
                 found = np.frombuffer(data.as_py(), np.uint64)
@@ -160,31 +174,35 @@ def _similar(percent: int):
                 elif at == place:
                     where = np.searchsorted(own, found)
                     where[where == len(own)] = 0
-                    both = int((own[where] == found).sum())
-                    if 100 * both >= percent * (len(own) + len(found) - both):
-                        a.append(at[0])
-                        b.append(node)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+                    common = own[where] == found
+                    rows.append((at[0], node, int(common.sum())))
+                    lists.append(found[~common].view(np.int64) if with_others else np.empty(0, np.int64))
+                    held += lists[-1].nbytes
+                if held > SLICE_BYTES:
+                    yield full()
+                    rows, lists, held = [], [], 0
+            yield full()
 
-    return confirm
+    return compare
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs (centre, node) whose sets are similar.
+def _compared(pairs: DataFrame, sets: DataFrame, with_others: bool = False) -> DataFrame:
+    """COMPARED rows of the pairs (centre, node).
 
     Nodes travel to blocks of their centre, and the centre's set to each of its blocks, so neither
     a frequent centre nor its nodes gather in one task.
     """
-    sized = pairs.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("bigint").alias("blocks"))
-    members = pairs.join(sized, "centre").select(
-        "centre", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node")
+    sized = cut_lineage(pairs.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("bigint").alias("blocks")))
+    several = join_dimension(pairs, sized.filter("blocks > 1"), ["centre"], ["node"])
+    members = several.select(
+        "centre", F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))).alias("block"), "node")
     centres = sized.select(
         "centre", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"),
         F.col("centre").alias("node"))
     loaded = members.unionByName(centres).join(sets, "node")
     ordered = loaded.repartition("centre", "block").sortWithinPartitions(
         "centre", "block", F.col("node") != F.col("centre"))
-    return ordered.select("centre", "block", "node", "shingles").mapInArrow(_similar(percent), LINK)
+    return ordered.select("centre", "block", "node", "shingles").mapInArrow(_against(with_others), COMPARED)
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
@@ -214,9 +232,67 @@ def _apart(keys: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(open_keys.select("key"), "key")
 
 
+def _links(compared: DataFrame, size: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the compared pairs that are similar."""
+    other = size.select(F.col("node").alias("centre"), F.col("size").alias("centre_size"))
+    sized = compared.select("centre", "node", "both").join(size, "node").join(other, "centre")
+    union = F.col("size") + F.col("centre_size") - F.col("both")
+    return sized.filter(F.col("both") * 100 >= union * percent).select(
+        F.col("centre").alias("a"), F.col("node").alias("b"))
+
+
+def _rest(groups: DataFrame, sets: DataFrame, size: DataFrame, percent: int) -> DataFrame:
+    """Pairs (centre, node) that may still be similar in `groups`(centre, node, label, home).
+
+    All nodes of a group were compared with its centre; `home` is the centre's label. Let m have
+    another label and share `both` shingles with the centre, and let x be similar to m, of another
+    label. Then |m & x| >= p / (100 + p) * (|m| + |x|), which is p / 100 * |m| at least. So either m
+    and x share p / 100 * |m| - both shingles (one at least) that the centre has not, or |x| <= both *
+    (100 + p) / p - |m|. The first kind is an overlap join of the shingles beyond the centre, with
+    prefixes by ascending frequency in the group and the bound that the last match leaves; the second
+    meets on sizes. No pair is formed only because two nodes share a key.
+    """
+    compared = cut_lineage(_compared(groups.filter("node <> centre").select("centre", "node").distinct(), sets, True))
+    about = cut_lineage(compared.join(groups, ["centre", "node"]).join(size, "node"))
+    rows = cut_lineage(about.select("centre", "node", F.explode("other").alias("shingle")))
+    # A shingle of one node of the group is shared by no two of them.
+    counts = rows.groupBy("centre", "shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    own = Window.partitionBy("centre", "node")
+    ranked = rows.join(counts, ["centre", "shingle"]).select(
+        "centre", "node", "shingle", F.row_number().over(own.orderBy("n", "shingle")).alias("rank"),
+        F.count("*").over(own).alias("beyond"))
+    shared = F.greatest(F.lit(1), F.ceil(F.col("size") * percent / 100) - F.col("both"))
+    placed = about.select("centre", "node", "label", "home", "both", "size")
+    prefixes = cut_lineage(ranked.join(placed, ["centre", "node"]).filter(F.col("rank") <= F.col("beyond") - shared + 1))
+    left = prefixes.filter("label <> home").select(
+        "centre", "shingle", *[F.col(c).alias(f"m_{c}") for c in ("node", "label", "rank", "both", "size", "beyond")])
+    needed = F.ceil((F.col("m_size") + F.col("size")) * percent / (100 + percent)) - F.least("m_both", "both")
+    needed = F.greatest(F.lit(1), needed)
+    once = (F.col("label") == F.col("home")) | (F.col("m_node") < F.col("node"))
+    # Of so many common shingles one lies this early in both orders.
+    early = (F.col("m_rank") <= F.col("m_beyond") - needed + 1) & (F.col("rank") <= F.col("beyond") - needed + 1)
+    same = ["centre", "shingle"]
+    met = prefixes.join(left, same).filter((F.col("label") != F.col("m_label")) & once & early).groupBy(
+        "centre", "m_node", "node", "m_both", "both", "m_size", "size", "m_beyond", "beyond").agg(
+        F.count("*").alias("matches"), F.max("m_rank").alias("m_last"), F.max("rank").alias("last"))
+    most = F.col("matches") + F.least(F.col("m_beyond") - F.col("m_last"), F.col("beyond") - F.col("last"))
+    by_shingle = met.filter(most >= needed).select(F.col("m_node").alias("m"), "node")
+    centres = groups.filter("node = centre").select("centre", "node", "label").join(size, "node")
+    everyone = placed.select("centre", "node", "label", "size").unionByName(centres)
+    first = F.ceil(F.col("size") * percent / 100).cast("bigint")
+    last = F.floor(F.col("both") * (100 + percent) / percent - F.col("size")).cast("bigint")
+    small = placed.filter((F.col("label") != F.col("home")) & (first <= last)).select(
+        "centre", F.col("node").alias("m"), F.col("label").alias("m_label"), F.explode(F.sequence(first, last)).alias("size"))
+    by_size = everyone.join(small, ["centre", "size"]).filter("label <> m_label").select("m", "node")
+    pairs = by_shingle.unionByName(by_size).select(
+        F.least("m", "node").alias("centre"), F.greatest("m", "node").alias("node")).distinct()
+    other = size.select(F.col("node").alias("centre"), F.col("size").alias("centre_size"))
+    fits = F.least("size", "centre_size") * 100 >= F.greatest("size", "centre_size") * percent
+    return pairs.join(size, "node").join(other, "centre").filter(fits).select("centre", "node")
+
+
 def _linked(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(node, label) of the nodes that are similar to another one."""
-    spark = nodes.sparkSession
     tables = cut_lineage(_keys(nodes))
     often = tables.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     keys = cut_lineage(tables.join(often, "key"))
@@ -224,33 +300,36 @@ def _linked(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     candidates = keys.select("node").distinct().join(nodes.select("node", "doc_id", "digest"), "node")
     sets = cut_lineage(docs.join(
         candidates.withColumnRenamed("doc_id", "_first"), F.col("doc_id").eqNullSafe(F.col("_first"))
-    ).select("node", "digest", "text").mapInArrow(_sets, SET))
-    labels = spark.createDataFrame([], "node long, label long")
-    links = checked = spark.createDataFrame([], LINK)
-    fits = F.least("size", "other") * 100 >= F.greatest("size", "other") * percent
-    for turn in range(CENTRE_TURNS + 1):
-        placed = cut_lineage(_apart(keys, labels))
-        if placed.isEmpty():
-            break
-        if turn < CENTRE_TURNS:
+    ).select("node", "digest", "text").mapInArrow(_sets, SET).dropDuplicates(["node"]))
+    homes = cut_lineage(keys.groupBy("key").agg(F.min(F.struct("chance", "node")).alias("c")).select(
+        "key", F.col("c.node").alias("centre")))
+    links, labels, left, done = None, None, keys, None
+    for turn in range(CENTRE_TURNS):
+        if turn:
+            placed = cut_lineage(_apart(left, labels))
+            if placed.isEmpty():
+                return labels
             centres = placed.groupBy("key").agg(F.min(F.struct("chance", "node", "label")).alias("c"))
-            pairs = placed.join(centres, "key").filter("label <> c.label").select(
-                F.col("c.node").alias("centre"), "node").distinct()
-            keys = placed.join(centres, "key").filter("node <> c.node").select("key", "node", "chance")
+            chosen = placed.join(centres, "key")
+            pairs = chosen.filter("label <> c.label").select(F.col("c.node").alias("centre"), "node").distinct()
+            pairs = pairs.join(done, ["centre", "node"], "left_anti")
         else:
-            other = placed.select("key", F.col("node").alias("centre"), F.col("label").alias("near"))
-            pairs = placed.join(other, "key").filter("label <> near AND centre < node").select("centre", "node").distinct()
-        sized = pairs.join(size, "node").join(
-            size.select(F.col("node").alias("centre"), F.col("size").alias("other")), "centre").filter(fits)
-        known = checked.select(F.col("a").alias("centre"), F.col("b").alias("node"))
-        known = known.unionByName(known.select(F.col("node").alias("centre"), F.col("centre").alias("node")))
-        new = cut_lineage(sized.select("centre", "node").join(known, ["centre", "node"], "left_anti"))
-        if new.isEmpty():
-            continue
-        links = links.unionByName(cut_lineage(_confirmed(new, sets, percent)))
-        checked = checked.unionByName(new.select(F.col("centre").alias("a"), F.col("node").alias("b")))
+            chosen = keys.join(homes.select("key", F.struct(F.col("centre").alias("node")).alias("c")), "key")
+            pairs = chosen.filter("node <> c.node").select(F.col("c.node").alias("centre"), "node").distinct()
+        left = cut_lineage(chosen.filter("node <> c.node").select("key", "node", "chance"))
+        new = cut_lineage(pairs)
+        found = cut_lineage(_links(_compared(new, sets), size, percent))
+        links = found if links is None else links.unionByName(found)
+        done = new if done is None else done.unionByName(new)
         labels = components(links)
-    return labels
+    apart = _apart(keys, labels).select("key", "node", "label").join(homes, "key")
+    home = labels.select(F.col("node").alias("centre"), F.col("label").alias("home"))
+    groups = cut_lineage(apart.select("centre", "node", "label").distinct().join(home, "centre", "left").withColumn(
+        "home", F.coalesce("home", "centre")))
+    if groups.isEmpty():
+        return labels
+    rest = cut_lineage(_rest(groups, sets, size, percent).join(done, ["centre", "node"], "left_anti"))
+    return components(links.unionByName(cut_lineage(_links(_compared(rest, sets), size, percent))))
 
 
 def _judged(docs: DataFrame, id: str, text: str, percent: int) -> DataFrame:

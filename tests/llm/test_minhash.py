@@ -65,7 +65,7 @@ def corpus(seed):
     return list(enumerate(rows, 10))
 
 
-@pytest.mark.parametrize("seed,turns", [(1, 3), (2, 0), (3, 1)])
+@pytest.mark.parametrize("seed,turns", [(1, 3), (2, 1), (3, 2)])
 def test_random_corpus(spark, monkeypatch, seed, turns):
     monkeypatch.setattr(mh, "CENTRE_TURNS", turns)
     check(spark, corpus(seed))
@@ -91,6 +91,19 @@ def test_large_group_and_chain(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_copies_too_far_from_their_base(spark, monkeypatch):
+    """Most are linked with the base, some only with each other, some are shorter, some alone."""
+    monkeypatch.setattr(mh, "CENTRE_TURNS", 1)
+    rng = random.Random(6)
+    base = [f"b{k}" for k in range(150)]
+    rows = [edited(rng, base, rng.randrange(1, 7)) for _ in range(120)]
+    for _ in range(6):
+        far = edited(rng, base, 6).split()
+        rows += [edited(rng, far, 1) for _ in range(4)]
+    rows += [" ".join(base[:n]) for n in range(80, 150, 6)] + [" ".join(base[n:]) for n in range(4, 60, 6)]
+    check(spark, list(enumerate(rows)))
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert mh.near_duplicates(empty).collect() == []
