@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .common import cut_lineage, join_dimension
 
@@ -101,22 +101,23 @@ def _unordered(single: np.ndarray) -> np.ndarray:
 def fit(rows: DataFrame) -> Model:
     """The model of a sample of rows(_id, _declared, _text), bounded by FIT_TEXTS and FIT_LANGUAGES.
 
-    Counting is grouped in Spark; a table of languages times buckets reaches the driver.
+    The sample is chosen in one pass over ids and languages, in which a task passes on FIT_TEXTS rows
+    per language at most. Counting is grouped in Spark; a table of languages times buckets reaches
+    the driver.
     """
     frequent = (
-        rows.filter("_declared <> '' AND length(_text) > 0").groupBy("_declared").count()
+        rows.filter("_declared <> ''").groupBy("_declared").count()
         .orderBy(F.desc("count"), "_declared").limit(FIT_LANGUAGES).collect()
     )
     languages = sorted(r["_declared"] for r in frequent)
     if not languages:
         return Model([], np.zeros((BUCKETS, 1), np.float32))
     chance = F.xxhash64(F.coalesce(F.col("_id").cast("string"), F.lit("")))
-    picked = None
-    for language in languages:
-        own = rows.filter((F.col("_declared") == language) & (F.length("_text") > 0)).select("_id", chance.alias("_c"))
-        own = own.orderBy("_c", "_id").limit(FIT_TEXTS).select("_id")
-        picked = own if picked is None else picked.unionByName(own)
-    chosen = F.broadcast(picked.distinct())
+    first = Window.partitionBy("_declared").orderBy("_c", "_id")
+    picked = rows.filter(F.col("_declared").isin(*languages)).select("_id", "_declared", chance.alias("_c"))
+    picked = picked.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= FIT_TEXTS)
+    # At most FIT_TEXTS * FIT_LANGUAGES ids.
+    chosen = F.broadcast(picked.select("_id").distinct())
     sample = rows.join(chosen, "_id", "left_semi").filter(F.col("_declared").isin(*languages)).select("_declared", "_text")
     counts = sample.mapInArrow(_count, COUNT).groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros((BUCKETS + 256, len(languages)))
