@@ -30,6 +30,8 @@ EVEN = 0.05
 HOST_WEIGHT, SUFFIX_WEIGHT, DECLARED_WEIGHT = 20.0, 50.0, 5.0
 UNKNOWN_PRIOR = 0.01
 LEAST_POSTERIOR = 0.5
+# Numbers and addresses outweigh the words of a shorter text: it is not held to be unknown.
+LEAST_CHARS = 150
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 21
 
@@ -153,7 +155,7 @@ def identify(
     says nothing about a row (a null host or suffix has the prior of the next wider level's null
     group). Without `model` one is fitted on declared languages. A row is rejected (kept false,
     language null) when its text has nothing but white space or is null, when the unordered-bytes
-    model wins, or when no language reaches LEAST_POSTERIOR. Repeated rows are judged alike; ties go
+    model wins (for texts of LEAST_CHARS on), or when no language reaches LEAST_POSTERIOR. Repeated rows are judged alike; ties go
     to the language first in the alphabet. No rows, or no declared languages to fit on: no language.
     """
     nothing = F.lit(None).cast("string")
@@ -164,6 +166,7 @@ def identify(
     ).withColumns({c: F.coalesce(c, F.lit("")) for c in ("_declared", "_host", "_suffix")})
     own = model or fit(rows)
     n = len(own.languages)
+    rows = rows.withColumn("_short", F.coalesce(F.length("_text") < LEAST_CHARS, F.lit(True)))
     found = cut_lineage(_scored(rows.withColumn("_empty", F.length(F.btrim(F.coalesce("_text", F.lit("")), F.lit(" \t\n\r\x0b\x0c"))) == 0), own))
     kept_columns = [F.col(f"_keep_{c}").alias(c) for c in keep]
     if not n:
@@ -200,7 +203,8 @@ def identify(
     prior, says = F.coalesce("_prior", wide_prior), F.coalesce("_says", F.array_repeat(F.lit(0.0), n + 1))
     evidence = F.array(
         *[F.get("_scores", F.lit(k)) + F.get(prior, F.lit(k)) + F.get(says, F.lit(k)) + float(np.log(1 - UNKNOWN_PRIOR)) for k in range(n)],
-        F.get("_scores", F.lit(n)) + F.get(says, F.lit(n)) + float(np.log(UNKNOWN_PRIOR)))
+        F.when(F.col("_short"), -1e300).otherwise(
+            F.get("_scores", F.lit(n)) + F.get(says, F.lit(n)) + float(np.log(UNKNOWN_PRIOR))))
     top = fused.withColumn("_e", evidence).withColumn("_m", F.array_max("_e")).withColumn(
         "_z", F.aggregate("_e", F.lit(0.0), lambda a, e: a + F.exp(e - F.col("_m"))))
     spoken_top = F.array_max(F.slice("_e", 1, n))
