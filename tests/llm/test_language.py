@@ -78,6 +78,35 @@ def test_rejects_what_is_no_language(spark, docs, model):
     assert [r.kept for r in got if r.doc_id is None] == [True]
 
 
+RUSSIAN = "Сегодня утром мы долго шли вдоль реки и говорили о том, как быстро проходит лето в этих краях, и никто из нас не хотел возвращаться."
+JAPANESE = "これはとてもみじかいぶんしょうですがいみはありますきょうはてんきがいいのでそとをあるきましょう" * 4
+CHINESE = "今天早上我们沿着河边走了很久谈论这里的夏天过得多么快没有人愿意回去因为风景实在太美了" * 4
+
+
+@pytest.mark.parametrize("size", [20, 40, 80, 149, 150])
+def test_short_texts_are_judged_by_their_words(spark, docs, model, size):
+    rng = random.Random(size)
+    noise = "".join(rng.choice("qxzjkvwpyfb0123456789{}~^") for _ in range(size))
+    digest = "".join(rng.choice("0123456789abcdef") for _ in range(size))
+    foreign = [RUSSIAN[:size], JAPANESE[:size], CHINESE[:size], noise, digest, "0123 4567 " * (size // 10), "x.y@example.com " * (size // 16 + 1)]
+    source = [r.text for r in docs.filter("lang = 'en' AND n_chars > 400 AND NOT text RLIKE '[#*$%&|<>0-9]'").orderBy("doc_id").limit(20).collect()]
+    prose = [t[:size] for t in source]
+    marked = [f'+1 (545) 555-9193 token = "b64b244acde2e3b0aa8f051af1ec018ebaba3add" {t[:size]} 7844238401328224 http://a.b/c?d=1' for t in source]
+    rows = [(k, t, "en", "s") for k, t in enumerate(foreign)] + [(100 + k, t, "en", "s") for k, t in enumerate(prose + marked)]
+    got = lg.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), model=model).collect()
+    assert [r.doc_id for r in got if r.doc_id < 100 and r.kept] == []
+    assert [r.doc_id for r in got if r.doc_id >= 100 and r.language != "en"] == []
+
+
+def test_only_what_says_nothing_is_left_out():
+    left = lambda t: lg._bytes_of(t).tobytes().decode()
+    assert left("See  https://a.b/c?d=1 and www.a.b, or mail x.y@mail6.example.com now") == "see and or mail now"
+    assert left("id 550e8400-e29b-41d4-a716-446655440000 0xFF b64b244acde2e3b0 end") == "id end"
+    assert left("+1 (545) 555-9193 on 10.12.2020 at 19.37.233.111.") == "on at ."
+    assert left("deadbeef facade effaced été 日本123語") == "deadbeef facade effaced été 日本 語"
+    assert left("12 34") == "" and left(None) == ""
+
+
 def test_empty_table_and_nothing_to_fit_on(spark):
     schema = "doc_id long, text string, lang string, source string"
     assert lg.identify(spark.createDataFrame([], schema)).collect() == []
