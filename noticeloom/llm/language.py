@@ -13,14 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .common import cut_lineage, join_dimension
 
-# The classifier is fitted on at most this many texts per language, of at most this many languages
-# (the most frequent ones); which texts is decided by a hash of their id.
+# The classifier is fitted on at most this many texts of every declared language; which texts is
+# decided by a hash of their id.
 FIT_TEXTS = 1000
-FIT_LANGUAGES = 16
 BUCKETS = 1 << 15
 # Trigrams overlap: every byte is seen three times.
 OVERLAP = 3.0
@@ -111,37 +111,35 @@ def _unordered(single: np.ndarray) -> np.ndarray:
     """Counts per bucket of trigrams whose bytes are drawn one by one from the byte frequencies."""
     seen = np.flatnonzero(single)
     p = single[seen] / single.sum()
-    code = (seen[:, None, None] << 16 | seen[None, :, None] << 8 | seen[None, None, :]).astype(np.uint32).ravel()
-    chance = (p[:, None, None] * p[None, :, None] * p[None, None, :]).ravel()
-    bucket = ((code * np.uint32(0x9E3779B1)) >> np.uint32(17)).astype(np.int64)
-    return (np.bincount(bucket, weights=chance, minlength=BUCKETS) * (1 - EVEN) + EVEN / BUCKETS) * single.sum()
+    chance, out = np.outer(p, p).ravel(), np.zeros(BUCKETS)
+    for first, share in zip(seen, p):
+        code = (first << 16 | seen[:, None] << 8 | seen[None, :]).astype(np.uint32).ravel()
+        bucket = ((code * np.uint32(0x9E3779B1)) >> np.uint32(17)).astype(np.int64)
+        out += np.bincount(bucket, weights=share * chance, minlength=BUCKETS)
+    return (out * (1 - EVEN) + EVEN / BUCKETS) * single.sum()
 
 
 def fit(rows: DataFrame) -> Model:
-    """The model of a sample of rows(_id, _declared, _text), bounded by FIT_TEXTS and FIT_LANGUAGES.
+    """The model of a sample of rows(_id, _declared, _text): FIT_TEXTS of every declared language.
 
     The sample is chosen in one pass over ids and languages, in which a task passes on FIT_TEXTS rows
     per language at most. Counting is grouped in Spark; a table of languages times buckets reaches
-    the driver.
+    the driver (128 KB per language in the model).
     """
-    frequent = (
-        rows.filter("_declared <> ''").groupBy("_declared").count()
-        .orderBy(F.desc("count"), "_declared").limit(FIT_LANGUAGES).collect()
-    )
-    languages = sorted(r["_declared"] for r in frequent)
+    languages = sorted(r["_declared"] for r in rows.filter("_declared <> ''").select("_declared").distinct().collect())
     if not languages:
         return Model([], np.zeros((BUCKETS, 1), np.float32))
     chance = F.xxhash64(F.coalesce(F.col("_id").cast("string"), F.lit("")))
     first = Window.partitionBy("_declared").orderBy("_c", "_id")
-    picked = rows.filter(F.col("_declared").isin(*languages)).select("_id", "_declared", chance.alias("_c"))
+    picked = rows.filter("_declared <> ''").select("_id", "_declared", chance.alias("_c"))
     picked = picked.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= FIT_TEXTS)
-    # At most FIT_TEXTS * FIT_LANGUAGES ids.
+    # At most FIT_TEXTS ids per language.
     chosen = F.broadcast(picked.select("_id").distinct())
-    sample = rows.join(chosen, "_id", "left_semi").filter(F.col("_declared").isin(*languages)).select("_declared", "_text")
-    counts = sample.mapInArrow(_count, COUNT).groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    sample = rows.join(chosen, "_id", "left_semi").filter("_declared <> ''").select("_declared", "_text")
+    counts = sample.mapInArrow(_count, COUNT).groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((BUCKETS + 256, len(languages)))
-    place = {language: k for k, language in enumerate(languages)}
-    table[counts["bucket"].to_numpy(), counts["language"].map(place).to_numpy()] = counts["n"].to_numpy()
+    column = pc.index_in(counts["language"], pa.array(languages, pa.string())).to_numpy()
+    table[counts["bucket"].to_numpy(), column] = counts["n"].to_numpy()
     unknown = _unordered(table[BUCKETS:].sum(axis=1)) + UNSEEN
     return Model(languages, _log_table(table[:BUCKETS], unknown / unknown.sum()))
 
@@ -176,10 +174,18 @@ def _scored(rows: DataFrame, model: Model) -> DataFrame:
         F.get("_measured", F.lit(1)).alias("_all"), F.slice("_measured", 3, width).alias("_scores"))
 
 
-def _log_shares(counts: list[Column], weight: float, wider: list[Column]) -> Column:
-    """Logarithms of counts smoothed with `weight` times the shares of the wider level."""
-    total = sum(counts[1:], counts[0])
-    return F.array(*[F.log((c + weight * w) / (total + weight)) for c, w in zip(counts, wider)])
+def _counts(groups: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """(*keys, _counts, _total) of groups(*keys, _best, _n): an array with a count per language."""
+    held = groups.groupBy(*keys, "_best").agg(F.sum("_n").alias("_n")).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("_best", "_n"))).alias("_of"), F.sum("_n").alias("_total"))
+    count = lambda k: F.coalesce(F.element_at("_of", k), F.lit(0)).cast("double")
+    every = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), count)
+    return held.select(*keys, every.alias("_counts"), F.col("_total").cast("double").alias("_total"))
+
+
+def _log_shares(weight: float, wider: Column) -> Column:
+    """Logarithms of _counts smoothed with `weight` times the shares of the wider level."""
+    return F.zip_with("_counts", wider, lambda c, w: F.log((c + weight * w) / (F.col("_total") + weight)))
 
 
 def identify(
@@ -214,36 +220,33 @@ def identify(
     spoken = F.slice("_scores", 1, n)
     best = F.array_position(spoken, F.array_max(spoken)).cast("int") - 1
     sure = found.filter((~F.col("_empty")) & (F.array_max(spoken) > F.element_at("_scores", -1)))
-    each = [F.count_if(best == k).cast("double").alias(f"n{k}") for k in range(n)]
     # One pass over the scores; hosts, suffixes and declarations are counted from its groups.
-    groups = cut_lineage(sure.groupBy("_host", "_suffix", "_declared").agg(*each))
-    sums = [F.sum(f"n{k}").alias(f"n{k}") for k in range(n)]
-    every = groups.agg(*sums).first()
-    counts = [float(x or 0) for x in every]
-    wide = [F.lit((c + 1.0) / (sum(counts) + n)) for c in counts]
-    suffixes = groups.groupBy("_suffix").agg(*sums).select(
-        "_suffix", _log_shares([F.col(f"n{k}") for k in range(n)], SUFFIX_WEIGHT, wide).alias("_by_suffix"))
-    hosts = groups.groupBy("_host", "_suffix").agg(*sums).join(suffixes, "_suffix").select(
-        "_host", "_suffix", _log_shares(
-            [F.col(f"n{k}") for k in range(n)], HOST_WEIGHT, [F.exp(F.get("_by_suffix", F.lit(k))) for k in range(n)]
-        ).alias("_prior"))
+    groups = cut_lineage(sure.groupBy("_host", "_suffix", "_declared", best.alias("_best")).agg(F.count("*").alias("_n")))
+    declared_groups = groups.filter("_declared <> ''")
+    every, spread = [0.0] * n, [0.0] * n
+    for held, part in ((every, groups), (spread, declared_groups)):
+        for row in part.groupBy("_best").agg(F.sum("_n").alias("_n")).collect():
+            held[row["_best"]] = float(row["_n"])
+    shares = F.array(*[F.lit((c + 1.0) / (sum(every) + n)) for c in every])
+    suffixes = _counts(groups, ["_suffix"], n).select("_suffix", _log_shares(SUFFIX_WEIGHT, shares).alias("_by_suffix"))
+    hosts = _counts(groups, ["_host", "_suffix"], n).join(suffixes, "_suffix").select(
+        "_host", "_suffix", _log_shares(HOST_WEIGHT, F.transform("_by_suffix", lambda s: F.exp(s))).alias("_prior"))
     # P(declared | language): a declaration's share of the language, smoothed by its share of all rows.
-    said = groups.filter("_declared <> ''").groupBy("_declared").agg(*sums)
-    all_said = sum(F.col(f"n{k}") for k in range(n))
-    spread = [F.lit(c) for c in groups.filter("_declared <> ''").agg(*sums).first()]
-    total_said = sum((F.coalesce(s, F.lit(0.0)) for s in spread), F.lit(0.0))
-    declarations = said.select("_declared", F.array(*[
-        F.log((F.col(f"n{k}") + DECLARED_WEIGHT * all_said / total_said) / (F.coalesce(spread[k], F.lit(0.0)) + DECLARED_WEIGHT))
-        for k in range(n)], F.log(all_said / total_said)).alias("_says"))
+    share = F.col("_total") / F.lit(sum(spread) or 1.0)
+    of_language = F.zip_with("_counts", F.array(*[F.lit(c) for c in spread]), lambda c, all: F.log(
+        (c + DECLARED_WEIGHT * share) / (all + DECLARED_WEIGHT)))
+    declarations = _counts(declared_groups, ["_declared"], n).select(
+        "_declared", F.concat(of_language, F.array(F.log(share))).alias("_says"))
     with_prior = join_dimension(found, cut_lineage(hosts), ["_host", "_suffix"], ["_id"])
     fused = join_dimension(with_prior, cut_lineage(declarations), ["_declared"], ["_id"])
-    wide_prior = F.array(*[F.log(w) for w in wide])
+    wide_prior = F.transform(shares, lambda s: F.log(s))
     prior, says = F.coalesce("_prior", wide_prior), F.coalesce("_says", F.array_repeat(F.lit(0.0), n + 1))
     unknown_odds = (F.lit(float(np.log(UNKNOWN_PRIOR / (1 - UNKNOWN_PRIOR)))) - F.sqrt("_left") * SCATTER) * F.col("_left") / F.greatest("_left", "_all")
-    evidence = F.array(
-        *[F.get("_scores", F.lit(k)) + F.get(prior, F.lit(k)) + F.get(says, F.lit(k)) for k in range(n)],
-        F.get("_scores", F.lit(n)) + F.get(says, F.lit(n)) + F.when(F.col("_empty"), 0.0).otherwise(unknown_odds))
-    top = fused.withColumn("_e", evidence).withColumn("_m", F.array_max("_e")).withColumn(
+    odds = F.when(F.col("_empty"), 0.0).otherwise(unknown_odds)
+    priors = F.concat("_prior", F.array("_odds"))
+    evidence = F.zip_with(F.zip_with("_scores", priors, lambda s, p: s + p), "_says", lambda s, d: s + d)
+    weighed = fused.withColumns({"_prior": prior, "_says": says, "_odds": odds})
+    top = weighed.withColumn("_e", evidence).withColumn("_m", F.array_max("_e")).withColumn(
         "_z", F.aggregate("_e", F.lit(0.0), lambda a, e: a + F.exp(e - F.col("_m"))))
     spoken_top = F.array_max(F.slice("_e", 1, n))
     posterior = F.when(F.col("_empty"), 0.0).otherwise(F.exp(spoken_top - F.col("_m")) / F.col("_z"))

@@ -107,6 +107,25 @@ def test_only_what_says_nothing_is_left_out():
     assert left("12 34") == "" and left(None) == ""
 
 
+def test_every_declared_language_is_fitted(spark, docs):
+    """Twenty languages of many documents and one of two; no language takes what is foreign to all."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [r.text[:2000] for r in docs.filter("lang = 'en' AND n_chars > 600").orderBy("doc_id").limit(40).collect()]
+    rows = []
+    for k in range(20):
+        shuffled = random.Random(k).sample(letters, 26)
+        code = str.maketrans(letters, "".join(shuffled))
+        # The first languages are the most frequent ones.
+        rows += [(f"l{k:02}", t.lower().translate(code)) for t in texts[:40 - k]]
+    rare = texts[0].lower().translate(str.maketrans(letters, letters[13:] + letters[:13]))
+    rows += [("rare", rare[:1000]), ("rare", rare[1000:])]
+    foreign = [(None, t) for t in (RUSSIAN, JAPANESE, CHINESE)]
+    df = spark.createDataFrame([(k, *r, "s") for k, r in enumerate(rows + foreign)], "doc_id long, lang string, text string, source string")
+    got = {r.doc_id: r.language for r in lg.identify(df).collect()}
+    assert [got[k] for k in range(len(rows))] == [lang for lang, _ in rows]
+    assert [got[len(rows) + k] for k in range(len(foreign))] == [None] * len(foreign)
+
+
 def test_empty_table_and_nothing_to_fit_on(spark):
     schema = "doc_id long, text string, lang string, source string"
     assert lg.identify(spark.createDataFrame([], schema)).collect() == []
