@@ -69,6 +69,19 @@ def test_each_record_has_one_owner(step):
     assert offsets(b"".join(parts), step) == wanted
 
 
+def test_header_longer_than_reads_at_the_start_of_a_range(spark, tmp_path):
+    url = lambda k: f"http://h/{k}/" + os.urandom(500_000).hex()
+    first = warc.member(1, "http://h/", b"x", "ab" * 20, 1, None, False)
+    long = warc.member(2, url(2), b"y", "ab" * 20, 1, None, False)
+    data = first + long + first
+    found = [at for s, e in ((0, len(first)), (len(first), len(data))) for at, _, _ in warc.records_in(io.BytesIO(data), len(data), s, e)]
+    assert found == [0, len(first), len(first) + len(long)]
+    pages = spark.createDataFrame([(k, url(k), "z") for k in range(4)], "page_id long, url string, html string").repartition(1)
+    manifest = warc.write_archives(warc.plan_records(pages), f"file://{tmp_path}/w")
+    read = warc.read_archives(spark, manifest, 100_000)
+    assert read.count() == sum(r.records for r in manifest.collect()) == 4
+
+
 def test_gzip_magic_inside_is_no_record():
     inside = gzip.compress(b"not a record") + warc.MAGIC * 3
     parts = members(3)
