@@ -246,13 +246,15 @@ def mixed_documents(docs: DataFrame, columns: list[str], **options) -> DataFrame
     """The mix itself: a row of `columns` per drawn block, with its shard, ordered by `place` inside it.
 
     `columns` name doc_id, text and source among others. The text of a cut block is its first words,
-    joined by blanks.
+    joined by blanks. Rows lie by (shard, place) over all partitions, which are ranges of it, so a
+    large shard takes several and what is written keeps the order.
     """
     rows = draws(docs, keep=tuple(columns), **options).withColumn("_draw", F.explode("draws"))
     cut = F.array_join(F.slice(words(whole("text")), 1, F.col("_draw.words").cast("int")), " ")
     text = F.when(F.col("_draw.words") < F.col("size"), cut).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(
+    mix = rows.withColumn("text", text).select(
         *columns, F.col("_draw.shard").alias("_shard"), F.col("_draw.place").alias("_place"))
+    return mix.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")
 
 
 def taken_words(docs: DataFrame) -> DataFrame:

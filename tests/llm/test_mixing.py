@@ -123,6 +123,17 @@ def test_mixed_documents_carry_the_words(spark):
     assert +found == +expected
 
 
+def test_mix_lies_shard_by_shard_shuffled(spark):
+    df = spark.createDataFrame(corpus(), "doc_id long, text string, source string")
+    mix = mx.mixed_documents(df, ["doc_id", "text", "source"])
+    rows = [(r._shard, r._place) for part in mix.rdd.glom().collect() for r in part]
+    assert rows == sorted(rows) and {s for s, _ in rows} == set(range(mx.SHARDS))
+    ids = [r.doc_id for part in mix.rdd.glom().collect() for r in part]
+    assert sum(a == b for a, b in zip(ids, ids[1:])) < 0.05 * len(ids)
+    sources = [r.source for r in mix.collect()]
+    assert sum(a != b for a, b in zip(sources, sources[1:])) > 0.2 * len(sources)
+
+
 def test_empty_and_wordless(spark):
     schema = "doc_id long, text string, source string"
     assert mx.draws(spark.createDataFrame([], schema)).collect() == []
