@@ -3,7 +3,7 @@
 Old shards are summed up as rows and bytes per size class, which is small. A minimum-cost flow over
 that summary decides how many rows of which class leave each shard and where they go; in a shard the
 smallest rows leave first. Rows are then ranked inside their old shard, which gives every row its
-new shard and its slot, and the shards that changed are written anew.
+new shard and its slot. All shards are written: old shards are numbers of rows here, without files.
 """
 
 from __future__ import annotations
@@ -164,13 +164,13 @@ def reshard(
     docs: DataFrame, shards: int = SHARDS, old: str = "_old", text: str = "text", id: str = "doc_id",
     folder: str | None = None,
 ) -> DataFrame:
-    """Assign all rows of `docs`, write the shards that change below `folder`, and read all back.
+    """Assign all rows of `docs`, write all shards below `folder`, and read them back.
 
     The result has the columns of `docs` without `old`, and _shard, _slot. Sizes are UTF-8 bytes of
     the text plus 1, null counting as none; row counts differ by one at most; slots run from 0 in
     each shard. A null old shard is -1. Null ids and repeated rows are placed as any other row. Files are partitioned by shard;
-    rows of shards that do not change keep their files, so only the others are written. No rows: no
-    files.
+    old shards have no files that could be kept, so shards that do not change are written too. No
+    rows: no files.
     """
     if docs.select(id).isEmpty():
         return docs.drop(old).withColumns({"_shard": F.lit(None).cast("int"), "_slot": F.lit(None).cast("bigint")})
