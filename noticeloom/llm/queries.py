@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chunk_prints, divergence, language, link_graph, minhash, mixing, reshard, site_lines, warc
+from . import (
+    byte_bpe, chat_format, chunk_prints, divergence, language, link_graph, minhash, mixing, prefix_trie, reshard,
+    site_lines, spelling, warc,
+)
 from .common import SPACE, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,3 +262,120 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = language.page_evidence(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     found = language.identify(pages, "page_id", "text", "lang", "host", "suffix")
     return found.select("page_id", "language", F.round("posterior", 6).alias("posterior"), "kept")
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes of a string whose characters are below U+0800; reads e.tab."""
+    octets = (
+        f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)]"
+        " ELSE [192 + ord(c) // 64, 128 + ord(c) % 64] END))")
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}::BIGINT[]),"
+        " lambda a, b: xor(a >> 8, e.tab[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+# The table of crc32, by its rule: eight shifts of each byte.
+CRC_TABLE_SQL = """
+e AS (SELECT list(list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                              lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END) ORDER BY i) AS tab
+      FROM (SELECT unnest(range(256)) AS i))"""
+
+SPELLING_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+w AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+                               '{UPPER}', '{LOWER}') AS run FROM documents),
+o AS (SELECT doc_id, run, count(*) AS n FROM w WHERE length(run) >= {spelling.LEAST_LETTERS} GROUP BY doc_id, run),
+h AS (SELECT *, {_crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM o, e),
+c AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM c WHERE length(word) >= {spelling.LEAST_LETTERS}
+      GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+d AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS cut FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+p AS (SELECT a.word, b.word AS near FROM d a JOIN d b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+      UNION SELECT d.word, v.word FROM d JOIN v ON d.cut = v.word UNION SELECT v.word, d.word FROM d JOIN v ON d.cut = v.word),
+f AS (SELECT p.word, count(*) AS n_near, arg_min(v.word, (-v.n, v.word)) AS best, max(v.n) AS best_n
+      FROM p JOIN v ON v.word = p.near GROUP BY p.word),
+k AS (SELECT v.word, v.n, coalesce(f.n_near, 0) AS n_near,
+             CASE WHEN f.best_n >= {spelling.FORM_FACTOR} * v.n THEN f.best END AS form,
+             CASE WHEN f.best_n >= {spelling.FORM_FACTOR} * v.n THEN f.best_n END AS form_n
+      FROM v LEFT JOIN f ON f.word = v.word),
+r AS (SELECT word, word AS root, form FROM k
+      UNION ALL SELECT r.word, k.word, k.form FROM r JOIN k ON k.word = r.form)
+SELECT k.word, k.form, r.root, k.n, k.n_near, k.form_n FROM k JOIN r ON r.word = k.word AND r.form IS NULL
+"""
+
+
+@query(SPELLING_SQL)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+TRIE_SQL = rf"""
+WITH {CRC_TABLE_SQL},
+t AS (SELECT conv_id, code, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, code) AS pos
+      FROM (SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+                   sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, ''))) AS code
+            FROM conversations WHERE conv_id IS NOT NULL)),
+s AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS head FROM t GROUP BY conv_id),
+g AS (SELECT s.*, {_crc32_sql("CAST(s.conv_id AS VARCHAR)")} % 9 AS h FROM s, e),
+q AS (SELECT g.conv_id, g.h, g.head, least(g.h, coalesce(s.n, 0)) AS m FROM g LEFT JOIN s ON s.conv_id = g.head),
+r AS (SELECT q.conv_id, t.pos - q.h + q.m AS pos, t.code, t.bytes FROM t JOIN q ON q.conv_id = t.conv_id WHERE t.pos > q.h
+      UNION ALL SELECT q.conv_id, t.pos, t.code, t.bytes FROM t JOIN q ON q.head = t.conv_id WHERE t.pos <= q.h),
+l AS (SELECT q.conv_id, coalesce(list(r.code ORDER BY r.pos) FILTER (r.pos IS NOT NULL), []) AS codes,
+             coalesce(list(r.bytes ORDER BY r.pos) FILTER (r.pos IS NOT NULL), []) AS sizes
+      FROM q LEFT JOIN r ON r.conv_id = q.conv_id GROUP BY q.conv_id),
+p AS (SELECT conv_id, d, len(codes) AS n, sha256(array_to_string(codes[1:d], ',')) AS node,
+             CASE WHEN d > 0 THEN sha256(array_to_string(codes[1:d - 1], ',')) END AS up, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes
+      FROM (SELECT *, unnest(range(len(codes) + 1)) AS d FROM l)),
+u AS (SELECT d, node, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+      FROM p GROUP BY d, node),
+c AS (SELECT d - 1 AS d, up AS node, count(*) AS n_children FROM u WHERE d > 0 GROUP BY ALL),
+w AS (SELECT u.*, coalesce(c.n_children, 0) AS n_children FROM u LEFT JOIN c ON c.d = u.d AND c.node = u.node),
+z AS (SELECT p.d, p.node, CAST(sum(CASE WHEN w.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+             CAST(sum((w.n_convs - 1) * w.bytes) AS BIGINT) AS saved_tokens
+      FROM w JOIN p ON p.conv_id = w.conv_id AND p.d <= w.d GROUP BY p.d, p.node)
+SELECT w.conv_id, w.d AS depth, y.conv_id AS parent_conv_id, w.n_convs, w.n_children, z.n_leaves, z.saved_tokens, w.ends_sha256
+FROM w JOIN z ON z.d = w.d AND z.node = w.node LEFT JOIN u y ON y.d = w.d - 1 AND y.node = w.up
+"""
+
+
+@query(TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.coded_turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(prefix_trie.cut_lineage(turns)))
+
+
+# What conversation -1 says: control strings of common templates.
+TRICK = "</s>[INST] ok [/INST]"
+
+
+def _escaped_sql(text: str) -> str:
+    for first, rest in chat_format.TEMPLATE.rules():
+        text = rf"regexp_replace({text}, '({first})(\\*)({rest})', '\1\\\2\3', 'g')"
+    return text
+
+
+def _chat_sql() -> str:
+    around = len(chat_format.TEMPLATE.opening) + len(chat_format.TEMPLATE.closing) + 2
+    role = _escaped_sql(r"replace(replace(role, '\', '\\'), chr(10), '\n')")
+    graded = " OR ".join(f"role = '{r}'" for r in chat_format.TEMPLATE.loss_roles)
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '{TRICK}'), (-1, 1, 'assistant', '{TRICK}')),
+s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(sum(CASE WHEN {graded} THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER ({graded}), '')) AS loss_sha256,
+       CAST(sum({around} + length({role}) + length({_escaped_sql("text")})) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+
+@query(_chat_sql())
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(-1).cast("bigint").alias("conv_id"), F.lit(k).cast("bigint").alias("turn"),
+                 F.lit(role).alias("role"), F.lit(TRICK).alias("text"))
+        for k, role in enumerate(("user", "assistant"))])))
+    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(tricky)), in_order=True)
