@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.dates import is_open
 from ..functions.text import let
 from ..schemas import KEY
-from .match import evaluate, match_profiles, tiers
-from .signals import CAPITAL_AREA, REGIONS, regions_in, signals_wide
+from .match import evaluate, reframing_candidates, tiers
+from .signals import CAPITAL_AREA, REGIONS, RULES_VERSION, signals_wide
+from .three_valued import match_known
 
 # What a category or title offers, as the codes of needs.
 OFFERS = {
@@ -37,18 +39,16 @@ def offers_of(*texts: Column) -> Column:
 
 
 def describe_calls(announcements: DataFrame, details: DataFrame) -> DataFrame:
-    """(source, id, apply_end, offers, regions, and the wide signals) of every announcement.
+    """(source, id, field, apply_end, offers, nationwide, and the wide signals) of every announcement.
 
-    announcements: source, id, title, field, apply_end; details: source, id, text, unique. A call that
-    is open nationwide has no regions, nor has one that names none. Announcements without details
-    keep empty signals.
+    announcements: source, id, title, field, apply_end; details: source, id, text, unique. `regions` are
+    those that applicants have to be in; a call without them is `nationwide` only if its text says so.
+    Announcements without details, or with a null key, keep empty signals. Texts are read once.
     """
-    wide = signals_wide(details)
-    places = F.when(wide["apply_region"] == "nationwide", F.array().cast("array<string>"))
-    read = details.select(*KEY, regions_in(F.coalesce("text", F.lit(""))).alias("_named"))
-    signals = wide.join(read, KEY).withColumn("regions", F.coalesce(places, "_named")).drop("_named")
     offers = offers_of(F.col("field"), F.col("title"))
-    return announcements.select(*KEY, "apply_end", offers.alias("offers")).join(signals, KEY, "left")
+    described = announcements.select(*KEY, "field", "apply_end", offers.alias("offers"))
+    return described.join(signals_wide(details), KEY, "left").withColumn(
+        "nationwide", F.coalesce(F.col("apply_region") == "nationwide", F.lit(False)))
 
 
 def requirements_of(calls: DataFrame) -> DataFrame:
@@ -65,7 +65,8 @@ def requirements_of(calls: DataFrame) -> DataFrame:
 
     rules = [
         F.when(F.col("pre_founder") == "no", row("stage", "in", F.lit(COMPANY_STAGES), "trigger")),
-        F.when(F.col("max_years").isNotNull(), row("years", "at_most", F.col("max_years"), "fixed")),
+        F.when(F.col("years").isNotNull(), row("years", "within", F.col("years"), "fixed")),
+        F.when(F.col("sales").isNotNull(), row("sales_won", "within", F.col("sales"), "trigger")),
         F.when(F.col("location_rule") == "non_capital", row("region", "in", F.lit(outside), "trigger")),
         F.when(F.col("location_rule") == "capital", row("region", "in", F.lit("|".join(CAPITAL_AREA)), "trigger")),
     ]
@@ -98,17 +99,24 @@ def facts_of(profiles: DataFrame) -> DataFrame:
 
 def judge(
     profiles: DataFrame, announcements: DataFrame, details: DataFrame, as_of: Column | None = None,
-    more_facts: DataFrame | None = None,
+    more_facts: DataFrame | None = None, themes: DataFrame | None = None,
 ) -> DataFrame:
-    """(profile_id, source, id, tier, unknowns, unmet): from what was collected to a judgement.
+    """(profile_id, source, id, tier, unknowns, unmet, need_state, region_state, rules_version).
 
-    Parsed profiles are matched with the calls that offer a need of theirs in a region of theirs and
-    are open on `as_of`, then every requirement is evaluated. `more_facts` adds what the profile file
-    does not say, e.g. sales.
+    Parsed profiles are matched with the calls that are open on `as_of`, see `match_states`: a call
+    drops out only where its offer or its region is known not to fit. Then every requirement is
+    evaluated. `more_facts` adds what the profile file does not say, e.g. sales. With `themes`
+    (from_field, to_field, theme) and a `field` in profiles, what could be reframed is tier C.
     """
     calls = describe_calls(announcements, details)
+    if as_of is not None:
+        calls = calls.filter(is_open(F.col("apply_end"), as_of))
     facts = facts_of(profiles)
     if more_facts is not None:
         facts = facts.unionByName(more_facts.select("profile_id", "requirement", "value"))
-    pairs = match_profiles(profiles, calls, as_of)
-    return tiers(evaluate(pairs, requirements_of(calls), facts))
+    matched = match_known(profiles, calls).drop("years_state")
+    reframable = None
+    if themes is not None:
+        reframable = reframing_candidates(profiles, calls, themes).select("profile_id", *KEY).distinct()
+    judged = tiers(evaluate(matched.select("profile_id", *KEY), requirements_of(calls), facts), reframable)
+    return judged.join(matched, ["profile_id", *KEY]).withColumn("rules_version", F.lit(RULES_VERSION))
