@@ -1,11 +1,13 @@
 """New snapshot files as a stream: each folder of files is a run, compared with the run before it.
 
-Runs and differences are written below the name of the folder, so a repeated batch overwrites
-itself. Runs follow each other by name.
+The records of a batch are added to their run below the name of the batch, so a repeated batch
+overwrites itself and a late file loses nothing. Runs follow each other by name.
 """
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,13 +28,23 @@ def diff_path(store: str, run: str) -> str:
     return f"{store}/diffs/run={run}"
 
 
-def _run_before(session: SparkSession, store: str, run: str) -> str | None:
-    """The last stored run whose name sorts before `run`. Reads no column."""
-    stored = session.read.parquet(f"{store}/runs")
-    names = stored.select(
-        F.url_decode(F.regexp_extract("_metadata.file_path", r"/run=([^/]+)/[^/]+$", 1)).alias("run")
-    )
-    return names.filter(F.col("run") < run).agg(F.max("run")).first()[0]
+def stored_run(session: SparkSession, store: str, run: str) -> DataFrame:
+    """All records of a run that have arrived, the last one per key."""
+    return dedup_last(session.read.parquet(run_path(store, run)).drop("batch"), KEY, ["pos"])
+
+
+def _neighbours(session: SparkSession, store: str, run: str) -> tuple[str | None, str | None]:
+    """The stored runs just before and after one. A row per run and batch is read, no record."""
+    names = session.read.parquet(f"{store}/names").select("name").distinct()
+    row = names.agg(
+        F.max(F.when(F.col("name") < run, F.col("name"))).alias("b"), F.min(F.when(F.col("name") > run, F.col("name"))).alias("a"))
+    return tuple(row.first())
+
+
+def _compare(session: SparkSession, store: str, prev: str | None, curr: str) -> None:
+    new = stored_run(session, store, curr)
+    old = new.limit(0) if prev is None else stored_run(session, store, prev)
+    snapshot_diff(old, new, ["first_pos"]).write.mode("overwrite").parquet(diff_path(store, curr))
 
 
 def resurvey_arrivals(
@@ -40,8 +52,8 @@ def resurvey_arrivals(
 ) -> StreamingQuery:
     """Take all files that are new below `incoming`, then stop. Call it again for later files.
 
-    The folder of a file names its run; a run's files must all be there when the first is read.
-    Several runs in one batch are compared one after the other.
+    The folder of a file names its run. A late file is added to its run; the run is then compared
+    anew, and so is the run after it. Several runs in one batch are compared one after the other.
     """
     lines = (
         spark.readStream.option("pathGlobFilter", JSON_LINES).option("recursiveFileLookup", "true")
@@ -54,14 +66,17 @@ def resurvey_arrivals(
     def handle(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         # One name per run that arrived.
-        for run in sorted(r["run"] for r in batch.select("run").distinct().collect()):
+        arrived = sorted(r["run"] for r in batch.select("run").distinct().collect())
+        for run in arrived:
             records = conform(classify(number_lines(batch.filter(F.col("run") == run))))
-            dedup_last(records, KEY, ["pos"]).write.mode("overwrite").parquet(run_path(store, run))
-            curr = session.read.parquet(run_path(store, run))
-            before = _run_before(session, store, run)
-            prev = curr.limit(0) if before is None else session.read.parquet(run_path(store, before))
-            diff = snapshot_diff(prev, curr, ["first_pos"])
-            diff.write.mode("overwrite").parquet(diff_path(store, run))
+            records.write.mode("overwrite").parquet(f"{run_path(store, run)}/batch={number}")
+            session.range(1).select(F.lit(run).alias("name")).write.mode("overwrite").parquet(
+                f"{store}/names/run={quote(run, safe='')}/batch={number}")
+        for run in arrived:
+            before, after = _neighbours(session, store, run)
+            _compare(session, store, before, run)
+            if after is not None and after not in arrived:
+                _compare(session, store, run, after)
 
     return (
         lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
