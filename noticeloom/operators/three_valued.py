@@ -50,7 +50,7 @@ def interval_join(values: DataFrame, ranges: DataFrame, on: list[str], value: st
     nowhere, anywhere = token(F.lit(1000), F.lit(0)), token(F.lit(1001), F.lit(0))
     # Level 1000 holds ranges that are not known, for known values; 1001 all ranges, for unknown values.
     covered = F.when(F.col(bounds).isNull(), F.array(nowhere, anywhere)).when(
-        F.col("_level").isNull(), F.array().cast("array<struct<level:int,bin:bigint>>")).otherwise(F.concat(
+        F.col("_level").isNull(), F.array(anywhere)).otherwise(F.concat(
             F.transform(F.array_distinct(F.array(place(low, F.col("_level")), place(high, F.col("_level")))),
                         lambda x: token(F.col("_level"), x)), F.array(anywhere)))
     bins = [token(F.lit(n), place(number, F.lit(float(n)))) for n in levels]
