@@ -141,17 +141,17 @@ def assemble(segments: list[bytes | pa.Array], n: int) -> tuple[pa.Buffer, np.nd
     return buffer, starts, lengths
 
 
-def _chunks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of rows of at most CHUNK_BYTES together, or of one row."""
+def _chunks(sizes: np.ndarray, chunk_bytes: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of at most `chunk_bytes` together, or of one row."""
     start, ends = 0, np.cumsum(sizes)
     while start < len(sizes):
         before = ends[start] - sizes[start]
-        stop = max(start + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + chunk_bytes, "right")))
         yield start, stop
         start = stop
 
 
-def _formatter(template: Template):
+def _formatter(template: Template, chunk_bytes: int):
     opening, closing = template.opening.encode(), template.closing.encode() + b"\n"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +159,7 @@ def _formatter(template: Template):
         for batch in batches:
             key = batch.column(0)
             texts = [pc.fill_null(batch.column(k).cast(pa.large_string()), "") for k in (1, 2)]
-            for start, stop in _chunks(np.diff(_bytes_of(texts[1])[1])):
+            for start, stop in _chunks(np.diff(_bytes_of(texts[1])[1]), chunk_bytes):
                 n = stop - start
                 roles, contents = (t.slice(start, n) for t in texts)
                 buffer, starts, lengths = assemble(
@@ -190,12 +190,14 @@ def _formatter(template: Template):
     return run
 
 
-def format_conversations(turns: DataFrame, template: Template = TEMPLATE) -> DataFrame:
+def format_conversations(
+    turns: DataFrame, template: Template = TEMPLATE, chunk_bytes: int = CHUNK_BYTES,
+) -> DataFrame:
     """(conv_id, part, n_turns, formatted, loss) from turns (conv_id, turn, role, text).
 
     `formatted` of the parts of a conversation, in order, is its text; `loss` has the byte spans of
     the part under the loss mask, the escaped texts of the loss roles. Most conversations are one
-    part; a new one begins where a batch or CHUNK_BYTES of contents end, so that memory is bounded
+    part; a new one begins where a batch or `chunk_bytes` of contents end, so that memory is bounded
     whatever the length of a conversation. A conversation comes out of one task as a stream.
 
     Turns are ordered by (turn, role, text), null turns first; repeated rows are turns of their own.
@@ -210,7 +212,7 @@ def format_conversations(turns: DataFrame, template: Template = TEMPLATE) -> Dat
         T.StructField("n_turns", T.LongType()), T.StructField("formatted", T.StringType()),
         T.StructField("loss", T.ArrayType(SPAN)),
     ])
-    return ordered.select("conv_id", "role", "text").mapInArrow(_formatter(template), schema)
+    return ordered.select("conv_id", "role", "text").mapInArrow(_formatter(template, chunk_bytes), schema)
 
 
 class _Digest:
