@@ -30,8 +30,8 @@ BLOCK_WORDS, BITS_PER_WORD, PROBES = 8, 12, 6
 SHARD_WORDS = 1 << 19
 # Bytes of filters that are broadcast at a time; more filters mean more passes, not a larger broadcast.
 BROADCAST_BYTES = 32 << 20
-# Edits that are hashed at a time.
-EDITS = 1 << 20
+# Edits that are hashed at a time; their arrays are what a worker holds besides the filters.
+EDITS = 1 << 17
 
 
 def run_words(text: Column, owner: Column, least: int = LEAST_LETTERS, loss: int = 199) -> Column:
@@ -286,12 +286,13 @@ def spelling_groups(
     """
     words = docs.select(F.explode(run_words(F.col(text), F.col(doc_id))).alias("word"))
     vocab = cut_lineage(vocabulary(words))
-    best = near_words(vocab).groupBy("word").agg(
-        F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("order"), "near")).alias("best"))
-    known = cut_lineage(vocab.select("word", "n").join(best, "word", "left").select(
+    near = near_words(vocab)
+    counted = near.groupBy("word").agg(F.count("*").alias("n_near"), F.max("near_n").alias("best_n"))
+    # Only the words at the largest n of a form are compared as text.
+    known = cut_lineage(vocab.select("word", "n").join(counted, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
-        F.when(-F.col("best.order") >= factor * F.col("n"), F.col("best.near")).alias("form"),
-        F.when(-F.col("best.order") >= factor * F.col("n"), -F.col("best.order")).alias("form_n")))
-    ends = roots(known.filter("form is not null"))
-    return known.join(ends, "word", "left").select(
+        F.when(F.col("best_n") >= factor * F.col("n"), F.col("best_n")).alias("form_n")))
+    forms = cut_lineage(near.join(known.filter("form_n is not null").select("word", "form_n"), "word").filter(
+        "near_n = form_n").groupBy("word").agg(F.min("near").alias("form")))
+    return known.join(forms, "word", "left").join(roots(forms), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
