@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with columns c0, c1 ..., and these names by its own: no name inside an operator can clash."""
+    names = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def whole(text: str) -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -71,6 +77,6 @@ def accumulate(
 
 
 __all__ = [
-    "WORD", "SPACE", "table", "whole", "let", "words", "n_words", "ascii_lower", "accumulate",
+    "WORD", "SPACE", "table", "numbered", "whole", "let", "words", "n_words", "ascii_lower", "accumulate",
     "join_dimension", "cut_lineage",
 ]

@@ -27,8 +27,9 @@ DAMPING_PERCENT = 85
 # Turns end when the scores of all hosts together moved by less than this share of the seeds.
 TOLERANCE = 0.001
 TURNS_PER_TABLE = 8
-# A host is blocked when its distrust exceeds its trust and this share of a full seed.
-BLOCK_PERCENT = 50
+# A host is blocked when its distrust exceeds its trust and is no less than what a wholly blocked host
+# passes to each of eight hosts that link to it: its restart, damped once, in eight parts.
+LEAST_DISTRUST = UNIT * (100 - DAMPING_PERCENT) // 100 * DAMPING_PERCENT // 800
 EDGES_PER_SALT = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]*)"""
@@ -141,13 +142,13 @@ def judge_urls(
 ) -> DataFrame:
     """(id, host, path, rule, verdict): every row judged by the longest rule, else by its host's scores.
 
-    A host without a rule is blocked when its distrust exceeds its trust and BLOCK_PERCENT of a full
-    seed, and allowed otherwise. Null urls and urls without `://` have an empty host and path, no
+    A host without a rule is blocked when its distrust exceeds its trust and is LEAST_DISTRUST at least,
+    and allowed otherwise. Null urls and urls without `://` have an empty host and path, no
     rule, and are allowed. Null html has no links; repeated rows are judged each. No rows: no rows.
     """
     source = pages.select(F.col(id).alias("_id"), F.col(url).cast("string").alias("_url"), F.col(html).cast("string").alias("_html"))
     blocked = host_scores(source, rules, "_url", "_html").filter(
-        (F.col("distrust") > F.col("trust")) & (F.col("distrust") * 100 >= UNIT * BLOCK_PERCENT)
+        (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= LEAST_DISTRUST)
     ).select("host", F.lit(True).alias("_blocked"))
     host, path = host_and_path(F.col("_url"))
     placed = source.select("_id", host.alias("host"), path.alias("path"))

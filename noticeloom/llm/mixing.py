@@ -10,18 +10,23 @@ shuffled by itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import accumulate, cut_lineage, join_dimension, let, n_words, whole, words
+from .common import accumulate, cut_lineage, join_dimension, let, n_words, numbered, whole, words
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 SHARDS = 16
 SEED = "mix-1"
 BUCKET_DIGITS = 3
-# Beyond this variance a draw is the rounded normal approximation; quotas stay exact.
-EXACT_VARIANCE = 1000.0
-EXACT_REACH = 12
+# Up to this variance a draw searches the distribution, beyond it tries points by ratio of uniforms, at
+# a cost that does not grow. Both follow the distribution exactly, but for the rounding of doubles.
+SEARCH_VARIANCE = 1000.0
+SEARCH_REACH = 12
+# A try fails with probability 0.3 or so; after all of them the mode is taken.
+TRIES = 60
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -77,8 +82,8 @@ def _uniform(*parts: Column) -> Column:
 def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column, v: Column) -> Column:
     """How many of `marked` items out of `total` are among `drawn`, from uniform numbers u and v.
 
-    The distribution is searched around its mean as far as it has weight; a wide one is replaced by
-    the rounded normal distribution inside the same limits.
+    The distribution is searched around its mean as far as it has weight. From a wide one, points under
+    its hat are tried until one lies under the distribution itself.
     """
     t, k, n = (c.cast("double") for c in (F.greatest(total, F.lit(1).cast("bigint")), marked, drawn))
     zero = F.lit(0).cast("bigint")
@@ -93,7 +98,7 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column, v:
                  + _ln_factorial(total - marked - drawn + x))
 
     def exact(s: Column) -> Column:
-        wide = F.sqrt(s["variance"]) * EXACT_REACH + EXACT_REACH
+        wide = F.sqrt(s["variance"]) * SEARCH_REACH + SEARCH_REACH
         ends = F.struct(
             F.greatest(s["low"], F.floor(s["mean"] - wide).cast("bigint")).alias("first"),
             F.least(s["high"], F.ceil(s["mean"] + wide).cast("bigint")).alias("last"))
@@ -114,13 +119,31 @@ def _hypergeometric(total: Column, marked: Column, drawn: Column, u: Column, v:
 
         return let(ends, search)
 
-    def rough(s: Column) -> Column:
-        normal = F.sqrt(F.log(u) * -2.0) * F.cos(v * 6.283185307179586)
-        near = F.round(s["mean"] + F.sqrt(s["variance"]) * normal).cast("bigint")
-        return F.greatest(s["low"], F.least(s["high"], near))
+    def tried(s: Column) -> Column:
+        """Ratio of uniforms with the constants of the hat for such distributions, 2 sqrt(2 / e) and
+        3 - 2 sqrt(3 / e); the numbers of each try are hashed from u and v."""
+        hat = F.sqrt(s["variance"] + 0.5) * 1.7155277699214135 + 0.8989161620588988
+        mode = F.greatest(s["low"], F.least(s["high"], F.floor((n + 1) * (k + 1) / (t + 2)).cast("bigint")))
+
+        def attempt(top: Column) -> Callable[[Column, Column], Column]:
+            def one(found: Column, number: Column) -> Column:
+                high, side = (_uniform(F.lit(part), u, v, number) for part in ("height", "side"))
+                at = F.floor(s["mean"] + 0.5 + hat * (side - 0.5) / high).cast("bigint")
+                point = F.struct(F.log(high).alias("height"), at.alias("at"))
+                return F.coalesce(found, let(point, lambda p: F.when(
+                    (p["at"] >= s["low"]) & (p["at"] <= s["high"])
+                    & (p["height"] * 2 <= log_share(F.greatest(s["low"], F.least(s["high"], p["at"]))) - top), p["at"])))
+
+            return one
+
+        def all_tries(top: Column) -> Column:
+            numbers = F.sequence(F.lit(1), F.lit(TRIES))
+            return F.aggregate(numbers, F.lit(None).cast("bigint"), attempt(top))
+
+        return F.coalesce(let(let(mode, log_share), all_tries), mode)
 
     return let(shape, lambda s: F.when(s["low"] == s["high"], s["low"]).when(
-        s["variance"] > EXACT_VARIANCE, rough(s)).otherwise(exact(s))).cast("bigint")
+        s["variance"] > SEARCH_VARIANCE, tried(s)).otherwise(exact(s))).cast("bigint")
 
 
 def splitting_tree(quotas: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
@@ -186,13 +209,14 @@ def draws(
     `draws` is an array of (pass, words, shard, place): `words` is the size of the document but for
     the one document per source that is cut to meet the target; `place` orders the shard. Null or
     empty texts have size 0 and are never drawn; a null source is a source of its own, last in
-    order; documents are permuted by a hash of their id, repeated rows lie side by side. Sources
+    order; documents are permuted by a hash of their id, those of one id follow each other by a digest of
+    the text, so that runs agree; rows that repeat both are alike. Sources
     without words have target 0. No rows: no rows. Columns of `keep` are carried along.
     """
     order = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("_id").cast("string"), F.lit(""))))
     rows = docs.select(
         F.col(id).alias("_id"), F.col(source).cast("string").alias("_source"),
-        n_words(whole(text)).alias("_size"), *[F.col(c).alias(f"_keep_{c}") for c in keep],
+        n_words(whole(text)).alias("_size"), F.md5(whole(text)).alias("_tie"), *[F.col(c).alias(f"_keep_{c}") for c in keep],
     ).withColumn("_order", order).withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("_source")), F.lit("")))
     if not keep:
         rows = cut_lineage(rows)
@@ -201,7 +225,7 @@ def draws(
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_key"), "source_size", "target", "quota"
     )
     placed = accumulate(
-        rows, ["_key"], [F.substring("_order", 1, BUCKET_DIGITS)], [F.col("_order"), F.col("_id")],
+        rows, ["_key"], [F.substring("_order", 1, BUCKET_DIGITS)], [F.col("_order"), F.col("_id"), F.col("_tie")],
         {"_before": F.col("_size"), "_rank": F.when(F.col("_size") > 0, 1).otherwise(0).cast("bigint")},
     )
     aimed = join_dimension(placed, cut_lineage(aims), ["_key"], ["_order"])
@@ -245,15 +269,18 @@ def draws(
 def mixed_documents(docs: DataFrame, columns: list[str], **options) -> DataFrame:
     """The mix itself: a row of `columns` per drawn block, with its shard, ordered by `place` inside it.
 
-    `columns` name doc_id, text and source among others. The text of a cut block is its first words,
-    joined by blanks. Rows lie by (shard, place) over all partitions, which are ranges of it, so a
+    `columns` name doc_id, text and source among others, and may have any name; _shard and _place of the
+    mix take the place of columns named so. The text of a cut block is its first words, joined by blanks. Rows lie by (shard, place) over all partitions, which are ranges of it, so a
     large shard takes several and what is written keeps the order.
     """
-    rows = draws(docs, keep=tuple(columns), **options).withColumn("_draw", F.explode("draws"))
-    cut = F.array_join(F.slice(words(whole("text")), 1, F.col("_draw.words").cast("int")), " ")
-    text = F.when(F.col("_draw.words") < F.col("size"), cut).otherwise(F.col("text"))
-    mix = rows.withColumn("text", text).select(
-        *columns, F.col("_draw.shard").alias("_shard"), F.col("_draw.place").alias("_place"))
+    rows, names = numbered(docs.select(*columns))
+    at = {c: names[options.get(c, d)] for c, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))}
+    drawn = draws(rows, keep=tuple(names.values()), **{**options, **at}).withColumn("_draw", F.explode("draws"))
+    cut = F.array_join(F.slice(words(whole(at["text"])), 1, F.col("_draw.words").cast("int")), " ")
+    shortened = F.when(F.col("_draw.words") < F.col("size"), cut).otherwise(F.col(at["text"]))
+    mix = drawn.withColumn(at["text"], shortened).select(
+        *[F.col(n).alias(c) for c, n in names.items() if c not in ("_shard", "_place")],
+        F.col("_draw.shard").alias("_shard"), F.col("_draw.place").alias("_place"))
     return mix.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")
 
 

@@ -83,7 +83,7 @@ r AS (
   FROM r JOIN step s ON s.kind = r.kind AND s.src = r.node WHERE r.turn < 48 GROUP BY r.turn, r.kind, s.dst),
 bad AS (SELECT node FROM (
   SELECT node, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS d
-  FROM r WHERE turn = 48 GROUP BY node) WHERE d > t AND d * 100 >= {link_graph.UNIT * link_graph.BLOCK_PERCENT})
+  FROM r WHERE turn = 48 GROUP BY node) WHERE d > t AND d >= {link_graph.LEAST_DISTRUST})
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN host IN (SELECT node FROM bad) THEN 'block' ELSE 'allow' END AS verdict FROM q
@@ -165,7 +165,7 @@ def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5('mix-1/' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+         md5('mix-1/' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place, md5(coalesce(text, '')) AS tie
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
              [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
@@ -182,7 +182,7 @@ t AS (SELECT source, source_size,
                   ELSE CAST(w * left_over AS DOUBLE) / CAST(w_open AS DOUBLE) END AS target FROM r),
 q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM t),
 p AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota,
-             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS before
+             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id, d.tie ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS before
       FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST(CASE WHEN size = 0 THEN 0 ELSE (quota // source_size) * size

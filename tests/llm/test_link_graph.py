@@ -101,6 +101,24 @@ def test_verdicts_flow_along_links(spark):
     assert {r.page_id: r.verdict for r in lg.judge_urls(more).collect()}[200] == "block"
 
 
+def test_neighbours_of_a_blocked_host(spark):
+    """One link to it, or a place in its domain, is enough; trust of its own and far hosts are not."""
+    pages = [
+        (1, "http://bad.net/es/1", ""), (2, "http://one.org/", '<a href="http://bad.net/">x</a>'), (3, "http://sub.bad.net/", ""),
+        (4, "http://good.com/", '<a href="http://worse.net/">x</a>'), (9, "http://worse.net/fr/", ""), (5, "http://far.org/", '<a href="http://one.org/">x</a><a href="http://good.com/">y</a>'),
+        (6, "http://friend.org/", ""), (7, "http://kind.com/", '<a href="http://friend.org/">x</a>'), (8, "http://alone.org/", ""),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    verdicts = {r.page_id: r.verdict for r in lg.judge_urls(df).collect()}
+    scores = {r.host: (r.trust, r.distrust) for r in lg.host_scores(df).collect()}
+    assert scores["good.com"][0] > scores["good.com"][1] > 0
+    assert verdicts[1] == verdicts[3] == "block" and verdicts[4] == verdicts[6] == verdicts[7] == verdicts[8] == "allow"
+    expected = {h: d > t and d >= lg.LEAST_DISTRUST for h, (t, d) in scores.items()}
+    assert (verdicts[2] == "block") == expected["one.org"] and (verdicts[5] == "block") == expected["far.org"]
+    single = df.filter("page_id in (1, 2, 8)")
+    assert {r.page_id: r.verdict for r in lg.judge_urls(single).collect()} == {1: "block", 2: "block", 8: "allow"}
+
+
 def test_edges(spark):
     df = spark.createDataFrame([("a.b.org", link("X.org", "a.b.org")), ("a.b.org", link("x.org")), ("b.org", None), ("", link("q.org"))], "h string, html string")
     edges = {tuple(r) for r in lg.host_edges(df, F.col("h")).collect()}

@@ -139,3 +139,37 @@ def test_empty_and_wordless(spark):
     assert mx.draws(spark.createDataFrame([], schema)).collect() == []
     got = mx.taken_words(spark.createDataFrame([(1, None, "a"), (2, "", None)], schema)).collect()
     assert [(r.size, r.taken, r.target) for r in got] == [(0, 0, 0.0)] * 2
+
+
+def test_wide_draws_follow_the_distribution(spark):
+    """Chi-square over bins of equal chance, at a variance of 10,000 and far beyond."""
+    for total, marked, drawn in ((500_000, 100_000, 90_000), (4_000_000_000, 1_000_000_000, 2_500_000_000)):
+        df = spark.range(4000).select(mx._hypergeometric(
+            *[F.lit(x).cast("bigint") for x in (total, marked, drawn)],
+            mx._uniform(F.lit("a"), F.col("id")), mx._uniform(F.lit("b"), F.col("id"))).alias("x"))
+        mean = drawn * marked / total
+        sigma = math.sqrt(mean * (total - marked) / total * (total - drawn) / (total - 1))
+        assert sigma ** 2 > 10_000
+        # The distribution function of such a wide draw is that of the normal one to within 1 in 1,000.
+        bins = Counter(min(9, int(10 * 0.5 * (1 + math.erf((r.x + 0.5 - mean) / sigma / math.sqrt(2))))) for r in df.collect())
+        assert sum((bins[k] - 400) ** 2 / 400 for k in range(10)) < 27.9
+
+
+def test_runs_agree_where_ids_repeat(spark):
+    rows = [(k % 7, f"w{k} " * (k % 23 + 1), "s" if k % 3 else "t") for k in range(300)]
+    rows += [(None, f"v{k} " * (k % 5 + 1), "s") for k in range(100)]
+    schema = "doc_id long, text string, source string"
+    one = spark.createDataFrame(rows, schema).repartition(3)
+    other = spark.createDataFrame(rows[::-1], schema).repartition(8)
+    first, second = (sorted(map(str, mx.draws(df, keep=("text",)).collect())) for df in (one, other))
+    assert first == second
+
+
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame(
+        [(k, f"w{k}", "s", k, "t", "x", k, k) for k in range(50)],
+        "doc_id long, text string, source string, size int, target string, draws string, _shard int, _key int")
+    mix = mx.mixed_documents(df, df.columns)
+    assert set(mix.columns) == {*df.columns, "_place"}
+    for r in mix.collect():
+        assert (r.size, r._key, r.target, r.draws) == (r.doc_id, r.doc_id, "t", "x") and 0 <= r._shard < mx.SHARDS
