@@ -271,14 +271,25 @@ def archive_pages(pages: DataFrame, folder: str | None = None, split_bytes: int
     (page_id, payload_bytes, payload_digest, record_type, refers_to). Null html is an empty payload,
     a null url a record without target, a null page_id a record id without number. Rows that repeat
     the largest page_id of a payload are all responses. Length and digest of a response are taken
-    from the payload that was read, those of a revisit from its header. No rows: no archives.
+    from the payload that was read, those of a revisit from its header. No rows: no archives. Records that
+    were written and could not be read raise an error that names their archives.
     """
     spark = pages.sparkSession
     manifest = write_archives(plan_records(pages), folder or fresh_dir(spark, "warc"))
-    records = read_archives(spark, manifest, split_bytes)
-    return records.select(
-        page_of(F.col("record_id")).alias("page_id"),
+    found = cut_lineage(read_archives(spark, manifest, split_bytes).select(
+        "path", page_of(F.col("record_id")).alias("page_id"),
         F.coalesce(F.octet_length("payload").cast("bigint"), F.col("payload_length")).alias("payload_bytes"),
         F.coalesce(F.sha1("payload"), F.col("digest")).alias("payload_digest"),
         "record_type", page_of(F.col("refers_to_id")).alias("refers_to"),
-    )
+    ))
+    lost = missing_records(manifest, found).limit(5).collect()
+    if lost:
+        raise RuntimeError("archives without all their records: " + ", ".join(f"{r.path} ({r.found} of {r.records})" for r in lost))
+    return found.drop("path")
+
+
+def missing_records(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """(path, records, found) of the archives of which fewer or more records were read than written."""
+    read = records.groupBy("path").agg(F.count("*").alias("found"))
+    counted = manifest.select("path", "records").join(read, "path", "left")
+    return counted.withColumn("found", F.coalesce("found", F.lit(0))).filter("found <> records")

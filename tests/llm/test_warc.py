@@ -97,3 +97,21 @@ def test_archives_are_plain_gzip(spark, tmp_path):
     manifest = warc.write_archives(warc.plan_records(pages), f"file://{tmp_path}/w").collect()
     text = gzip.open(manifest[0].path.removeprefix("file://")).read()
     assert text.startswith(b"WARC/1.1\r\nWARC-Type: response") and text.endswith(b"x\r\n\r\n") and manifest[0].records == 1
+
+
+def test_damaged_archives_raise(spark, tmp_path, monkeypatch):
+    """A record that cannot be read is an error that names its archive, not a missing row."""
+    pages = spark.createDataFrame([(k, f"http://a/{k}", f"{k}" * 500) for k in range(40)], "page_id long, url string, html string")
+    write = warc.write_archives
+
+    def damaged(records, folder):
+        manifest = write(records, folder)
+        path = manifest.first().path.removeprefix("file://")
+        data = bytearray(open(path, "rb").read())
+        data[len(data) // 2:len(data) // 2 + 20] = b"\0" * 20
+        open(path, "wb").write(data)
+        return manifest
+
+    monkeypatch.setattr(warc, "write_archives", damaged)
+    with pytest.raises(RuntimeError, match="without all their records"):
+        warc.archive_pages(pages, f"file://{tmp_path}/d")
