@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import cut_lineage, join_dimension
 
@@ -120,22 +120,24 @@ def _unordered(single: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: DataFrame) -> Model:
-    """The model of a sample of rows(_id, _declared, _text): FIT_TEXTS of every declared language.
+    """The model of a sample of rows(_id, _declared, _text): about FIT_TEXTS of every declared language.
 
-    The sample is chosen in one pass over ids and languages, in which a task passes on FIT_TEXTS rows
-    per language at most. Counting is grouped in Spark; a table of languages times buckets reaches
-    the driver (128 KB per language in the model).
+    One aggregate counts the different rows of each language, which gives the share of them to take;
+    rows are then taken by a hash of id and text, null ids too, without a window or a join. Counting
+    is grouped in Spark; a table of languages times buckets reaches the driver (128 KB per language).
     """
-    languages = sorted(r["_declared"] for r in rows.filter("_declared <> ''").select("_declared").distinct().collect())
+    told = rows.filter("_declared <> ''").withColumn(
+        "_c", F.xxhash64(F.coalesce(F.col("_id").cast("string"), F.lit("")), F.coalesce("_text", F.lit(""))))
+    sizes = {r["_declared"]: r["n"] for r in told.groupBy("_declared").agg(
+        F.approx_count_distinct("_c").alias("n")).toLocalIterator()}
+    languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 1), np.float32))
-    chance = F.xxhash64(F.coalesce(F.col("_id").cast("string"), F.lit("")))
-    first = Window.partitionBy("_declared").orderBy("_c", "_id")
-    picked = rows.filter("_declared <> ''").select("_id", "_declared", chance.alias("_c"))
-    picked = picked.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= FIT_TEXTS)
-    # At most FIT_TEXTS ids per language.
-    chosen = F.broadcast(picked.select("_id").distinct())
-    sample = rows.join(chosen, "_id", "left_semi").filter("_declared <> ''").select("_declared", "_text")
+    # A row is in the sample by its own hash; rows that repeat an id and a text count once.
+    share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, FIT_TEXTS / max(sizes[k], 1)))])
+    chance = F.shiftrightunsigned("_c", 11).cast("double") / float(1 << 53)
+    sample = told.filter(chance < F.element_at(share, F.col("_declared"))).dropDuplicates(["_declared", "_c"]).select(
+        "_declared", "_text")
     counts = sample.mapInArrow(_count, COUNT).groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((BUCKETS + 256, len(languages)))
     column = pc.index_in(counts["language"], pa.array(languages, pa.string())).to_numpy()

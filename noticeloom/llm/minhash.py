@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..operators.fold import components
-from .common import WORD, cut_lineage, join_dimension
+from .common import WORD, cut_lineage, join_dimension, numbered
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 75
@@ -374,8 +374,10 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """`docs` with one row of each group: the smallest id, and of rows repeating it any one.
 
-    Rows are told apart by id and text. Rows without words stay.
+    Rows are told apart by id and text. Rows without words stay. Columns may have any name.
     """
+    docs, names = numbered(docs)
+    id, text = names[id], names[text]
     judged = cut_lineage(_judged(docs, id, text, percent))
     gone = judged.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     firsts = judged.filter("kept AND n_shingles > 0")
@@ -391,4 +393,4 @@ def drop_near_duplicates(
     if again:
         worded = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(WORD)
         left = left.filter(worded).dropDuplicates([id, "_text_key"]).unionByName(left.filter(~worded))
-    return left.drop("_text_key")
+    return left.select(*[F.col(n).alias(c) for c, n in names.items()])

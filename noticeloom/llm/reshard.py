@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import fresh_dir
-from .common import accumulate, cut_lineage
+from .common import accumulate, cut_lineage, numbered
 
 SHARDS = 16
 CLASSES_PER_OCTAVE = 8
@@ -166,27 +166,28 @@ def reshard(
 ) -> DataFrame:
     """Assign all rows of `docs`, write all shards below `folder`, and read them back.
 
-    The result has the columns of `docs` without `old`, and _shard, _slot. Sizes are UTF-8 bytes of
+    The result has the columns of `docs` without `old`, whatever their names, and _shard, _slot in place of
+    columns named so. Sizes are UTF-8 bytes of
     the text plus 1, null counting as none; row counts differ by one at most; slots run from 0 in
     each shard. A null old shard is -1. Null ids and repeated rows are placed as any other row. Files are partitioned by shard;
     old shards have no files that could be kept, so shards that do not change are written too. No
     rows: no files.
     """
+    own = [c for c in docs.columns if c not in (old, "_shard", "_slot")]
     if docs.select(id).isEmpty():
-        return docs.drop(old).withColumns({"_shard": F.lit(None).cast("int"), "_slot": F.lit(None).cast("bigint")})
-    base = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.withColumns({
-        "_from": F.coalesce(F.col(old).cast("int"), F.lit(-1)),
+        return docs.select(*own).withColumns({"_shard": F.lit(None).cast("int"), "_slot": F.lit(None).cast("bigint")})
+    rows, names = numbered(docs)
+    base = F.coalesce(F.col(names[text]).cast("string"), F.lit(""))
+    rows = rows.withColumns({
+        "_from": F.coalesce(F.col(names[old]).cast("int"), F.lit(-1)),
         "_size": (F.octet_length(base) + 1).cast("bigint"),
-        "_order": F.md5(F.concat_ws("/", F.coalesce(F.col(id).cast("string"), F.lit("")), F.crc32(base).cast("string"))),
-    })
-    placed = assign(rows, shards, "_from").drop("_from", "_size", "_order", old)
+        "_order": F.md5(F.concat_ws("/", F.coalesce(F.col(names[id]).cast("string"), F.lit("")), F.crc32(base).cast("string"))),
+    }).select(*[names[c] for c in own], "_from", "_size", "_order")
+    placed = assign(rows, shards, "_from").drop("_from", "_size", "_order")
     path = folder or fresh_dir(docs.sparkSession, "shards")
-    named = {c: f"c{k}" for k, c in enumerate(c for c in placed.columns if c not in ("_shard", "_changed"))}
-    written = placed.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()], "_shard", "_changed")
-    written.write.partitionBy("_shard").parquet(path)
-    back = docs.sparkSession.read.schema(written.schema).parquet(path)
-    return back.select(*[F.col(n).alias(c) for c, n in named.items()], "_shard")
+    placed.write.partitionBy("_shard").parquet(path)
+    back = docs.sparkSession.read.schema(placed.schema).parquet(path)
+    return back.select(*[F.col(names[c]).alias(c) for c in own], "_shard", "_slot")
 
 
 def sharded_documents(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import cut_lineage, join_dimension, whole
+from .common import cut_lineage, join_dimension, numbered, whole
 
 # A line is boilerplate on more than this share of the site's pages, and on this many at least.
 RATIO_PERCENT = 5
@@ -59,18 +59,22 @@ def drop_site_lines(
     stay null and count as pages without lines; a null host is a site of its own; a page whose lines
     all go keeps an empty text. Repeated rows count as pages each. No rows: no rows. `counts` names
     two columns to add: lines of the page, and lines dropped. Texts are not shuffled as long as few
-    sites have boilerplate; beyond that they are joined by site and salt.
+    sites have boilerplate; beyond that they are joined by site and salt. Columns may have any name; those
+    that `counts` names are replaced.
     """
-    flagged = cut_lineage(boilerplate(df, host, text, percent, least))
-    joined = join_dimension(df.withColumn("_site", _site(host)), flagged, ["_site"], [text])
-    lines = _lines(F.col(text).cast("string"))
+    rows, names = numbered(df)
+    at, of = names[text], names[host]
+    flagged = cut_lineage(boilerplate(rows, of, at, percent, least))
+    joined = join_dimension(rows.withColumn("_site", _site(of)), flagged, ["_site"], [at])
+    lines = _lines(F.col(at).cast("string"))
     kept = F.filter(lines, lambda x: ~(_has_word(x) & F.array_contains(F.col("_lines"), line_key(x))))
     marked = joined.withColumn("_kept", F.when(F.col("_lines").isNull(), lines).otherwise(kept))
-    out = marked
+    out = {c: F.col(n) for c, n in names.items()}
     if counts:
         zero = F.lit(0).cast("bigint")
-        out = out.withColumns({
-            counts[0]: F.when(F.col(text).isNull(), zero).otherwise(F.size(lines).cast("bigint")),
-            counts[1]: F.when(F.col(text).isNull(), zero).otherwise((F.size(lines) - F.size("_kept")).cast("bigint")),
-        })
-    return out.withColumn(text, F.array_join("_kept", "\n")).drop("_site", "_lines", "_kept")
+        out |= {
+            counts[0]: F.when(F.col(at).isNull(), zero).otherwise(F.size(lines).cast("bigint")),
+            counts[1]: F.when(F.col(at).isNull(), zero).otherwise((F.size(lines) - F.size("_kept")).cast("bigint")),
+        }
+    out[text] = F.array_join("_kept", "\n")
+    return marked.select(*[c.alias(name) for name, c in out.items()])

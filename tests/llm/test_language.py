@@ -126,6 +126,16 @@ def test_every_declared_language_is_fitted(spark, docs):
     assert [got[len(rows) + k] for k in range(len(foreign))] == [None] * len(foreign)
 
 
+def test_rows_without_ids(spark, docs):
+    """Null ids are fitted on and judged like others; what repeats an id and a text counts once."""
+    rows = docs.filter("length(text) > 200").limit(200)
+    with_ids = {r.text: r.kept for r in lg.identify(rows, keep=("text",)).collect()}
+    bare = lg.identify(rows.withColumn("doc_id", F.lit(None).cast("bigint")), keep=("text",)).collect()
+    assert len(bare) == 200 and sum(with_ids[r.text] == r.kept for r in bare) >= 198
+    hot = rows.limit(1).select(F.explode(F.sequence(F.lit(1), F.lit(3000))), "*").drop("col")
+    assert len(lg.identify(rows.unionByName(hot)).collect()) == 3200
+
+
 def test_empty_table_and_nothing_to_fit_on(spark):
     schema = "doc_id long, text string, lang string, source string"
     assert lg.identify(spark.createDataFrame([], schema)).collect() == []

@@ -112,8 +112,10 @@ def test_empty_table(spark):
 
 def test_one_of_each_group_stays(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "g h"), (3, "i j k"), (3, "g h"), (4, ""), (4, ""), (None, "z"), (None, None)]
-    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, _key int")
-    left = sorted(((r.doc_id, r.text) for r in mh.drop_near_duplicates(df.drop("_key")).collect()), key=str)
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], "doc_id long, text string, _key int, _id int, label int, _text_key int")
+    got = mh.drop_near_duplicates(df)
+    assert got.columns == df.columns
+    left = sorted(((r.doc_id, r.text) for r in got.collect() if (r._key, r._id, r.label, r._text_key) == (1, 2, 3, 4)), key=str)
     assert left == sorted([(1, "a b c d e f"), (3, "g h"), (3, "i j k"), (4, ""), (4, ""), (None, "z"), (None, None)], key=str)
 
 

@@ -104,3 +104,13 @@ def test_unusual_rows(spark, n):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert rs.sharded_documents(empty).collect() == []
+
+
+def test_columns_of_any_name(spark):
+    names = ["_rank", "_class", "_run", "_shard", "_from", "_size", "_order", "_changed", "_slot", "c0"]
+    rows = [(k, "x" * k, k % 3, *[f"{n}{k}" for n in names]) for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _old int, " + ", ".join(f"{n} string" for n in names))
+    for got in (rs.reshard(df, 4), rs.reshard(df.limit(0), 4)):
+        assert set(got.columns) == set(df.columns) - {"_old"}
+        for r in got.collect():
+            assert all(r[n] == f"{n}{r.doc_id}" for n in names if n not in ("_shard", "_slot")) and 0 <= r._shard < 4

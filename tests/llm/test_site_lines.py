@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from noticeloom.llm import site_lines as sl
 
@@ -36,8 +37,10 @@ def test_against_plain_count(spark, monkeypatch, max_rows):
     join = sl.join_dimension
     monkeypatch.setattr(sl, "join_dimension", lambda *a: join(*a, max_rows=max_rows))
     df = spark.createDataFrame([(*r, 1, "x") for r in rows()], "doc_id long, source string, text string, _lines int, _site string")
-    df = df.drop("_lines", "_site").withColumnRenamed("source", "site")
+    df = df.withColumnRenamed("source", "site").withColumn("_kept", F.lit("k")).withColumn("_pages", F.lit(3))
     got = sl.drop_site_lines(df, "site")
+    assert got.columns == df.columns
+    assert {(r._lines, r._site, r._kept, r._pages) for r in got.collect()} == {(1, "x", "k", 3)}
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == plain(rows())
 
 
