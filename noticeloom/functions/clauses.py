@@ -37,17 +37,16 @@ BLANK = r"[ \t]{0,2}"
 ANY_CUE = "|".join(
     BLANK.join(map(re.escape, cue.split()))
     for cue in sorted((c for cues in CUES.values() for c in cues), key=lambda c: -len(c)))
+# Every cue is found once and marked; all further patterns look for the marks.
+CUT, OPEN, CLOSE = "\x01", "\x02", "\x03"
+CUE = f"{OPEN}[^{CLOSE}]*{CLOSE}"
 # What may stand before a cue that begins its part: signs of a list, or its number.
 BULLETS = r"(?:[\s○●■□▶※◦ㆍ·*(\[-]|\d{1,2}[.)])*+"
 COLON = r"[ \t]*[:：]"
-HEADING = rf"(?m)^({BULLETS}(?:{ANY_CUE}))(?:{COLON})?[ \t]*\n\s*"
+HEADING = rf"(?m)^({BULLETS}{CUE})(?:{COLON})?[ \t]*\n\s*"
 SENTENCE_END = r"\n+|(?<!\d)[.。](?!\d)|[;；]"
 # A comma ends a part only if the next part has a cue of its own.
-PART_END = rf"[,，](?!\d)\s*(?=[^,，\x01]*?(?:{ANY_CUE}))"
-
-
-# Where a text is cut; patterns only mark the places, so that each is compiled once.
-CUT = "\x01"
+PART_END = rf"[,，](?!\d)\s*(?=[^,，{CUT}{OPEN}]*{OPEN})"
 
 
 def _cut(marked: Column) -> Column:
@@ -61,32 +60,33 @@ def _pieces(part: Column) -> Column:
         """What follows the last cue stays with it."""
         last, before = F.get(cut, F.size(cut) - 1), F.get(cut, F.size(cut) - 2)
         tail = F.array(F.concat(before, last))
-        rest = (F.size(cut) > 1) & ~last.rlike(ANY_CUE)
+        rest = (F.size(cut) > 1) & ~F.contains(last, F.lit(OPEN))
         return F.when(rest, F.concat(F.slice(cut, 1, F.greatest(F.size(cut) - 2, F.lit(0))), tail)).otherwise(cut)
 
-    labelled = part.rlike(rf"^{BULLETS}(?:{ANY_CUE}){COLON}")
-    leading = part.rlike(rf"^{BULLETS}(?:{ANY_CUE})")
-    before_cues = _cut(F.regexp_replace(part, f"({BULLETS}(?:{ANY_CUE}))", f"{CUT}$1"))
-    after_cues = let(_cut(F.regexp_replace(part, f"({ANY_CUE})", f"$1{CUT}")), joined)
+    labelled, leading = part.rlike(rf"^{BULLETS}{CUE}{COLON}"), part.rlike(rf"^{BULLETS}{OPEN}")
+    before_cues = _cut(F.regexp_replace(part, f"({BULLETS}{OPEN})", f"{CUT}$1"))
+    after_cues = let(_cut(F.replace(part, F.lit(CLOSE), F.lit(CLOSE + CUT))), joined)
     return F.when(labelled, F.array(part)).when(leading, before_cues).otherwise(after_cues)
 
 
 def clauses(text: Column) -> Column:
     """array<struct<role, text>> in the order of the text; the role of a clause without a cue is ''.
 
-    A null text has no clauses. Roles are those of CUES.
+    A null text has no clauses. Roles are those of CUES. The control characters U+0001 to U+0003 are
+    taken out of the text.
     """
     roles = F.create_map(*[F.lit(x) for pair in ROLE_OF.items() for x in pair])
-    glued = F.regexp_replace(F.coalesce(text, F.lit("")), HEADING, "$1: ")
-    sentences = F.regexp_replace(glued, SENTENCE_END, CUT)
+    bare = F.translate(F.coalesce(text, F.lit("")), CUT + OPEN + CLOSE, "")
+    marked = F.regexp_replace(bare, f"({ANY_CUE})", f"{OPEN}$1{CLOSE}")
+    sentences = F.regexp_replace(F.regexp_replace(marked, HEADING, "$1: "), SENTENCE_END, CUT)
     parts = F.regexp_replace(sentences, PART_END, CUT)
-    labelled = F.regexp_replace(parts, f"({BULLETS}(?:{ANY_CUE}){COLON})", f"{CUT}$1")
+    labelled = F.regexp_replace(parts, f"({BULLETS}{CUE}{COLON})", f"{CUT}$1")
     pieces = F.flatten(F.transform(_cut(labelled), _pieces))
 
     def owned(piece: Column) -> Column:
-        cue = F.regexp_replace(F.regexp_extract(piece, ANY_CUE, 0), r"\s", "")
+        cue = F.translate(F.regexp_extract(piece, f"{OPEN}([^{CLOSE}]*)", 1), " \t", "")
         role = F.coalesce(F.try_element_at(roles, cue), F.lit(""))
-        return F.struct(role.alias("role"), F.trim(piece).alias("text"))
+        return F.struct(role.alias("role"), F.trim(F.translate(piece, OPEN + CLOSE, "")).alias("text"))
 
     return F.filter(F.transform(pieces, owned), lambda c: c["text"] != "")
 
