@@ -199,8 +199,12 @@ def _bounds(pairs: list[tuple[Column, Column]]) -> Column:
 
 def company_years(text: Column) -> Column:
     """Bounds on the age of a company as an interval, e.g. `(,3]` for up to and `(,3)` for less than 3."""
-    part = lambda k: F.regexp_extract(text, COMPANY_YEARS, k)
-    return _bounds([(part(1), part(2)), (part(3), part(4))])
+
+    def read(found: Column) -> Column:
+        parts = F.struct(*[F.regexp_extract(found, COMPANY_YEARS, k).alias(f"p{k}") for k in range(1, 5)])
+        return let(parts, lambda p: _bounds([(p["p1"], p["p2"]), (p["p3"], p["p4"])]))
+
+    return let(F.regexp_extract(text, COMPANY_YEARS, 0), lambda m: F.when(m != "", read(m)))
 
 
 def _upper(interval: Column) -> Column:
@@ -210,8 +214,14 @@ def _upper(interval: Column) -> Column:
 
 def turnover(text: Column) -> Column:
     """Bounds on the turnover in won as an interval."""
-    word = F.regexp_extract(text, TURNOVER, 2 + len(AMOUNT_UNITS))
-    return _bounds([(_won(F.regexp_extract(text, TURNOVER, 1)).cast("string"), word)])
+
+    def read(found: Column) -> Column:
+        parts = F.struct(
+            _won(F.regexp_extract(found, TURNOVER, 1)).cast("string").alias("won"),
+            F.regexp_extract(found, TURNOVER, 2 + len(AMOUNT_UNITS)).alias("word"))
+        return let(parts, lambda p: _bounds([(p["won"], p["word"])]))
+
+    return let(F.regexp_extract(text, TURNOVER, 0), lambda m: F.when(m != "", read(m)))
 
 
 def signals_wide(
@@ -232,15 +242,16 @@ def signals_wide(
             *[_value(s, rules, views).alias(s) for s in names],
             F.coalesce(amount(views["sum"]), amount(views["other sum"])).alias("amount"),
             _number(F.regexp_extract(views["eligibility"], DURATION, 1)).cast("int").alias("months"),
-            _upper(company_years(views["eligibility"])).alias("max_years"),
-            company_years(views["eligibility"]).alias("years"),
+            let(company_years(views["eligibility"]), lambda y: F.struct(
+                _upper(y).alias("max_years"), y.alias("years"))).alias("age"),
             turnover(views["turnover"]).alias("sales"),
             closing_time(views["closing"]).alias("close_time"),
             regions_in(views["location"]).alias("regions"),
         )
 
     return details.select("source", "id", _scoped(text, read).alias("r"), text.alias("t")).select(
-        "source", "id", "r.*", attachment_only(F.col("t")).alias("attachment_only"),
+        "source", "id", *[f"r.{c}" for c in (*names, "amount", "months")], "r.age.max_years", "r.age.years",
+        *[f"r.{c}" for c in ("sales", "close_time", "regions")], attachment_only(F.col("t")).alias("attachment_only"),
         F.lit(RULES_VERSION).alias("rules_version"),
     )
 
