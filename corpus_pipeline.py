@@ -28,23 +28,26 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification keeps, with the language it found."""
+    """Documents that language identification keeps, with the language it found.
+
+    Null and empty texts have no language and go; null ids, languages and sources are judged as others.
+    """
     found = language.identify(docs.select(*COLUMNS), keep=("text", "source", "n_chars")).filter("kept")
     return found.withColumnRenamed("language", "lang").select(*COLUMNS)
 
 
 def without_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
+    """All documents, without the boilerplate lines of their source; a null source is one of its own."""
     return _counted(site_lines.drop_site_lines(docs.select(*COLUMNS), "source", "text"))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; documents without words stay."""
+    """One document of each group of near duplicates; documents without words, or with null text, stay."""
     return minhash.drop_near_duplicates(docs.select(*COLUMNS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row per drawn document."""
+    """The mix: a row per drawn document; what has no words is never drawn, a null source is one of its own."""
     return _counted(mixing.mixed_documents(docs.select(*COLUMNS), COLUMNS))
 
 
