@@ -39,7 +39,11 @@ def _call_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     close = F.when(odd, F.concat(F.lit("접수마감 "), day("o_orderdate"), F.lit(" 16:00, 설명회 14:00"))).otherwise(
         F.concat(F.lit("10:00 설명회, "), day("o_orderdate"), F.lit(" 16:00 마감")))
     phone = F.concat(F.lit("문의: 서울특별시 강남구 02-123-"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"))
-    return table(spark, sf_dir, "orders").select(
+    # Reading a text costs far more than moving the few columns it is made of, and the table is one file:
+    # these columns are dealt to as many tasks as a shuffle has, the texts are made and read there.
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority").repartition("o_orderkey")
+    return orders.select(
         F.col("o_orderpriority").alias("source"), F.col("o_orderkey").cast("string").alias("id"),
         F.concat_ws("\n", target, region, money, rest, close, phone).alias("text"),
     )
