@@ -55,3 +55,19 @@ def test_null_keys_are_kept(spark):
     totals = sc.running_total(df, ["k", "j"], "n", "n", "total", block=4).collect()
     assert len(totals) == len(rows)
     assert {r.n: r.total for r in totals if (r.k, r.j) == ("a", None)} == {0: 0, 1: 1, 2: 3, 3: 6, 4: 10}
+
+
+def _filled(df):
+    """How many tasks of a result have rows."""
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_spread_join_meets_every_pair_once(spark):
+    few = spark.createDataFrame([("hot", k, "x") for k in range(7)] + [("hot", 0, "x"), (None, 1, "x"), ("no", 1, "x")], "key string, a int, s string")
+    many = spark.createDataFrame([("hot", k) for k in range(90)] + [("hot", 3), (None, 1)], "key string, b int")
+    want = sorted((x.a, y.b) for x in few.collect() for y in many.collect() if x.key == y.key == "hot")
+    for left, right in ((few, many), (many, few)):
+        joined = sc.spread_join(left, right, ["key"])
+        assert joined.columns == ["key", *left.columns[1:], *right.columns[1:]]
+        assert sorted((r.a, r.b) for r in joined.collect()) == want
+        assert _filled(joined) > 1
