@@ -18,24 +18,29 @@ TAG = r"<[^>]+>"
 COMMENT = r"<!--(?s:.*?)-->"
 SESSION_ID = r";jsessionid=[^?]*"
 SLUG_LENGTH = 80
+# Texts that are Python objects at a time: a batch holds up to 10,000 pages.
+DECODED_AT_ONCE = 256
 
 
+# The functions use nothing else of this module, so that they are sent whole to workers without it.
 @F.arrow_udf(T.StringType())
 def _decode(texts: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string()
-    )
+    parts = [pa.array([], pa.string())]
+    for k in range(0, len(texts), DECODED_AT_ONCE):
+        part = texts.slice(k, DECODED_AT_ONCE).to_pylist()
+        parts.append(pa.array([None if t is None else html.unescape(t) for t in part], pa.string()))
+    return pa.concat_arrays(parts)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _decode_each(lists: pa.Array) -> pa.Array:
-    return pa.array(
-        [
-            None if ts is None else [None if t is None else html.unescape(t) for t in ts]
-            for ts in lists.to_pylist()
-        ],
-        pa.list_(pa.string()),
-    )
+    parts = [pa.array([], pa.list_(pa.string()))]
+    for k in range(0, len(lists), DECODED_AT_ONCE):
+        part = lists.slice(k, DECODED_AT_ONCE).to_pylist()
+        parts.append(pa.array(
+            [None if ts is None else [None if t is None else html.unescape(t) for t in ts] for ts in part],
+            pa.list_(pa.string())))
+    return pa.concat_arrays(parts)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

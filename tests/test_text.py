@@ -1,5 +1,7 @@
 import datetime
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -139,3 +141,26 @@ def test_header_per_row(spark):
     rows = [("kstartup", "u1", 200, "x"), ("nipa", None, 200, "y"), (None, "u3", 200, "z")]
     df = spark.createDataFrame(rows, "source string, url string, status int, html string")
     assert sorted(r.text for r in pg.detail_texts(df).collect()) == sorted(["x", "\n\ny", "u3\n\nz"])
+
+
+def test_references_are_decoded_in_parts(monkeypatch):
+    """Nulls, empty batches and the order are kept at the edges of parts."""
+    decode = tx.html.unescape
+    monkeypatch.setattr(tx, "DECODED_AT_ONCE", 3)
+
+    for n in (0, 1, 3, 7, 10):
+        texts = [None if k % 4 == 1 else f"&lt;{k}&gt;" for k in range(n)]
+        want = [None if t is None else decode(t) for t in texts]
+        assert tx._decode.func(pa.array(texts, pa.string())).to_pylist() == want
+        lists = [None if k % 3 == 2 else texts[:k] for k in range(n)]
+        got = tx._decode_each.func(pa.array(lists, pa.list_(pa.string()))).to_pylist()
+        assert got == [None if ts is None else want[:len(ts)] for ts in lists]
+
+
+def test_decoding_holds_few_objects():
+    batch = pa.array(["&amp; " + "x" * 5000] * 4000, pa.string())
+    tracemalloc.start()
+    tx._decode.func(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000 < batch.nbytes
