@@ -13,6 +13,7 @@ from ..functions.intervals import contains, interval
 from ..schemas import KEY
 from ..sources.profiles import need_codes
 from .match import NATIONWIDE
+from .scaling import spread_join
 
 YES, NO, UNKNOWN = "yes", "no", "unknown"
 # Tokens of what a side wants all of, does not say, or matches whatever is said.
@@ -55,10 +56,12 @@ def interval_join(values: DataFrame, ranges: DataFrame, on: list[str], value: st
                         lambda x: token(F.col("_level"), x)), F.array(anywhere)))
     bins = [token(F.lit(n), place(number, F.lit(float(n)))) for n in levels]
     held = F.when(number.isNull(), F.array(anywhere)).otherwise(F.array(*bins, nowhere))
-    left = values.withColumn("_bin", F.explode(held))
-    right = placed.withColumn("_bin", F.explode(covered)).drop("_level")
-    met = left.join(right, [*on, "_bin"]).withColumn("state", state(contains(F.col(bounds), number)))
-    return met.filter(F.col("state") != NO).drop("_bin")
+    # Level and bin are columns of their own: as structs of unlike nullability they would be dealt twice.
+    flat = lambda df: df.withColumns({"_level": F.col("_token.level"), "_bin": F.col("_token.bin")}).drop("_token")
+    left = flat(values.withColumn("_token", F.explode(held)))
+    right = flat(placed.withColumn("_token", F.explode(covered)))
+    met = spread_join(left, right, [*on, "_level", "_bin"]).withColumn("state", state(contains(F.col(bounds), number)))
+    return met.filter(F.col("state") != NO).drop("_level", "_bin")
 
 
 def _wanted(profiles: DataFrame) -> DataFrame:
@@ -135,5 +138,5 @@ def match_known(profiles: DataFrame, calls: DataFrame, by_years: bool = False) -
     It has a row per pair and grows with both sides; `match_states` gives the same by classes.
     """
     pairs, members, items = match_states(profiles, calls, by_years)
-    return pairs.join(members, "profile_class").join(items, "call_class").select(
+    return spread_join(pairs.join(members, "profile_class"), items, ["call_class"]).select(
         "profile_id", *KEY, "need_state", "region_state", "years_state")

@@ -102,3 +102,25 @@ def test_reframing_is_a_tier(spark):
     themes = spark.createDataFrame([("voice", "welfare", "care calls")], "from_field string, to_field string, theme string")
     got = {r.id: (r.tier, r.rules_version) for r in jd.judge(profiles, items, details, themes=themes).collect()}
     assert {k: v[0] for k, v in got.items()} == {"1": "C", "2": "rejected"} and {v[1] for v in got.values()} == {3}
+
+
+def test_interval_join_of_one_key_is_spread(spark):
+    values = spark.range(400).select((F.col("id") % 1).alias("g"), F.col("id").alias("v_id"), F.col("id").cast("double").alias("value"))
+    ranges = spark.range(100).select((F.col("id") % 1).alias("g"), F.col("id").alias("r_id"), interval(F.concat(F.lit("(,"), F.col("id") % 1 + 400, F.lit(")"))).alias("bounds"))
+    met = tv.interval_join(values, ranges, ["g"], "value", "bounds")
+    assert met.count() == met.distinct().count() == 400 * 100
+    assert met.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
+def test_texts_of_calls_are_read_once(spark):
+    """Described calls are a stage: what follows reads no text, and texts without a call are not read."""
+    calls = spark.createDataFrame(
+        [("s", "1", "t", "자금", None), ("s", "2", "t", "자금", None), (None, "3", "t", "자금", None)],
+        "source string, id string, title string, field string, apply_end string")
+    details = spark.createDataFrame(
+        [("s", "1", "신청대상: 충청남도 소재 창업 3년 미만 기업"), ("s", "9", "전국"), (None, "3", "전국")], "source string, id string, text string")
+    described = jd.describe_calls(calls, details)
+    plan = described._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "RLIKE" not in plan
+    assert [(r.id, r.regions, r.years, r.nationwide) for r in described.orderBy("id").collect()] == [
+        ("1", ["충남"], "(,3)", False), ("2", None, None, False), ("3", None, None, False)]
