@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dates import is_open
 from ..functions.text import let
 from ..schemas import KEY
+from ..session import cut_lineage
 from .match import evaluate, reframing_candidates, tiers
 from .signals import CAPITAL_AREA, REGIONS, RULES_VERSION, signals_wide
 from .three_valued import match_known
@@ -43,12 +44,14 @@ def describe_calls(announcements: DataFrame, details: DataFrame) -> DataFrame:
 
     announcements: source, id, title, field, apply_end; details: source, id, text, unique. `regions` are
     those that applicants have to be in; a call without them is `nationwide` only if its text says so.
-    Announcements without details, or with a null key, keep empty signals. Texts are read once.
+    Announcements without details, or with a null key, keep empty signals. Only texts of announcements
+    are read, and these once: the result is a stage, as it is used several times.
     """
     offers = offers_of(F.col("field"), F.col("title"))
     described = announcements.select(*KEY, "field", "apply_end", offers.alias("offers"))
-    return described.join(signals_wide(details), KEY, "left").withColumn(
-        "nationwide", F.coalesce(F.col("apply_region") == "nationwide", F.lit(False)))
+    asked = details.select(*KEY, "text").join(announcements.select(*KEY), KEY, "left_semi")
+    return cut_lineage(described.join(signals_wide(asked), KEY, "left").withColumn(
+        "nationwide", F.coalesce(F.col("apply_region") == "nationwide", F.lit(False))))
 
 
 def requirements_of(calls: DataFrame) -> DataFrame:
@@ -108,9 +111,9 @@ def judge(
     evaluated. `more_facts` adds what the profile file does not say, e.g. sales. With `themes`
     (from_field, to_field, theme) and a `field` in profiles, what could be reframed is tier C.
     """
-    calls = describe_calls(announcements, details)
     if as_of is not None:
-        calls = calls.filter(is_open(F.col("apply_end"), as_of))
+        announcements = announcements.filter(is_open(F.col("apply_end"), as_of))
+    calls = describe_calls(announcements, details)
     facts = facts_of(profiles)
     if more_facts is not None:
         facts = facts.unionByName(more_facts.select("profile_id", "requirement", "value"))

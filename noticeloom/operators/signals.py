@@ -285,10 +285,11 @@ def regions_in(text: Column, regions: tuple[str, ...] = REGIONS) -> Column:
     names = [*LONG_REGIONS, *[rf"{r}(?!\s*(?:{others[r]}))" if r in others else r for r in regions]]
     found = F.regexp_extract_all(text, F.lit(rf"(?<![가-힣])({'|'.join(names)})"), F.lit(1))
 
+    # One lookup: a chain of conditions on the name so far doubles with every long name.
+    own = F.create_map(*[F.lit(x) for pair in LONG_REGIONS.items() for x in pair])
+
     def short(name: Column) -> Column:
-        for long, own in LONG_REGIONS.items():
-            name = F.when(name == long, own).otherwise(name)
-        return name
+        return F.coalesce(F.try_element_at(own, name), name)
 
     return F.array_distinct(F.transform(found, short))
 

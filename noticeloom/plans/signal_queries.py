@@ -291,7 +291,8 @@ SELECT profile_id, source, need_state, region_state,
 FROM pair WHERE years IS NULL OR age IS NULL OR age < 3 OR (age = 3 AND years = '(,3]') GROUP BY ALL""")
 def known_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-valued match by need, region and age: less than and up to three years differ."""
-    calls = j.describe_calls(_announced(spark, sf_dir), _call_texts(spark, sf_dir)).filter(F.col("apply_end") >= "1995-06-17")
+    announced = _announced(spark, sf_dir).filter(F.col("apply_end") >= "1995-06-17")
+    calls = j.describe_calls(announced, _call_texts(spark, sf_dir))
     found = tv.match_known(_applicants(spark, sf_dir), calls, by_years=True)
     return found.groupBy("profile_id", "source", "need_state", "region_state", "years_state").agg(F.count("*").alias("items"))
 

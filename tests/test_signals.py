@@ -67,3 +67,10 @@ def test_digits_do_not_slow_the_amount(spark):
     text = "1" * 20_000 + "," + "2," * 20_000
     df = spark.createDataFrame([("s", "1", text)], "source string, id string, text string")
     assert sg.signals_wide(df).first().amount is None
+
+
+def test_short_names_of_regions_are_one_lookup(spark):
+    """The condition of a long name does not hold that of the one before twice."""
+    texts = spark.createDataFrame([("충청남도, 충남, 전북특별자치도 서울",), (None,)], "t string").select(sg.regions_in(F.col("t")).alias("r"))
+    assert [x.r for x in texts.collect()] == [["충남", "전북", "서울"], None]
+    assert texts._jdf.queryExecution().optimizedPlan().toString().count("충청남도") < 5
