@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import KEY
-from ..session import cut_lineage
+from ..session import cut_lineage, fine_shuffles
 from .scaling import join_dimension
 
 
@@ -58,7 +58,8 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, order: list[str]) -> DataFra
     The runs are read and paired once. The pairs are written as a stage, and the coverage of the
     sources is taken from them by one aggregate of two flags.
     """
-    paired = cut_lineage(pair_runs(prev, curr, order))
+    with fine_shuffles(prev.sparkSession):
+        paired = cut_lineage(pair_runs(prev, curr, order))
     return with_status(paired, paired_coverage(paired))
 
 

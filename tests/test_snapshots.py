@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from noticeloom.operators import diff as d
 from noticeloom.operators.dedup import dedup_last
+from noticeloom.session import INITIAL_PARTITIONS
 from noticeloom.sources import snapshots as sn
 
 PREV_A = """{"pbancSn":"101","title":"T1","deadline":"2026-07-18","url":"u101"}
@@ -176,3 +177,20 @@ def test_diff_properties(spark):
     assert sorted(shuffled.select(*KEYS, "status", "old_end", "new_end").collect(), key=str) == sorted(
         there.select(*KEYS, "status", "old_end", "new_end").collect(), key=str
     )
+
+
+def test_pairs_of_large_runs_lie_in_more_tasks_than_a_shuffle_has(spark):
+    """What one task reads of the runs does not grow with a fixed number of partitions."""
+    rows = spark.range(4000).select(
+        F.lit("a").alias("source"), F.col("id").cast("string").alias("id"), F.lit("2026-07-01").alias("apply_end"), F.col("id").alias("pos"))
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "2k"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        diff = d.snapshot_diff(rows, rows, ["pos"])
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert len(diff.inputFiles()) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    assert diff.filter("status = 'unchanged'").count() == 4000
