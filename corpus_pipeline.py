@@ -53,8 +53,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, ids_sha256, decoded_sha256) of every document."""
-    encoded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), RANKS, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded.drop("text"), RANKS, public_tokenizers.PATTERN)
+    decoded = byte_bpe.encode_and_decode(
+        docs.select("doc_id", "lang", "source", "text"), RANKS, public_tokenizers.PATTERN)
     return byte_bpe.with_digests(decoded).select(
         "doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 

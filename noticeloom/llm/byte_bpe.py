@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 PIECE_CHARS = 1 << 20
 SAFE_CUT = r"(?<=\S) (?=\p{L})"
 # Pieces of text whose ids a worker remembers before it starts anew.
-MEMO_PIECES = 600_000
+MEMO_PIECES = 300_000
 # Tokens that are turned into bytes at a time.
 DECODE_TOKENS = 1 << 20
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -156,6 +157,19 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts, null as empty, with the place of the first: each ends behind PIECE_CHARS characters."""
+    start, held, chars = 0, [], 0
+    for t in texts:
+        held.append(t.as_py() or "")
+        chars += len(held[-1])
+        if chars > PIECE_CHARS:
+            yield start, held
+            start, held, chars = start + len(held), [], 0
+    if held:
+        yield start, held
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add `ids`: the ids of each match of `pattern`, encoded separately, without special tokens.
 
@@ -167,14 +181,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), False))
     def encoded(texts: pa.Array) -> pa.Array:
-        own, out, slice_, held = codec(ranks_file, pattern), [], [], 0
-        for t in texts:
-            slice_.append(t.as_py() or "")
-            held += len(slice_[-1])
-            if held > PIECE_CHARS:
-                out += own.encode_batch(slice_)
-                slice_, held = [], 0
-        return _lists(out + own.encode_batch(slice_), pa.int32())
+        own = codec(ranks_file, pattern)
+        return _lists([ids for _, held in _slices(texts) for ids in own.encode_batch(held)], pa.int32())
 
     return df.withColumn(ids, encoded(F.col(text)))
 
@@ -193,6 +201,31 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     return df.withColumn(out, decoded(F.col(ids)))
 
 
+def encode_and_decode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded"
+) -> DataFrame:
+    """`df` without its texts, with the `ids` and `out` that `encode` and then `decode` give.
+
+    An Arrow batch holds up to 10,000 rows, and its ids and bytes are larger than its texts. Here they
+    leave in slices of about PIECE_CHARS characters, so that a worker holds those of one slice.
+    """
+    ranks_file = Path(path).read_bytes()
+    kept = [c for c in df.columns if c not in (text, ids, out)]
+    schema = T.StructType([df.schema[c] for c in kept]).add(ids, T.ArrayType(T.IntegerType(), False)).add(out, T.BinaryType())
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(ranks_file, pattern)
+        for batch in batches:
+            for start, held in _slices(batch.column(len(kept))):
+                lists = own.encode_batch(held)
+                columns = batch.slice(start, len(held)).columns[:len(kept)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, _lists(lists, pa.int32()), pa.array(map(own.decode, lists), pa.binary())],
+                    [*kept, ids, out])
+
+    return df.select(*kept, F.col(text).cast("string").alias(text)).mapInArrow(both, schema)
+
+
 def token_spans(
     df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "spans"
 ) -> DataFrame:
@@ -222,6 +255,5 @@ def with_digests(decoded: DataFrame) -> DataFrame:
 
 def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of `df`(doc_id, text): encoded, then decoded."""
-    encoded = encode(df.select("doc_id", "text"), path, pattern).drop("text")
-    digests = with_digests(decode(encoded, path, pattern))
+    digests = with_digests(encode_and_decode(df.select("doc_id", "text"), path, pattern))
     return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

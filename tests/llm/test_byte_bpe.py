@@ -4,6 +4,7 @@ import base64
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -49,6 +50,21 @@ def test_odd_texts_nulls_and_clashing_columns(spark, reference):
         assert all(0 <= s.start < s.end <= len(text) for s in row.spans)
 
 
+def test_both_ways_in_slices(spark, reference, monkeypatch):
+    """Ids and bytes of one batch leave it in several slices, each beside its own row."""
+    long = [(50, "many words " * 100_000, 7, "mine")]
+    rows = long + [(i, t, 7, "mine") for i, t in enumerate(ODD)] + [(None, None, 7, "mine"), *long, (3, ODD[3], 7, "mine")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int, decoded string").coalesce(1)
+    own = bb.encode_and_decode(df, RANKS, public_tokenizers.PATTERN)
+    two = bb.decode(bb.encode(df, RANKS, public_tokenizers.PATTERN).drop("text"), RANKS, public_tokenizers.PATTERN)
+    assert own.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(repr, own.collect())) == sorted(map(repr, two.select("doc_id", "ids", "decoded").collect()))
+    monkeypatch.setattr(bb, "PIECE_CHARS", 5)
+    held = list(bb._slices(pa.array([r[1] for r in rows])))
+    assert len(held) > 5 and [t for _, texts in held for t in texts] == [r[1] or "" for r in rows]
+    assert [start for start, _ in held] == [sum(len(texts) for _, texts in held[:k]) for k in range(len(held))]
+
+
 def test_character_split_over_tokens(spark, reference):
     text = "ᾟ"
     ids = reference.encode_ordinary(text)
