@@ -5,11 +5,12 @@ the position), so the digest of any depth is one row of a table and is summed in
 the conversation is. A compacted node is an interval (s, e] of depths of the conversation that
 brought it; it is filed under its handle, the prefix of the two-fattest depth of the interval.
 
-Conversations come in batches. A fat binary search finds the exit node of each: every turn of the
-search is a join of one digest per conversation with the handles. Where conversations leave, edges
-are split, and one conversation of each new branch becomes a leaf; the others search on from there
-in the next turn. That one is chosen by hash, so branches halve and turns grow with the logarithm of
-the number of conversations, not with the depth of the trie.
+Conversations come in batches. The exit node of each lies below its deepest handle, which one join of
+all its digests with the handles finds; a search that asks for one digest at a time would read the
+table of digests once for each. Where conversations leave, edges are split, and one conversation of
+each new branch becomes a leaf; the others go on from there in the next turn. That one is chosen by
+hash, so branches halve and turns grow with the logarithm of the number of conversations, not with the
+depth of the trie.
 
 Sums over subtrees go up by pointer doubling, and at last edges are expanded into a row per depth.
 """
@@ -87,24 +88,19 @@ def _at(table: DataFrame, conv: str, depth: str, **names: str) -> DataFrame:
         F.col(c).alias(n) for c, n in names.items()])
 
 
-def _locate(pending: DataFrame, trie: DataFrame, table: DataFrame, turns: int) -> DataFrame:
+def _locate(pending: DataFrame, trie: DataFrame, table: DataFrame) -> DataFrame:
     """pending (conv, len, l) with (rep, s, e, k): the edge on which a conversation leaves the trie
-    and the depth to which both agree. `rep` is null where no edge goes on from depth k."""
-    handles = trie.select("f", "fx", "fy", F.col("rep").alias("hrep"), F.col("s").alias("hs"), F.col("e").alias("he"))
-    at = pending.select(
-        "conv", "len", "l", F.col("len").alias("r"), F.lit(None).cast("bigint").alias("rep"),
-        F.lit(None).cast("bigint").alias("s"), F.lit(None).cast("bigint").alias("e"))
-    for _ in range(turns):
-        asked = at.withColumn("f", F.when(F.col("l") < F.col("r"), two_fattest("l", "r")))
-        hit = asked.join(_at(table, "conv", "f", x="fx", y="fy"), ["conv", "f"], "left").join(
-            handles, ["f", "fx", "fy"], "left")
-        found = F.col("he").isNotNull()
-        at = hit.select(
-            "conv", "len", F.when(found, F.col("he")).otherwise(F.col("l")).alias("l"),
-            F.when(found | F.col("f").isNull(), F.col("r")).otherwise(F.col("f") - 1).alias("r"),
-            F.when(found, F.col("hrep")).otherwise(F.col("rep")).alias("rep"),
-            F.when(found, F.col("hs")).otherwise(F.col("s")).alias("s"),
-            F.when(found, F.col("he")).otherwise(F.col("e")).alias("e"))
+    and the depth to which both agree. `rep` is null where no edge goes on from depth k.
+
+    The trie is known to agree to depth l. The digests below it are looked up among the handles, all
+    in one join: the deepest handle found is what a search by turns ends with.
+    """
+    handles = trie.select(
+        F.col("f").alias("d"), F.col("fx").alias("x"), F.col("fy").alias("y"), F.struct("f", "rep", "s", "e").alias("edge"))
+    hit = pending.select("conv", "l").join(_at(table, "conv", "d", x="x", y="y"), "conv").filter("d > l").join(
+        handles, ["d", "x", "y"]).groupBy("conv").agg(F.max("edge").alias("edge"))
+    at = pending.join(hit, "conv", "left").select(
+        "conv", "len", F.coalesce("edge.e", "l").alias("l"), "edge.rep", "edge.s", "edge.e")
     # The exit node is the child that goes on with the next turn, else the node found itself.
     children = trie.select(
         F.col("s").alias("l"), "cx", "cy", F.col("rep").alias("crep"), F.col("e").alias("ce"))
@@ -135,8 +131,6 @@ def _filed(intervals: DataFrame, table: DataFrame) -> DataFrame:
 
 def build(classes: DataFrame, table: DataFrame) -> DataFrame:
     """Compacted nodes (rep, s, e, ...) below the root, from (conv, len) of different conversations."""
-    longest = classes.agg(F.max("len")).first()[0] or 0
-    turns = int(longest).bit_length()
     place = F.xxhash64("conv")
     number = F.lit(len(BATCHES) - 1)
     for k in reversed(range(len(BATCHES) - 1)):
@@ -151,7 +145,7 @@ def build(classes: DataFrame, table: DataFrame) -> DataFrame:
             none = F.lit(None).cast("bigint")
             located = pending.select("conv", "len", "l", none.alias("rep"), none.alias("s"), none.alias("e"), F.col("l").alias("k"))
         else:
-            located = cut_lineage(_locate(pending, trie, table, turns))
+            located = cut_lineage(_locate(pending, trie, table))
         inside = located.filter("rep is not null and k > s and k < e")
         branches = located.filter("k < len").withColumn("next", F.col("k") + 1).join(
             _at(table, "conv", "next", x="x", y="y"), ["conv", "next"])

@@ -94,6 +94,21 @@ def test_long_conversation_and_its_prefixes(spark):
     assert got == plain({k: [("user", str(t)) for t in range(1, n + 1)] for k, n in enumerate(lengths)})
 
 
+def test_search_does_not_grow_with_depth(spark):
+    """Exit nodes take the same few joins however long a conversation is, and agree with the edges."""
+    turns = pt.coded_turns(table(spark))
+    digests = pt.cut_lineage(pt.prefixes(turns))
+    lengths = digests.groupBy(F.col("conv_id").alias("conv")).agg(F.max("d").alias("len"))
+    last = digests.join(lengths, (F.col("conv") == F.col("conv_id")) & (F.col("len") == F.col("d")))
+    classes = pt.cut_lineage(last.groupBy("len", "x", "y").agg(F.min("conv").alias("conv")).select("conv", "len"))
+    nodes = pt.build(classes, digests)
+    located = pt._locate(lengths.withColumn("l", F.lit(0).cast("bigint")), nodes, digests)
+    assert located._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 13
+    # All conversations lie in the finished trie, to their ends.
+    got = located.collect()
+    assert len(got) == lengths.count() and all(r.k == r.len and r.s < r.k <= r.e for r in got)
+
+
 def test_rebuilt(spark):
     def own(convs, c):
         h = zlib.crc32(str(c).encode()) % 9
