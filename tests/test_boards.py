@@ -1,3 +1,5 @@
+import pytest
+
 from noticeloom.operators import boards as b
 from noticeloom.operators.extract import extract_rows
 
@@ -97,3 +99,12 @@ def test_all_boards_in_one_table(spark):
     assert (first.apply_end, first.apply_start, first.field) == ("2026-07-18", "2026-07-01", "A&B")
     assert first.dday and {"dday", "program", "agency_type"} <= set(got.columns)
     assert got.filter("source = 'nipa'").first().dday is None
+
+
+@pytest.mark.parametrize("name", ["bizinfo", "nipa", "kocca", "smtech"])
+def test_texts_of_a_block_are_cleaned_once(spark, name):
+    """Fields take their texts from the cleaned array; none of them cleans the array again."""
+    pages = spark.createDataFrame([(1, 200, "<table></table>")], "page_no int, status int, html string")
+    plan = extract_rows(pages, b.BOARDS[name])._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_clean" not in plan.splitlines()[0]
+    assert sum("to_clean" in line and "transform(coalesce(" in line for line in plan.splitlines()) == 1
