@@ -100,11 +100,12 @@ def extract_rows(pages: DataFrame, spec: BoardSpec) -> DataFrame:
     to_decode = F.col("to_decode")
     for name in spec.arrays:
         to_decode = F.concat(to_decode, f"raw_{name}")
+    # Cells are exploded from an array of one: as a plain column the optimizer would put their cleaning,
+    # a pattern per cell, into each field that takes a text from them.
+    once = (lambda c: F.explode(F.array(c))) if spec.with_cells else (lambda c: c)
     ready = taken.select(
         *[c for c in taken.columns if c not in ("to_clean", "to_decode")],
-        # Exploded from an array of one: as a plain column the optimizer would put the expression, a
-        # pattern per text, into each field that takes a text from the array.
-        *([F.explode(F.array(clean_each(F.col("to_clean")))).alias("cleaned")] if cleaned or spec.with_cells else []),
+        *([once(clean_each(F.col("to_clean"))).alias("cleaned")] if cleaned or spec.with_cells else []),
         *([unescape_each(to_decode).alias("decoded")] if decoded or spec.arrays else []),
     )
 
