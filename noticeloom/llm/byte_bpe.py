@@ -201,6 +201,25 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     return df.withColumn(out, decoded(F.col(ids)))
 
 
+def _both(
+    batches: Iterator[pa.RecordBatch], own: Codec, kept: list[str], ids: str, out: str
+) -> Iterator[pa.RecordBatch]:
+    """The columns `kept` of batches that end with a text, with its ids and their bytes, in slices.
+
+    The pieces are forgotten at the end of the task: the worker lives on, beside tasks of other stages.
+    """
+    try:
+        for batch in batches:
+            for start, held in _slices(batch.column(len(kept))):
+                lists = own.encode_batch(held)
+                columns = batch.slice(start, len(held)).columns[:len(kept)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, _lists(lists, pa.int32()), pa.array(map(own.decode, lists), pa.binary())],
+                    [*kept, ids, out])
+    finally:
+        own._forget()
+
+
 def encode_and_decode(
     df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded"
 ) -> DataFrame:
@@ -214,14 +233,7 @@ def encode_and_decode(
     schema = T.StructType([df.schema[c] for c in kept]).add(ids, T.ArrayType(T.IntegerType(), False)).add(out, T.BinaryType())
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(ranks_file, pattern)
-        for batch in batches:
-            for start, held in _slices(batch.column(len(kept))):
-                lists = own.encode_batch(held)
-                columns = batch.slice(start, len(held)).columns[:len(kept)]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, _lists(lists, pa.int32()), pa.array(map(own.decode, lists), pa.binary())],
-                    [*kept, ids, out])
+        return _both(batches, codec(ranks_file, pattern), kept, ids, out)
 
     return df.select(*kept, F.col(text).cast("string").alias(text)).mapInArrow(both, schema)
 

@@ -94,3 +94,12 @@ def test_empty_table_and_unknown_id(spark):
     own = bb.codec(open(RANKS, "rb").read(), public_tokenizers.PATTERN)
     with pytest.raises(ValueError):
         own.decode([99_999_999])
+
+
+def test_pieces_are_forgotten_at_the_end_of_a_task(reference):
+    own = bb.Codec(open(RANKS, "rb").read(), public_tokenizers.PATTERN)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], ["doc_id", "text"])
+    rows = [r for part in bb._both(iter([batch, batch]), own, ["doc_id"], "ids", "out") for r in part.to_pylist()]
+    assert [r["doc_id"] for r in rows] == [1, 2, 1, 2] and rows[0]["out"] == b"some words"
+    assert not own.places and not len(own.flat)
+    assert own.encode("some words").tolist() == rows[2]["ids"] == reference.encode_ordinary("some words")

@@ -4,7 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from noticeloom import session
 from noticeloom.operators import scaling as sc
+from noticeloom.session import cut_lineage
 
 
 def test_join_dimension_both_ways(spark):
@@ -71,3 +73,23 @@ def test_spread_join_meets_every_pair_once(spark):
         assert joined.columns == ["key", *left.columns[1:], *right.columns[1:]]
         assert sorted((r.a, r.b) for r in joined.collect()) == want
         assert _filled(joined) > 1
+
+
+def test_stage_sends_small_batches(spark):
+    """A stage sends a few megabytes to Python at a time; the session's setting is as before afterwards."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    long = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    rows = [r.n for r in cut_lineage(long.mapInArrow(sizes, "n long")).collect()]
+    assert sum(rows) == 400 and max(rows) <= 50
+    assert spark.conf.get(session.BATCH_BYTES, None) is None
+    spark.conf.set(session.BATCH_BYTES, "1m")
+    try:
+        own = [r.n for r in cut_lineage(long.mapInArrow(sizes, "n long")).collect()]
+        assert max(own) <= 15 and spark.conf.get(session.BATCH_BYTES) == "1m"
+    finally:
+        spark.conf.unset(session.BATCH_BYTES)
