@@ -129,10 +129,10 @@ def evidence(text: Column, pattern: str, scope: Column | None = None) -> Column:
     return let(match, sentence)
 
 
-def _scoped(text: Column, body: Callable[[dict[str, Column]], Column]) -> Column:
-    """`body` of the clauses of each scope as text; the text is cut once."""
-    views = lambda found: F.struct(*[view(found).alias(name) for name, view in SCOPES.items()])
-    return let(let(clauses(text), views), lambda v: body({name: v[name] for name in SCOPES}))
+def _scoped(text: Column, body: Callable[[dict[str, Column]], Column], scopes: tuple[str, ...] = tuple(SCOPES)) -> Column:
+    """`body` of the clauses of each of `scopes` as text; the text is cut once."""
+    views = lambda found: F.struct(*[SCOPES[name](found).alias(name) for name in scopes])
+    return let(let(clauses(text), views), lambda v: body({name: v[name] for name in scopes}))
 
 
 def _hit(signal: str, rules: tuple[SignalRule, ...], text: Column, views: dict[str, Column]) -> Column:
@@ -170,7 +170,8 @@ def extract_signals(
     """
     text = F.coalesce("text", F.lit(""))
     names = signals or tuple(dict.fromkeys(r.signal for r in rules))
-    hits = _scoped(text, lambda views: F.concat(*[_hit(s, rules, text, views) for s in names]))
+    read = tuple(dict.fromkeys(r.scope for r in rules if r.signal in names)) or ("eligibility",)
+    hits = _scoped(text, lambda views: F.concat(*[_hit(s, rules, text, views) for s in names]), read)
     return details.select("source", "id", F.explode(hits).alias("hit")).select(
         "source", "id", "hit.*", F.lit(RULES_VERSION).alias("rules_version")
     )

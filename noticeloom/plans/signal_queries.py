@@ -8,6 +8,7 @@ from ..functions.clauses import clauses
 from ..functions.intervals import interval
 from ..functions.text import strip_html
 from ..operators import judge as j, report as r, signals as sg, three_valued as tv
+from ..session import shuffle_tasks
 from .derived import SQL_HOST, day
 from .registry import query, table
 from .text_queries import SQL_TEXT
@@ -40,9 +41,11 @@ def _call_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("10:00 설명회, "), day("o_orderdate"), F.lit(" 16:00 마감")))
     phone = F.concat(F.lit("문의: 서울특별시 강남구 02-123-"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"))
     # Reading a text costs far more than moving the few columns it is made of, and the table is one file:
-    # these columns are dealt to as many tasks as a shuffle has, the texts are made and read there.
+    # these columns are dealt to as many tasks as a shuffle has, the texts are made and read there. The number
+    # is given, or adaptive execution would join the tasks by the few bytes they read.
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority").repartition("o_orderkey")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    ).repartition(shuffle_tasks(spark), "o_orderkey")
     return orders.select(
         F.col("o_orderpriority").alias("source"), F.col("o_orderkey").cast("string").alias("id"),
         F.concat_ws("\n", target, region, money, rest, close, phone).alias("text"),

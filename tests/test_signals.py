@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from noticeloom.operators import signals as sg
+from noticeloom.plans.catalog import QUERIES
 
 TEXTS = [
     ("yes", "신청대상: 예비창업자 및 창업 3년 이내 기업"),
@@ -74,3 +75,23 @@ def test_short_names_of_regions_are_one_lookup(spark):
     texts = spark.createDataFrame([("충청남도, 충남, 전북특별자치도 서울",), (None,)], "t string").select(sg.regions_in(F.col("t")).alias("r"))
     assert [x.r for x in texts.collect()] == [["충남", "전북", "서울"], None]
     assert texts._jdf.queryExecution().optimizedPlan().toString().count("충청남도") < 5
+
+
+def test_call_texts_are_dealt_to_all_tasks(spark, tmp_path):
+    """Few bytes are much work here: adaptive execution leaves the tasks apart."""
+    spark.range(1, 401).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(260000.0).alias("o_totalprice"), F.lit("2026-07-01").cast("date").alias("o_orderdate"),
+        F.lit("2-HIGH").alias("o_orderpriority")).write.parquet(str(tmp_path / "orders.parquet"))
+    found = QUERIES["signal_evidence"](spark, str(tmp_path)).select("id", F.spark_partition_id().alias("p")).collect()
+    assert len({r.id for r in found}) == 400 and len({r.p for r in found}) >= 4
+
+
+def test_only_scopes_of_the_rules_are_read(spark):
+    df = spark.createDataFrame([("s", "1", "문의: 예비창업자 02-1. 전국 접수")], "source string, id string, text string")
+    one = [r for r in sg.SIGNAL_RULES if r.signal == "apply_region"]
+    whole = {tuple(r) for r in sg.extract_signals(df).collect() if r.signal == "apply_region"}
+    own = sg.extract_signals(df, tuple(one))
+    assert {tuple(r) for r in own.collect()} == whole and len(whole) == 1
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    assert "right" in plan and "turnover" not in plan and "other sum" not in plan
