@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.intervals import contains, interval
 from ..schemas import KEY
+from ..session import cut_lineage
 from ..sources.profiles import need_codes
 from .match import NATIONWIDE
-from .scaling import spread_join
+from .scaling import spread_join, spread_members
 
 YES, NO, UNKNOWN = "yes", "no", "unknown"
 # Tokens of what a side wants all of, does not say, or matches whatever is said.
@@ -105,7 +106,7 @@ def match_states(
 
     Classes are joined, not members, on (need, region, bin of years): no key holds all calls of a need.
     """
-    members, items = _wanted(profiles), _offered(calls)
+    members, items = cut_lineage(_wanted(profiles)), cut_lineage(_offered(calls))
     want, give = F.col("needs"), F.col("offers")
     tokens = F.when(F.array_contains(want, "coverage"), F.array(F.lit(ALL))).when(
         F.size(want) == 0, F.array(F.lit(UNSAID))).otherwise(F.concat(want, F.array(F.lit(SILENT))))
@@ -135,8 +136,9 @@ def match_states(
 def match_known(profiles: DataFrame, calls: DataFrame, by_years: bool = False) -> DataFrame:
     """(profile_id, source, id, need_state, region_state, years_state): the pairs of members.
 
-    It has a row per pair and grows with both sides; `match_states` gives the same by classes.
+    It has a row per pair and grows with both sides, though what is shuffled does not; `match_states`
+    gives the same by classes.
     """
     pairs, members, items = match_states(profiles, calls, by_years)
-    return spread_join(pairs.join(members, "profile_class"), items, ["call_class"]).select(
+    return spread_members(pairs, members, items, "profile_class", "call_class").select(
         "profile_id", *KEY, "need_state", "region_state", "years_state")

@@ -72,6 +72,14 @@ def test_registered_plans_have_no_products(spark, no_broadcast, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+@pytest.mark.parametrize("name", ["matched_profiles", "known_matches"])
+def test_members_become_rows_after_the_last_shuffle(spark, no_broadcast, name):
+    """Disk holds arrays of members: a row per member and class of the other side comes after the join."""
+    text = plan(catalog.QUERIES[name](spark, SF))
+    last = text[text.index("inline(_left"):]
+    assert text.index("inline(_right") < text.index("inline(_left") < text.index("SortMergeJoin") and "Exchange" in last
+
+
 def test_scans_read_what_they_need(spark):
     text = plan(catalog.QUERIES["items_per_source"](spark, SF))
     assert re.search(r"ReadSchema: struct<user_id:bigint,event_type:string>", text)

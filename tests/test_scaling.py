@@ -75,6 +75,25 @@ def test_spread_join_meets_every_pair_once(spark):
         assert _filled(joined) > 1
 
 
+def test_spread_members_gives_every_pair_of_members(spark):
+    """Repeated, null and many members; what is sorted and joined are arrays of bounded length."""
+    few = cut_lineage(spark.createDataFrame(
+        [("x", "s", str(k)) for k in range(300)] + [("x", None, "0"), ("x", "s", "0"), (None, "s", "n"), ("y", "s", None)],
+        "call string, source string, id string"))
+    many = cut_lineage(spark.createDataFrame(
+        [("a", k) for k in range(2 * sc.FOLDED + 5)] + [("a", 3), ("b", None), (None, 1), ("c", 1)], "who string, p int").coalesce(1))
+    pairs = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), ("b", "y", 3), (None, "x", 4), ("a", None, 5)], "who string, call string, n int")
+    got = sc.spread_members(pairs, many, few, "who", "call")
+    assert got.columns == ["who", "call", "n", "p", "source", "id"]
+    left, right = many.collect(), few.collect()
+    want = [(w, c, n, m.p, f.source, f.id) for w, c, n in pairs.collect() for m in left for f in right
+            if w is not None and c is not None and m.who == w and f.call == c]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    folded = sc.fold_members(many, "who", "_all")
+    assert folded.agg(F.max(F.size("_all"))).first()[0] == sc.FOLDED
+    assert folded.agg(F.sum(F.size("_all"))).first()[0] == many.count()
+
+
 def test_stage_sends_small_batches(spark):
     """A stage sends a few megabytes to Python at a time; the session's setting is as before afterwards."""
     import pyarrow as pa
