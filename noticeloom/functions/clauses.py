@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from .text import let
+from .text import let, mentions
 
 # The cues of each role. A blank may also be missing, or be two.
 CUES = {
@@ -66,7 +66,11 @@ PART_END = rf"[,，](?!\d)\s*(?=[^,，{CUT}{OPEN}]*{OPEN})"
 
 
 def _cut(marked: Column) -> Column:
-    return F.split(marked, CUT)
+    return F.when(mentions(marked, CUT), F.split(marked, CUT)).otherwise(F.array(marked))
+
+
+def _has_colon(text: Column) -> Column:
+    return mentions(text, ":", "：")
 
 
 def _pieces(part: Column) -> Column:
@@ -79,9 +83,11 @@ def _pieces(part: Column) -> Column:
         rest = (F.size(cut) > 1) & ~F.contains(last, F.lit(OPEN))
         return F.when(rest, F.concat(F.slice(cut, 1, F.greatest(F.size(cut) - 2, F.lit(0))), tail)).otherwise(cut)
 
-    labelled, leading = part.rlike(rf"^{BULLETS}{CUE}{COLON}"), part.rlike(rf"^{BULLETS}{OPEN}")
-    before_cues = _cut(F.regexp_replace(part, f"({BULLETS}{OPEN})", f"{CUT}$1"))
-    after_cues = let(_cut(F.replace(part, F.lit(CLOSE), F.lit(CLOSE + CUT))), joined)
+    silent = ~mentions(part, OPEN)
+    labelled = silent | (_has_colon(part) & part.rlike(rf"^{BULLETS}{CUE}{COLON}"))
+    leading = part.startswith(OPEN) | part.rlike(rf"^{BULLETS}{OPEN}")
+    before_cues = let(F.regexp_replace(part, f"({BULLETS}{OPEN})", f"{CUT}$1"), _cut)
+    after_cues = let(let(F.replace(part, F.lit(CLOSE), F.lit(CLOSE + CUT)), _cut), joined)
     return F.when(labelled, F.array(part)).when(leading, before_cues).otherwise(after_cues)
 
 
@@ -92,17 +98,22 @@ def clauses(text: Column) -> Column:
     taken out of the text.
     """
     roles = F.create_map(*[F.lit(x) for pair in ROLE_OF.items() for x in pair])
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{CUT}-{CLOSE}]+", "")
+    given = F.coalesce(text, F.lit(""))
+    bare = F.when(mentions(given, CUT, OPEN, CLOSE), F.regexp_replace(given, f"[{CUT}-{CLOSE}]+", "")).otherwise(given)
     marked = F.regexp_replace(bare, f"({ANY_CUE})", f"{OPEN}$1{CLOSE}")
     sentences = F.regexp_replace(F.regexp_replace(marked, HEADING, "$1: "), SENTENCE_END, CUT)
     parts = F.regexp_replace(sentences, PART_END, CUT)
-    labelled = F.regexp_replace(parts, f"({BULLETS}{CUE}{COLON})", f"{CUT}$1")
-    pieces = F.flatten(F.transform(_cut(labelled), _pieces))
+    label = lambda t: F.when(
+        _has_colon(t), F.regexp_replace(t, f"({BULLETS}{CUE}{COLON})", f"{CUT}$1")).otherwise(t)
+    pieces = F.flatten(F.transform(let(let(parts, label), _cut), _pieces))
 
     def owned(piece: Column) -> Column:
-        cue = F.regexp_replace(F.regexp_extract(piece, f"{OPEN}([^{CLOSE}]*)", 1), r"[ \t]+", "")
-        role = F.coalesce(F.try_element_at(roles, cue), F.lit(""))
-        return F.struct(role.alias("role"), F.trim(F.regexp_replace(piece, f"[{OPEN}{CLOSE}]+", "")).alias("text"))
+        # Cues are marked in pairs: the first one ends at the first CLOSE and begins at the OPEN before it.
+        first = F.substring_index(F.substring_index(piece, CLOSE, 1), OPEN, -1)
+        cue = F.replace(F.replace(first, F.lit(" "), F.lit("")), F.lit("\t"), F.lit(""))
+        role = F.when(mentions(piece, OPEN), F.try_element_at(roles, cue))
+        bare = F.replace(F.replace(piece, F.lit(OPEN), F.lit("")), F.lit(CLOSE), F.lit(""))
+        return F.struct(F.coalesce(role, F.lit("")).alias("role"), F.trim(bare).alias("text"))
 
     return F.filter(F.transform(pieces, owned), lambda c: c["text"] != "")
 

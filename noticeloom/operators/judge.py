@@ -12,6 +12,7 @@ from ..functions.text import let
 from ..schemas import KEY
 from ..session import cut_lineage
 from .match import evaluate, reframing_candidates, tiers
+from .scaling import spread_members
 from .signals import CAPITAL_AREA, REGIONS, RULES_VERSION, signals_wide
 from .three_valued import match_known
 
@@ -26,6 +27,9 @@ OFFERS = {
     "market": r"판로|수출|마케팅|해외\s*진출",
 }
 COMPANY_STAGES = "sole_owner|corporation"
+# What is read of profiles and of described calls when they are judged.
+ASKING = ("stage", "years", "needs", "regions", "movable_regions")
+ASKED = ("offers", "regions", "nationwide", "years", "sales", "pre_founder", "location_rule", "trigger", "exclusion")
 
 
 def offers_of(*texts: Column) -> Column:
@@ -100,6 +104,21 @@ def facts_of(profiles: DataFrame) -> DataFrame:
     return profiles.select("profile_id", F.explode(facts).alias("f")).select("profile_id", "f.*")
 
 
+def classes_of(rows: DataFrame, keys: list[str], said: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """(`keys`, `name`) of every key without nulls, and (`name`, `said`) with all rows that a key of the class has.
+
+    Keys whose rows say the same are one class; a key may have several rows. Both are stages.
+    """
+    digest = lambda: F.sha2(F.to_json(F.struct(*said)), 256)
+    whole = rows.dropna(subset=keys)
+    members = cut_lineage(
+        whole.select(*keys, digest().alias("_row")).groupBy(*keys).agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+        .withColumn(name, F.sha2(F.array_join("_rows", ","), 256)))
+    kinds = whole.select(*said).distinct().withColumn("_row", digest())
+    classes = members.select(name, "_rows").distinct().select(name, F.explode("_rows").alias("_row"))
+    return members.select(*keys, name), cut_lineage(classes.join(kinds, "_row").select(name, *said))
+
+
 def judge(
     profiles: DataFrame, announcements: DataFrame, details: DataFrame, as_of: Column | None = None,
     more_facts: DataFrame | None = None, themes: DataFrame | None = None,
@@ -110,16 +129,34 @@ def judge(
     drops out only where its offer or its region is known not to fit. Then every requirement is
     evaluated. `more_facts` adds what the profile file does not say, e.g. sales. With `themes`
     (from_field, to_field, theme) and a `field` in profiles, what could be reframed is tier C.
+
+    Profiles that say the same are judged once, and so are calls; members get what their class got,
+    and become rows last. Rows with a null key are not judged.
     """
     if as_of is not None:
         announcements = announcements.filter(is_open(F.col("apply_end"), as_of))
     calls = describe_calls(announcements, details)
-    facts = facts_of(profiles)
+    field = ["field"] if themes is not None else []
+    asking = [*(c for c in ASKING if c in profiles.columns), *field]
+    if more_facts is not None:
+        told = more_facts.groupBy("profile_id").agg(
+            F.sort_array(F.collect_set(F.struct("requirement", "value"))).alias("_more"))
+        profiles, asking = profiles.join(told, "profile_id", "left"), [*asking, "_more"]
+    people, applicants = classes_of(profiles, ["profile_id"], asking, "_profile_class")
+    items, offered = classes_of(calls, KEY, [*ASKED, *field], "_call_class")
+    applicants = applicants.withColumnRenamed("_profile_class", "profile_id")
+    offered = offered.withColumnRenamed("_call_class", "id").withColumn("source", F.lit(""))
+    facts = facts_of(applicants)
     if more_facts is not None:
-        facts = facts.unionByName(more_facts.select("profile_id", "requirement", "value"))
-    matched = match_known(profiles, calls).drop("years_state")
+        facts = facts.unionByName(applicants.select("profile_id", F.inline("_more")))
+    matched = match_known(applicants, offered).drop("years_state")
     reframable = None
     if themes is not None:
-        reframable = reframing_candidates(profiles, calls, themes).select("profile_id", *KEY).distinct()
-    judged = tiers(evaluate(matched.select("profile_id", *KEY), requirements_of(calls), facts), reframable)
-    return judged.join(matched, ["profile_id", *KEY]).withColumn("rules_version", F.lit(RULES_VERSION))
+        reframable = reframing_candidates(applicants, offered, themes).select("profile_id", *KEY).distinct()
+    judged = tiers(evaluate(matched.select("profile_id", *KEY), requirements_of(offered), facts), reframable)
+    known = cut_lineage(judged.join(matched, ["profile_id", *KEY]).select(
+        F.col("profile_id").alias("_profile_class"), F.col("id").alias("_call_class"),
+        "tier", "unknowns", "unmet", "need_state", "region_state"))
+    return spread_members(known, people, items, "_profile_class", "_call_class").select(
+        "profile_id", *KEY, "tier", "unknowns", "unmet", "need_state", "region_state",
+        F.lit(RULES_VERSION).alias("rules_version"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clauses import clauses, not_owned_by, owned_by
-from ..functions.text import let
+from ..functions.text import let, mentions
 
 RULES_VERSION = 3
 UNKNOWN = "unknown"
@@ -22,12 +22,20 @@ UNKNOWN = "unknown"
 
 @dataclass(frozen=True)
 class SignalRule:
-    """The first rule of a signal that matches gives its value."""
+    """The first rule of a signal that matches gives its value.
+
+    A text without any of `words` cannot match; without `words`, every text is searched.
+    """
 
     signal: str
     value: str
     pattern: str
     scope: str = "eligibility"
+    words: tuple[str, ...] = ()
+
+    def found_in(self, views: dict[str, Column]) -> Column:
+        view = views[self.scope]
+        return mentions(view, *self.words) & view.rlike(self.pattern) if self.words else view.rlike(self.pattern)
 
 
 # Which clauses a rule reads, by their owners: these only, or all but these.
@@ -43,20 +51,20 @@ SCOPES = {
 }
 # What a text must say, most specific rule first.
 SIGNAL_RULES = (
-    SignalRule("pre_founder", "no", r"예비\s*창업자(?:는|의 경우)?\s*(?:제외|불가|신청\s*불가)"),
-    SignalRule("pre_founder", "yes", r"예비\s*창업자(?:\s*(?:포함|및|가능|또는)|[,.])?"),
-    SignalRule("pre_founder", "no", r"사업자등록증|4대\s*보험|재무제표"),
-    SignalRule("apply_region", "nationwide", r"전국", "right"),
-    SignalRule("location_rule", "non_capital", r"비수도권", "right"),
-    SignalRule("location_rule", "capital", r"수도권\s*(?:소재|지역)", "right"),
-    SignalRule("location_rule", "local", r"(?:관내|도내|시내)\s*소재", "right"),
-    SignalRule("space", "yes", r"입주\s*공간|사무\s*공간|입주\s*지원"),
-    SignalRule("exclusion", "duplicate_benefit", r"중복\s*(?:수혜|지원)\s*(?:불가|금지|제외)"),
-    SignalRule("exclusion", "graduates", r"수료(?:자|기업)\s*제외"),
-    SignalRule("trigger", "investment", r"투자\s*유치"),
-    SignalRule("trigger", "sales", r"매출(?:액)?\s*(?:\d|실적|이상)"),
-    SignalRule("trigger", "incorporation", r"법인\s*설립"),
-    SignalRule("trigger", "relocation", r"(?:본사|사업장)\s*이전"),
+    SignalRule("pre_founder", "no", r"예비\s*창업자(?:는|의 경우)?\s*(?:제외|불가|신청\s*불가)", words=("예비",)),
+    SignalRule("pre_founder", "yes", r"예비\s*창업자(?:\s*(?:포함|및|가능|또는)|[,.])?", words=("예비",)),
+    SignalRule("pre_founder", "no", r"사업자등록증|4대\s*보험|재무제표", words=("사업자등록증", "4대", "재무제표")),
+    SignalRule("apply_region", "nationwide", r"전국", "right", ("전국",)),
+    SignalRule("location_rule", "non_capital", r"비수도권", "right", ("비수도권",)),
+    SignalRule("location_rule", "capital", r"수도권\s*(?:소재|지역)", "right", ("수도권",)),
+    SignalRule("location_rule", "local", r"(?:관내|도내|시내)\s*소재", "right", ("소재",)),
+    SignalRule("space", "yes", r"입주\s*공간|사무\s*공간|입주\s*지원", words=("입주", "사무")),
+    SignalRule("exclusion", "duplicate_benefit", r"중복\s*(?:수혜|지원)\s*(?:불가|금지|제외)", words=("중복",)),
+    SignalRule("exclusion", "graduates", r"수료(?:자|기업)\s*제외", words=("수료",)),
+    SignalRule("trigger", "investment", r"투자\s*유치", words=("투자",)),
+    SignalRule("trigger", "sales", r"매출(?:액)?\s*(?:\d|실적|이상)", words=("매출",)),
+    SignalRule("trigger", "incorporation", r"법인\s*설립", words=("법인",)),
+    SignalRule("trigger", "relocation", r"(?:본사|사업장)\s*이전", words=("이전",)),
 )
 REGIONS = (
     "서울", "부산", "대구", "인천", "광주", "대전", "울산", "세종", "경기", "강원",
@@ -100,7 +108,12 @@ SIGNALS = tuple(dict.fromkeys(r.signal for r in SIGNAL_RULES))
 
 def amount(text: Column) -> Column:
     """First sum of money in the text as whole won; null where there is none."""
-    return let(F.regexp_extract(text, AMOUNT, 0), _won)
+    return let(_extract(text, AMOUNT, 0, "원"), _won)
+
+
+def _extract(text: Column, pattern: str, group: int, *words: str) -> Column:
+    """`regexp_extract` with a pattern that needs one of some words; texts without them are not searched."""
+    return F.when(mentions(text, *words), F.regexp_extract(text, pattern, group)).otherwise("")
 
 
 def _won(found: Column) -> Column:
@@ -112,7 +125,8 @@ def _won(found: Column) -> Column:
 
 
 def _number(digits: Column) -> Column:
-    return digits.try_cast("decimal(14,4)")
+    # An empty text is no number; to find that out by a cast costs an exception.
+    return F.when(digits != "", digits.try_cast("decimal(14,4)"))
 
 
 def evidence(text: Column, pattern: str, scope: Column | None = None) -> Column:
@@ -142,7 +156,7 @@ def _hit(signal: str, rules: tuple[SignalRule, ...], text: Column, views: dict[s
         return F.struct(F.lit(signal).alias("signal"), F.lit(value).alias("value"), proof.alias("evidence"))
 
     own = [
-        F.when(views[r.scope].rlike(r.pattern), found(r.value, evidence(text, r.pattern, views[r.scope])))
+        F.when(r.found_in(views), found(r.value, evidence(text, r.pattern, views[r.scope])))
         for r in rules if r.signal == signal
     ]
     nothing = found(UNKNOWN, F.lit(""))
@@ -154,7 +168,7 @@ def _hit(signal: str, rules: tuple[SignalRule, ...], text: Column, views: dict[s
 
 def _value(signal: str, rules: tuple[SignalRule, ...], views: dict[str, Column]) -> Column:
     """The value of the first rule that matches, or the values of all for MANY."""
-    own = [F.when(views[r.scope].rlike(r.pattern), F.lit(r.value)) for r in rules if r.signal == signal]
+    own = [F.when(r.found_in(views), F.lit(r.value)) for r in rules if r.signal == signal]
     if signal not in MANY:
         return F.coalesce(*own, F.lit(UNKNOWN))
     return F.array_distinct(F.filter(F.array(*own), lambda v: v.isNotNull()))
@@ -205,7 +219,7 @@ def company_years(text: Column) -> Column:
         parts = F.struct(*[F.regexp_extract(found, COMPANY_YEARS, k).alias(f"p{k}") for k in range(1, 5)])
         return let(parts, lambda p: _bounds([(p["p1"], p["p2"]), (p["p3"], p["p4"])]))
 
-    return let(F.regexp_extract(text, COMPANY_YEARS, 0), lambda m: F.when(m != "", read(m)))
+    return let(_extract(text, COMPANY_YEARS, 0, "년"), lambda m: F.when(m != "", read(m)))
 
 
 def _upper(interval: Column) -> Column:
@@ -222,7 +236,7 @@ def turnover(text: Column) -> Column:
             F.regexp_extract(found, TURNOVER, 2 + len(AMOUNT_UNITS)).alias("word"))
         return let(parts, lambda p: _bounds([(p["won"], p["word"])]))
 
-    return let(F.regexp_extract(text, TURNOVER, 0), lambda m: F.when(m != "", read(m)))
+    return let(_extract(text, TURNOVER, 0, "매출"), lambda m: F.when(m != "", read(m)))
 
 
 def signals_wide(
@@ -242,7 +256,7 @@ def signals_wide(
         return F.struct(
             *[_value(s, rules, views).alias(s) for s in names],
             F.coalesce(amount(views["sum"]), amount(views["other sum"])).alias("amount"),
-            _number(F.regexp_extract(views["eligibility"], DURATION, 1)).cast("int").alias("months"),
+            _number(_extract(views["eligibility"], DURATION, 1, "기간")).cast("int").alias("months"),
             let(company_years(views["eligibility"]), lambda y: F.struct(
                 _upper(y).alias("max_years"), y.alias("years"))).alias("age"),
             turnover(views["turnover"]).alias("sales"),

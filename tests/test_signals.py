@@ -95,3 +95,16 @@ def test_only_scopes_of_the_rules_are_read(spark):
     assert {tuple(r) for r in own.collect()} == whole and len(whole) == 1
     plan = own._jdf.queryExecution().optimizedPlan().toString()
     assert "right" in plan and "turnover" not in plan and "other sum" not in plan
+
+
+def test_words_of_rules_lose_no_match(spark):
+    """A text is searched only if it has a word that the pattern needs: the same values come out without the words."""
+    bare = tuple(sg.SignalRule(r.signal, r.value, r.pattern, r.scope) for r in sg.SIGNAL_RULES)
+    assert all(r.words for r in sg.SIGNAL_RULES)
+    proofs = ["예비 창업자는 제외", "예비창업자 가능", "사업자등록증", "4대 보험", "재무제표", "전국 접수", "접수 비수도권", "접수 수도권 지역",
+              "접수 관내 소재", "입주 공간", "사무공간", "입주지원", "중복 지원 금지", "수료기업 제외", "투자 유치", "매출액 3", "법인  설립", "사업장 이전"]
+    df = spark.createDataFrame([("s", str(k), t) for k, t in enumerate(proofs)] + details(spark).collect(), "source string, id string, text string")
+    for read in (sg.signals_wide, sg.extract_signals):
+        assert sorted(map(str, read(df).collect())) == sorted(map(str, read(df, bare).collect()))
+    found = {(r.signal, r.value) for r in sg.extract_signals(df).collect()}
+    assert found >= {(r.signal, r.value) for r in sg.SIGNAL_RULES}

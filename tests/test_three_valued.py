@@ -124,3 +124,26 @@ def test_texts_of_calls_are_read_once(spark):
     assert "regexp_replace" not in plan and "RLIKE" not in plan
     assert [(r.id, r.regions, r.years, r.nationwide) for r in described.orderBy("id").collect()] == [
         ("1", ["충남"], "(,3)", False), ("2", None, None, False), ("3", None, None, False)]
+
+
+def test_classes_are_judged_once_and_members_get_it(spark, monkeypatch):
+    """Pairs that are evaluated are those of classes; a repeated key counts its rows, a null key is not judged."""
+    seen = []
+    monkeypatch.setattr(jd, "evaluate", lambda pairs, *rest, run=jd.evaluate: seen.append(pairs.count()) or run(pairs, *rest))
+    people = [(f"p{k}", "corporation", 5, ["자금"], ["부산"], None) for k in range(30)]
+    people += [("twice", "sole_owner", None, ["자금"], ["부산"], None)] * 2 + [(None, "corporation", 5, ["자금"], ["부산"], None)]
+    profiles = spark.createDataFrame(
+        people, "profile_id string, stage string, years int, needs array<string>, regions array<string>, movable_regions array<string>")
+    ids = [f"c{k}" for k in range(20)] + [None]
+    calls = spark.createDataFrame(
+        [("s", i, "t", "사업화 자금", "") for i in ids] + [("s", "again", "t", "사업화 자금", "")] * 2,
+        "source string, id string, title string, field string, apply_end string")
+    details = spark.createDataFrame(
+        [("s", i, f"업력 3년 이하. 법인 설립 예정자. 문의: 02-{i}") for i in [*ids, "again"]], "source string, id string, text string")
+    rows = jd.judge(profiles, calls, details).collect()
+    got = {(r.profile_id, r.id): (r.tier, r.unknowns, r.unmet) for r in rows}
+    assert len(rows) == 32 * 22 and len(got) == 31 * 21
+    # One class of 30 profiles, one of the repeated one; one class of 20 calls, one of the repeated one.
+    assert seen == [(1 + 2) * (1 + 2)]
+    assert got["p3", "c7"] == ("rejected", 0, 1) and got["twice", "c7"] == ("B", 2, 2)
+    assert got["p3", "again"] == ("rejected", 0, 4) and got["twice", "again"] == ("B", 8, 8)
